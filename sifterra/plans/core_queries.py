@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sifterra.operators.timestamps import normalise_timestamps
+from sifterra.plans import corpus, operations  # noqa: F401  (registers its queries)
+from sifterra.plans.registry import ORACLES, QUERIES
 from sifterra.session import load
 
 
@@ -25,8 +27,8 @@ def p6_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p6_found, p6_instants)}
+    return {f.__name__: f for f in (p6_found, p6_instants)} | QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)

@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
+from pyspark.sql.window import Window
 
 
 def _chrf(hyp: str, ref: str, longest: int = 6, beta: float = 2.0) -> float:
@@ -67,9 +68,24 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.try_divide(F.size(F.array_intersect(a, b)).cast("double"), F.size(F.array_union(a, b)))
 
 
-def upper_median(value: Column) -> Column:
-    """Element n // 2 of the sorted values (the upper of two middle ones). For groups of bounded size, such as evaluation items."""
-    return F.element_at(F.sort_array(F.collect_list(value)), (F.floor(F.count(value) / 2) + 1).cast("int"))
+def upper_median(df: DataFrame, key: str, value: str, buckets: int = 4096, name: str = "median") -> DataFrame:
+    """``key, median``: element n // 2 of each key's sorted values (the upper of two middle ones); keys without a value are left out.
+
+    Exact for groups of any size: counts in ``buckets`` ranges of a group say which range holds the element,
+    and only that range's values are sorted.
+    """
+    from sifterra.session import broadcast_if_small
+
+    d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(key, F.col(value).cast("double").alias("_v"))
+    ends = d.groupBy(key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.floor(F.count("*") / 2).alias("_at"))
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1))).otherwise(0)
+    d = d.join(broadcast_if_small(ends), key).withColumn("_b", place)
+    sizes = d.groupBy(key, "_b", "_at").agg(F.count("*").alias("_n"))
+    w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    found = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).where((F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n")))
+    inner = d.join(broadcast_if_small(found.select(key, "_b", "_before")), [key, "_b"])
+    ranked = inner.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_v")) - 1 + F.col("_before"))
+    return ranked.where(F.col("_r") == F.col("_at")).select(key, F.col("_v").alias(name))
 
 
 def win_rate(df: DataFrame, by: list[str], result: str) -> DataFrame:

@@ -260,11 +260,14 @@ def rouge_l_score(spark, d):
 )
 def eval_aggregate_sets(spark, d):
     """Grouping sets with the upper median"""
-    load(spark, d, "smoke_results").select("result_id", "kind", "category", "question_lang", "chrf", "model_refused").distinct().createOrReplaceTempView("sifterra_eval")
-    return spark.sql(
-        """SELECT kind, category, question_lang, count(*) AS n, round(avg(chrf), 6) AS mean_chrf, element_at(sort_array(collect_list(chrf)), CAST(count(chrf) DIV 2 + 1 AS INT)) AS median_chrf, count_if(model_refused) AS refused
-        FROM sifterra_eval GROUP BY GROUPING SETS ((kind), (kind, category), (question_lang))"""
-    )
+    t = load(spark, d, "smoke_results").select("result_id", "kind", "category", "question_lang", "chrf", "model_refused").distinct()
+    none = F.lit(None).cast("string")
+    sets = [(F.lit(1), F.col("kind"), none, none), (F.lit(2), F.col("kind"), F.col("category"), none), (F.lit(3), none, none, F.col("question_lang"))]
+    keys = F.array(*[F.struct(a.alias("s"), b.alias("kind"), c.alias("category"), e.alias("question_lang")) for a, b, c, e in sets])
+    x = t.select("chrf", "model_refused", F.explode(keys).alias("k")).withColumn("g", F.to_json("k"))
+    agg = x.groupBy("g", "k").agg(F.count("*").alias("n"), F.round(F.avg("chrf"), 6).alias("mean_chrf"), F.count_if("model_refused").alias("refused"))
+    med = metrics.upper_median(x, "g", "chrf", name="median_chrf")
+    return agg.join(med, "g", "left").select("k.kind", "k.category", "k.question_lang", "n", "mean_chrf", "median_chrf", "refused")
 
 
 @query("SELECT kind, CAST(count(*) FILTER (model_refused) AS BIGINT) AS refused, CAST(count(*) FILTER (NOT model_refused) AS BIGINT) AS answered, CAST(count(*) FILTER (model_refused IS NULL) AS BIGINT) AS pending FROM (SELECT DISTINCT result_id, kind, model_refused FROM smoke_results) GROUP BY kind")

@@ -133,7 +133,7 @@ def repeated_lines(chunks: DataFrame, doc_sources: DataFrame, least_docs: int =
 
 def strip_lines(chunks: DataFrame, repeated: DataFrame) -> DataFrame:
     """Chunks with ``clean_text``: the text without the given lines. Null texts stay null."""
-    drop = repeated.groupBy("chunk_id").agg(F.collect_set("line_no").alias("drop_nos"))
+    drop = repeated.groupBy("chunk_id").agg(F.collect_set("line_no").alias("_drop_nos"))
     j = chunks.join(drop, "chunk_id", "left")
-    numbered = F.transform(F.split("text", "\n"), lambda line, i: F.when(~F.array_contains(F.coalesce("drop_nos", F.array().cast("array<int>")), i + 1), line))
-    return j.withColumn("clean_text", F.when(F.col("text").isNotNull(), F.array_join(F.array_compact(numbered), "\n"))).drop("drop_nos")
+    numbered = F.transform(F.split("text", "\n"), lambda line, i: F.when(~F.array_contains(F.coalesce("_drop_nos", F.array().cast("array<int>")), i + 1), line))
+    return j.withColumn("clean_text", F.when(F.col("text").isNotNull(), F.array_join(F.array_compact(numbered), "\n"))).drop("_drop_nos")

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sifterra.session import broadcast_if_small, materialize
+
 # Month names, English and Nepali.
 MONTHS_EN = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 MONTHS_NE = ["जनवरी", "फेब्रुअरी", "मार्च", "अप्रिल", "मे", "जुन", "जुलाई", "अगस्ट", "सेप्टेम्बर", "अक्टोबर", "नोभेम्बर", "डिसेम्बर"]
@@ -32,6 +34,8 @@ ABBREVIATIONS = [
 #: Years beyond it belong to the Bikram Sambat calendar and name no instant here.
 LAST_YEAR = 2070
 FIRST_YEAR = 1970
+#: No timestamp is longer.
+LONGEST = 100
 
 _ZONE = r"(Z|z|UTC|GMT|UT|[+-][0-9]{2}:?[0-9]{2}|[+-][0-9]{2}|[A-Za-z]{2,5})?"
 _CLOCK = r"([0-9]{1,2}):([0-9]{2})(?::([0-9]{2})(?:[.,][0-9]+)?)?\s*([AaPp]\.?[Mm]\.?)?"
@@ -47,53 +51,57 @@ CANONICAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
 def _tidy(value: Column) -> Column:
     """Trimmed, ASCII digits, month names as #n#."""
     v = F.trim(F.regexp_replace(value, r"[ \s]+", " "))
-    v = F.translate(v, "०१२३४५६७८९", "0123456789")
+    return F.translate(v, "०१२३४५६७८९", "0123456789")
+
+
+def _number_months(v: Column) -> Column:
+    """Month names as #n#; values without a word of three letters pass untouched."""
+    ne = en = v
     for i, name in enumerate(MONTHS_NE, 1):
-        v = F.regexp_replace(v, rf"(?<![ऀ-ॿ]){name}(?![ऀ-ॿ])", f"#{i}#")
+        ne = F.regexp_replace(ne, rf"(?<![ऀ-ॿ]){name}(?![ऀ-ॿ])", f"#{i}#")
     for i, name in enumerate(MONTHS_EN, 1):
-        v = F.regexp_replace(v, rf"(?i)\b{name}[a-z]*\.?(?![a-z0-9])", f"#{i}#")
-    return v
-
-
-def _parts(v: Column, pattern: str, order: dict[str, int]) -> dict[str, Column]:
-    return {k: F.regexp_extract(v, pattern, i) for k, i in order.items()}
-
-
-def _parse(fmt: str, v: Column, pattern: str, order: dict[str, int]) -> Column:
-    """Struct of format, local wall time and zone text, or null where the value doesn't fit or is no real date."""
-    p = _parts(v, pattern, order)
-    num = lambda k: F.expr("null").cast("int") if k not in p else p[k].try_cast("int")
-    hour, mark = F.coalesce(num("h"), F.lit(0)), F.lower(F.substring(p["ap"], 1, 1)) if "ap" in p else F.lit("")
-    clock_ok = (mark == "") | hour.between(1, 12)
-    hour = F.when(mark == "p", F.when(hour == 12, 12).otherwise(hour + 12)).when(mark == "a", F.when(hour == 12, 0).otherwise(hour)).otherwise(hour)
-    text = F.format_string("%04d-%02d-%02d %02d:%02d:%02d", num("y"), num("m"), num("d"), hour, F.coalesce(num("mi"), F.lit(0)), F.coalesce(num("s"), F.lit(0)))
-    local = F.try_to_timestamp(text, F.lit("yyyy-MM-dd HH:mm:ss"))
-    good = v.rlike(pattern) & local.isNotNull() & clock_ok & num("y").between(FIRST_YEAR, LAST_YEAR)
-    return F.when(good, F.struct(F.lit(fmt).alias("fmt"), local.alias("local"), p["z"].alias("zone")))
-
-
-def _parses(v: Column) -> Column:
-    """Every valid reading of a value, in a fixed order."""
-    clock = lambda at: {"h": at, "mi": at + 1, "s": at + 2, "ap": at + 3, "z": at + 4}
-    epoch = F.when(
-        v.rlike(r"^[0-9]{9,10}$|^[0-9]{12,13}$|^[0-9]{16}$") & v.try_cast("bigint").isNotNull(),
-        F.struct(
-            F.lit("epoch").alias("fmt"),
-            F.timestamp_seconds(F.floor(v.try_cast("bigint") / F.when(F.length(v) <= 10, F.lit(1)).when(F.length(v) <= 13, F.lit(1000)).otherwise(F.lit(1000000)))).alias("local"),
-            F.lit("Z").alias("zone"),
-        ),
-    )
-    return F.array_compact(
-        F.array(
-            _parse("year_first", v, _YEAR_FIRST, {"y": 1, "m": 3, "d": 4, **clock(5)}),
-            _parse("compact", v, _COMPACT, {"y": 1, "m": 2, "d": 3, "h": 4, "mi": 5, "s": 6, "z": 7}),
-            _parse("dmy", v, _NUMERIC, {"d": 1, "m": 3, "y": 4, **clock(5)}),
-            _parse("mdy", v, _NUMERIC, {"m": 1, "d": 3, "y": 4, **clock(5)}),
-            _parse("day_month", v, _DAY_MONTH, {"d": 1, "m": 2, "y": 3, **clock(4)}),
-            _parse("month_day", v, _MONTH_DAY, {"m": 1, "d": 2, "y": 3, **clock(4)}),
-            epoch,
-        )
-    )
+        en = F.regexp_replace(en, rf"(?i)\b{name}[a-z]*\.?(?![a-z0-9])", f"#{i}#")
+    return F.when(v.rlike("[ऀ-ॿ]{2}"), ne).when(v.rlike("^(?:[A-Za-z]{3}|[0-9]{1,2} +[A-Za-z]{3})"), en).otherwise(v)
+
+
+#: Format, pattern, and the groups of year, month, day, hour, minute, second, half of day and zone (0: none).
+FORMATS = [
+    ("year_first", _YEAR_FIRST, (1, 3, 4, 5, 6, 7, 8, 9)),
+    ("compact", _COMPACT, (1, 2, 3, 4, 5, 6, 0, 7)),
+    ("dmy", _NUMERIC, (4, 3, 1, 5, 6, 7, 8, 9)),
+    ("mdy", _NUMERIC, (4, 1, 3, 5, 6, 7, 8, 9)),
+    ("day_month", _DAY_MONTH, (3, 2, 1, 4, 5, 6, 7, 8)),
+    ("month_day", _MONTH_DAY, (3, 1, 2, 4, 5, 6, 7, 8)),
+]
+_EPOCH = r"^(?:[0-9]{9,10}|[0-9]{12,13}|[0-9]{16})$"
+
+
+def _matches(v: Column) -> Column:
+    """Formats whose pattern a value fits, each with its parts in one order. One replacement takes all groups at once."""
+    fits = []
+    for fmt, pattern, groups in FORMATS:
+        parts = "|".join(f"${g}" if g else "" for g in groups)
+        fits.append(F.when(v.rlike(pattern), F.struct(F.lit(fmt).alias("fmt"), F.split(F.regexp_replace(v, pattern, parts), r"\|").alias("p"))))
+    return F.array_compact(F.array(*fits))
+
+
+def _wall(x: Column) -> Column:
+    """Format, year, seconds since 1970 of the wall time as if it were UTC, and zone; null for impossible dates and times."""
+    p = x["p"]
+    num = lambda i: p[i].try_cast("int")
+    half = F.lower(F.substring(p[6], 1, 1))
+    raw = F.coalesce(num(3), F.lit(0))
+    hour = F.when(half == "p", raw % 12 + 12).when(half == "a", raw % 12).otherwise(raw)
+    day = F.try_make_timestamp(num(0), num(1), num(2), F.lit(0), F.lit(0), F.lit(0.0))
+    minute, second = F.coalesce(num(4), F.lit(0)), F.coalesce(num(5), F.lit(0))
+    good = num(0).between(FIRST_YEAR, LAST_YEAR) & (raw <= 23) & ((half == "") | raw.between(1, 12)) & (minute <= 59) & (second <= 59)
+    return F.when(good & day.isNotNull(), F.struct(x["fmt"].alias("fmt"), (F.unix_seconds(day) + hour * 3600 + minute * 60 + second).alias("wall"), p[7].alias("zone")))
+
+
+def _epochs(v: Column) -> Column:
+    n = v.try_cast("bigint")
+    scale = F.when(F.length(v) <= 10, F.lit(1)).when(F.length(v) <= 13, F.lit(1000)).otherwise(F.lit(1000000))
+    return F.array_compact(F.array(F.when(v.rlike(_EPOCH), F.struct(F.lit("epoch").alias("fmt"), F.floor(n / scale).alias("wall"), F.lit("Z").alias("zone")))))
 
 
 def _fit(iterations: int, prior: float):
@@ -159,12 +167,16 @@ def normalise_timestamps(
         F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in fields])).alias("x"),
     ).select("key", "source_key", "x.field_name", "x.value")
     long = long.join(_small(reg), "source_key", "left")
-    tidy = long.withColumn("tidy", _tidy(F.col("value")))
-    parsed = tidy.withColumn("parses", _parses(F.col("tidy")))
+    # Steps of their own, so that no step's result is computed again by the next.
+    step = long.withColumn("tidy", _tidy(F.col("value"))).withColumn("tidy", _number_months(F.col("tidy")))
+    step = step.withColumn("fits", F.when(F.col("tidy").isNull() | (F.length("tidy") > LONGEST), F.array().cast("array<struct<fmt:string,p:array<string>>>")).otherwise(_matches(F.col("tidy"))))
     # Under a stated order the other reading of a numeric date is no candidate.
     other = F.when(F.col("date_order") == "dmy", "mdy").when(F.col("date_order") == "mdy", "dmy").otherwise("")
-    parsed = parsed.withColumn("parses", F.filter("parses", lambda p: p["fmt"] != other))
+    walls = F.array_compact(F.transform(F.filter("fits", lambda x: x["fmt"] != other), _wall))
+    parsed = step.withColumn("parses", F.concat(walls, _epochs(F.col("tidy")))).drop("fits", "tidy")
+    parsed = parsed.withColumn("parses", F.coalesce("parses", F.array().cast("array<struct<fmt:string,wall:bigint,zone:string>>")))
     parsed = parsed.withColumn("formats", F.array_join(F.transform("parses", lambda p: p["fmt"]), "|"))
+    parsed = materialize(parsed, "timestamps")
 
     counts = (
         parsed.where(F.size("parses") > 0)
@@ -188,9 +200,9 @@ def normalise_timestamps(
         F.when(zone.startswith("-"), -1).otherwise(1) * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.coalesce(F.substring(digits, 3, 2).try_cast("int"), F.lit(0))),
     )
     offset = F.coalesce(numeric, named)
-    wall = F.unix_timestamp(F.col("best.local"))
+    wall = F.col("best.wall")
     # to_utc_timestamp takes the earlier instant of a repeated wall time and the earlier offset of a skipped one.
-    by_zone = F.when(F.col("tz_name").isNotNull(), F.unix_timestamp(F.to_utc_timestamp(F.col("best.local"), F.col("tz_name"))))
+    by_zone = F.when(F.col("tz_name").isNotNull(), F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(wall), F.col("tz_name"))))
     epoch = F.when(zone == "", by_zone).otherwise(wall - offset * 60)
     status = (
         F.when(F.col("best").isNull(), "unreadable")
@@ -214,6 +226,4 @@ def normalise_timestamps(
 
 
 def _small(df: DataFrame) -> DataFrame:
-    from sifterra.session import broadcast_if_small
-
     return broadcast_if_small(df, 16 << 20)

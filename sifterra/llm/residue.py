@@ -146,9 +146,6 @@ class ResidueMatcher:
                 return 1.0, "placeholder"
             return len(marks) / (len(marks) + len(rest)), "placeholder"
         text = _DIGITS.sub("0", line.lower().translate(_QUOTES))
-        solid = sum(c.isalnum() for c in text)
-        if not solid:
-            return 0.0, None
         spans, kinds = [], {}
         for end, (size, kind) in self.auto.iter(text):
             start = end - size + 1
@@ -160,6 +157,9 @@ class ResidueMatcher:
             if m[0] in self.filler:
                 spans.append(m.span())
                 kinds["filler"] = kinds.get("filler", 0) + len(m[0])
+        if not spans:
+            return 0.0, None
+        solid = sum(map(str.isalnum, text)) or 1
         covered, reach = 0, 0
         for a, b in sorted(spans):
             a = max(a, reach)
@@ -170,4 +170,4 @@ class ResidueMatcher:
         lead = re.match(r"\s*0\s*", text)
         if lead and spans and min(s for s, _ in spans) <= lead.end():
             covered += sum(c.isalnum() for c in text[: min(s for s, _ in spans)])
-        return min(1.0, covered / solid), max(kinds, key=kinds.get) if kinds else None
+        return min(1.0, covered / solid), max(kinds, key=kinds.get)

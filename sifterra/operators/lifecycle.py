@@ -133,7 +133,8 @@ def enqueue_once(candidates: DataFrame, queue: DataFrame, key: str) -> DataFrame
     return candidates.join(queue.where("status = 'pending'").select(key).distinct(), key, "left_anti")
 
 
-def replay_patches(base: DataFrame, patches: DataFrame, key: str, field: str, order: str) -> DataFrame:
-    """Patches in order, the last value of each field wins; the audit trail is kept beside it."""
-    last = patches.groupBy(key).agg(F.max_by(field, order).alias("_new"), F.sort_array(F.collect_list(F.struct(F.col(order).alias("at"), F.col(field).alias("value")))).alias("audit"))
-    return base.join(last, key, "left").withColumn(field, F.coalesce("_new", field)).drop("_new")
+def replay_patches(base: DataFrame, patches: DataFrame, key: str, field: str, order: str) -> tuple[DataFrame, DataFrame]:
+    """(base with the last value of the field for each patched key, audit trail as rows in order)."""
+    last = patches.groupBy(key).agg(F.max_by(field, order).alias("_new"))
+    trail = patches.select(key, order, F.col(field).alias("value"))
+    return base.join(last, key, "left").withColumn(field, F.coalesce("_new", field)).drop("_new"), trail

@@ -18,9 +18,47 @@ def _rank(df: DataFrame, by: list[str], order: list[Column], name: str = "_n") -
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
+def lowest(df: DataFrame, order: str, n: int) -> DataFrame:
+    """The n rows that come first by ``order`` (hexadecimal digits), for any n.
+
+    Counts by the first four digits (65,536 at most) say which range the last row is in; only that range is
+    sorted, so a large n never gathers rows in one task.
+    """
+    if n <= 0:
+        return df.limit(0)
+    d = df.withColumn("_p", F.substring(order, 1, 4))
+    total, edge, before = 0, None, 0
+    for r in sorted(d.groupBy("_p").count().collect(), key=lambda r: r[0] or ""):
+        if total + r[1] > n:
+            edge, before = r[0], total
+            break
+        total += r[1]
+    if edge is None:
+        return df
+    inside = d.where(F.col("_p") == edge).orderBy(order).limit(n - before)
+    return d.where(F.col("_p") < edge).unionByName(inside).drop("_p")
+
+
+def group_rank(df: DataFrame, by: list[str], order: str, name: str = "_n", buckets: int = 64) -> DataFrame:
+    """Exact rank from 1 within each group by ``order`` (hexadecimal digits, unique), without a task per group.
+
+    Sizes of ``buckets`` ranges of each group give each range's start; a window ranks inside one range.
+    """
+    d = df.withColumn("_b", F.floor(F.conv(F.substring(order, 1, 4), 16, 10).cast("int") * buckets / 65536))
+    sizes = d.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
+    w = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_c").over(w), F.lit(0))).select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_b").alias("_kb"), "_start")
+    match = F.col("_b") == F.col("_kb")
+    for c in by:
+        match = match & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    j = d.join(broadcast_if_small(starts), match)
+    inner = F.row_number().over(Window.partitionBy(*by, "_b").orderBy(order))
+    return j.withColumn(name, F.col("_start") + inner).select(*df.columns, name)
+
+
 def sample_n(df: DataFrame, key: str, n: int, seed: str = "s") -> DataFrame:
     """K9: n rows of the seeded order, each equally likely."""
-    return df.orderBy(shuffled(key, seed), key).limit(n)
+    return lowest(df.withColumn("_o", shuffled(key, seed)), "_o", n).drop("_o")
 
 
 def stratified_pick(df: DataFrame, strata: list[str], key: str, per: int, seed: str = "s") -> DataFrame:
@@ -37,19 +75,16 @@ def round_robin(df: DataFrame, cells: list[str], key: str, n: int, seed: str = "
 def stratified_split(df: DataFrame, strata: list[str], key: str, fraction: float, least: int = 0, rounding: str = "floor", seed: str = "s") -> DataFrame:
     """K12, K13, DS6: ``split`` is val for max(1, floor or round(n * fraction)) rows of each stratum with ``least`` rows or more.
 
-    Sizes come from an aggregate that is joined back, not from a window over the stratum; the rank filter then
-    needs only each stratum's first rows.
+    Ranks come from ``group_rank``, so a stratum with a third of all rows is spread over its ranges.
     """
     sizes = df.groupBy(*strata).agg(F.count("*").alias("_c"))
     n = F.floor(F.col("_c") * fraction) if rounding == "floor" else F.round(F.col("_c") * fraction)
     take = F.when(F.col("_c") < least, 0).otherwise(F.greatest(F.lit(1), n))
-    d = _rank(df, strata, [shuffled(key, seed), F.col(key)])
-    match = None
-    s = sizes.select(*[F.col(c).alias(f"_s_{c}") for c in strata], take.alias("_take"))
+    d = group_rank(df.withColumn("_o", shuffled(key, seed)), strata, "_o")
+    match = F.lit(True)
     for c in strata:
-        m = F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-        match = m if match is None else match & m
-    j = d.join(broadcast_if_small(s), match)
+        match = match & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    j = d.join(broadcast_if_small(sizes.select(*[F.col(c).alias(f"_s_{c}") for c in strata], take.alias("_take"))), match)
     return j.withColumn("split", F.when(F.col("_n") <= F.col("_take"), "val").otherwise("train")).select(*df.columns, "split")
 
 
@@ -62,7 +97,7 @@ def cap_share(df: DataFrame, is_capped: Column, key: str, share: float, seed: st
     """Of the capped kind at most share / (1 - share) times the others are kept."""
     others = df.where(~is_capped).count()
     most = int(share * others / (1 - share) + 1e-9)
-    kept = df.where(is_capped).orderBy(shuffled(key, seed), key).limit(most)
+    kept = sample_n(df.where(is_capped), key, most, seed)
     return df.where(~is_capped).unionByName(kept)
 
 
@@ -70,8 +105,9 @@ def fill_to(df: DataFrame, fallback: DataFrame, key: str, dedup: str, target: in
     """Rows of the fallback with new ``dedup`` values until ``target`` rows are there."""
     lack = max(0, target - df.count())
     fresh = fallback.join(df.select(dedup).distinct(), dedup, "left_anti")
-    fresh = _rank(fresh, [dedup], [F.col(key)]).where("_n = 1").drop("_n").select(*df.columns)
-    return df.unionByName(fresh.orderBy(shuffled(key, seed), key).limit(lack))
+    rest = [c for c in df.columns if c != dedup]
+    fresh = fresh.groupBy(dedup).agg(F.min_by(F.struct(*rest), key).alias("_r")).select(*[F.col(c) if c == dedup else F.col(f"_r.{c}").alias(c) for c in df.columns])
+    return df.unionByName(sample_n(fresh, key, lack, seed))
 
 
 def token_budget(df: DataFrame, by: list[str], order: str, tokens: str, budget: int, buckets: int = 64) -> DataFrame:

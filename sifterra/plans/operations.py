@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sifterra.functions import script, text, url
 from sifterra.operators import lifecycle, metrics, sampling, search, sequences
@@ -72,7 +71,7 @@ def registry_tier_counts(spark, d):
 @query(
     """
     WITH l AS (SELECT source_id, max(started_at) AS last FROM poll_cycles GROUP BY 1), now AS (SELECT max(started_at) AS t FROM poll_cycles)
-    SELECT source_id, tier, CAST(row_number() OVER (ORDER BY tier, source_id) AS BIGINT) AS place FROM source_registry LEFT JOIN l USING (source_id), now
+    SELECT source_id, tier FROM source_registry LEFT JOIN l USING (source_id), now
     WHERE status = 'active' AND (last IS NULL OR last + coalesce(poll_interval_hours, CASE tier WHEN 1 THEN 6 WHEN 2 THEN 12 WHEN 3 THEN 24 WHEN 4 THEN 84 ELSE 48 END) * INTERVAL 1 HOUR <= t)"""
 )
 def due_sources_order(spark, d):
@@ -81,7 +80,7 @@ def due_sources_order(spark, d):
     now = F.broadcast(load(spark, d, "poll_cycles").agg(F.max("started_at").alias("t")))  # one row
     hours = F.coalesce("poll_interval_hours", F.when(F.col("tier") == 1, 6).when(F.col("tier") == 2, 12).when(F.col("tier") == 3, 24).when(F.col("tier") == 4, 84).otherwise(48))
     due = load(spark, d, "source_registry").join(last, "source_id", "left").crossJoin(now).where("status = 'active'").where(F.col("last").isNull() | (F.col("last") + F.make_interval(hours=hours) <= F.col("t")))
-    return due.select("source_id", "tier", F.row_number().over(Window.orderBy("tier", "source_id")).cast("bigint").alias("place"))
+    return due.select("source_id", "tier").orderBy("tier", "source_id")
 
 
 @query("SELECT r.source_id, coalesce(p.name_en, r.name_en) AS name_en, coalesce(p.status, r.status) AS status, coalesce(r.first_seen, p.first_seen) AS first_seen, CASE WHEN p.source_id IS NULL THEN 'kept' ELSE 'updated' END AS upsert_state FROM source_registry r LEFT JOIN (SELECT source_id, domain AS name_en, 'dormant' AS status, '2099-01-01' AS first_seen FROM source_registry WHERE tier = 2) p USING (source_id)")
@@ -133,18 +132,17 @@ def rolling_window_7d(spark, d):
 @query("SELECT event_id, CAST(n AS BIGINT) AS in_24h, n > 5 AS limited FROM (SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW) AS n FROM events)")
 def rate_limit_24h(spark, d):
     """ST3: events of the last 24 hours per key"""
-    e = load(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    w = Window.partitionBy("user_id").orderBy("us").rangeBetween(-86_400_000_000, 0)
-    n = F.count("*").over(w)
-    return e.select("event_id", n.alias("in_24h"), (n > 5).alias("limited"))
+    e = load(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    n = sequences.rolling_count(e, "user_id", "us", "event_id", 86_400_000_000, "in_24h")
+    return n.select("event_id", "in_24h", (F.col("in_24h") > 5).alias("limited"))
 
 
 @query("SELECT event_id, coalesce(ts - p < INTERVAL 5 MINUTE, false) AS cooling FROM (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events)")
 def cooldown_gate(spark, d):
     """ST4, ST8: interval to the key's previous event"""
-    e = load(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    p = F.lag("us").over(Window.partitionBy("user_id").orderBy("us", "event_id"))
-    return e.select("event_id", F.coalesce(F.col("us") - p < 300_000_000, F.lit(False)).alias("cooling"))
+    e = load(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    g = sequences.gap_to_previous(e, "user_id", "us", "event_id")
+    return g.select("event_id", F.coalesce(F.col("gap") < 300_000_000, F.lit(False)).alias("cooling"))
 
 
 @query("SELECT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, min(event_id) AS event_id FROM events GROUP BY ALL")
@@ -157,9 +155,9 @@ def message_dedup_ttl(spark, d):
 @query("SELECT user_id, CAST(sum(CASE WHEN p IS NULL OR ts - p > INTERVAL 30 MINUTE THEN 1 ELSE 0 END) AS BIGINT) AS sessions FROM (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) GROUP BY 1")
 def user_sessions(spark, d):
     """Extension: visits by a gap of 30 minutes"""
-    e = load(spark, d, "events").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
-    p = F.lag("us").over(Window.partitionBy("user_id").orderBy("us", "event_id"))
-    return e.select("user_id", F.when(p.isNull() | (F.col("us") - p > 1_800_000_000), 1).otherwise(0).alias("s")).groupBy("user_id").agg(F.sum("s").alias("sessions"))
+    e = load(spark, d, "events").select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    g = sequences.gap_to_previous(e, "user_id", "us", "event_id")
+    return g.groupBy("user_id").agg(F.count_if(F.col("gap").isNull() | (F.col("gap") > 1_800_000_000)).alias("sessions"))
 
 
 @query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, CAST(sum(CASE WHEN json_extract_string(props, '$.k') IS NOT NULL OR props IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS with_props, round(avg(value), 6) AS mean FROM events GROUP BY 1")
@@ -189,17 +187,17 @@ def history_last_k(spark, d):
 @query(f"SELECT conv_id, turn_no FROM (SELECT conv_id, turn_no, role, content, lead(content) OVER w AS nc, lead(role) OVER w AS nr FROM {_TURNS} WINDOW w AS (PARTITION BY conv_id ORDER BY turn_no)) WHERE role = 'user' AND nr = 'user' AND nc = content")
 def resent_turns(spark, d):
     """User turns sent twice in a row"""
-    t = load(spark, d, "chat_turns").select("conv_id", "turn_no", "role", "content").distinct()
-    w = Window.partitionBy("conv_id").orderBy("turn_no")
-    x = t.withColumn("nc", F.lead("content").over(w)).withColumn("nr", F.lead("role").over(w))
-    return x.where("role = 'user' and nr = 'user' and nc = content").select("conv_id", "turn_no")
+    t = load(spark, d, "chat_turns").select("conv_id", "turn_no", "role", F.sha2("content", 256).alias("h")).distinct()
+    x = sequences.last_before(t, "conv_id", "turn_no", F.struct("turn_no", "role", "h"), F.lit(True), "prev")
+    return x.where("role = 'user' and prev.role = 'user' and prev.h = h").select("conv_id", F.col("prev.turn_no").alias("turn_no"))
 
 
-@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS turns, list_aggregate(list_transform(list_sort(list({'n': turn_no, 's': role || ': ' || left(content, 40)})), lambda x: x.s), 'string_agg', chr(10)) AS messages FROM (SELECT DISTINCT conv_id, turn_no, role, content FROM chat_turns WHERE content IS NOT NULL) GROUP BY conv_id")
+@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS turns, list_aggregate(list_transform(list_sort(list({'n': turn_no, 's': role || ': ' || left(content, 40)})), lambda x: x.s), 'string_agg', chr(10)) AS messages FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn_no DESC) AS k FROM (SELECT DISTINCT conv_id, turn_no, role, content FROM chat_turns WHERE content IS NOT NULL)) WHERE k <= 8 GROUP BY conv_id")
 def messages_assembly(spark, d):
-    """N: turns of a dialogue as one message list, each cut to 40 characters before it is gathered"""
-    t = load(spark, d, "chat_turns").where("content is not null").select("conv_id", "turn_no", "role", "content").distinct()
-    g = t.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sort_array(F.collect_list(F.struct("turn_no", F.concat("role", F.lit(": "), F.left("content", F.lit(40))).alias("s")))).alias("m"))
+    """N, ST5: the last eight turns of a dialogue as one message list, so what is gathered is bounded"""
+    t = load(spark, d, "chat_turns").where("content is not null").select("conv_id", "turn_no", "role", F.left("content", F.lit(40)).alias("content")).distinct()
+    last = search.top_k(t, ["conv_id"], [F.desc("turn_no")], 8, "k")
+    g = last.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sort_array(F.collect_list(F.struct("turn_no", F.concat("role", F.lit(": "), "content").alias("s")))).alias("m"))
     return g.select("conv_id", "turns", F.array_join(F.transform("m", lambda x: x["s"]), "\n").alias("messages"))
 
 
@@ -240,10 +238,18 @@ def citation_recall(spark, d):
     return load(spark, d, "smoke_results").select("result_id", metrics.recall(F.col("model_citations"), F.col("model_citations")).alias("_"), "model_citations", found.alias("f")).select("result_id", F.when(F.size("model_citations") > 0, metrics.recall(F.col("f"), F.col("model_citations"))).alias("citation_recall")).distinct()
 
 
-@query()
+@query(
+    """
+    WITH s AS (SELECT DISTINCT result_id, coalesce(model_output, '') AS h, coalesce(question, '') AS r FROM smoke_results), k AS (SELECT *, unnest(generate_series(1, 6)) AS n FROM s),
+    hg AS (SELECT result_id, n, g, count(*) AS c FROM (SELECT result_id, n, substr(h, unnest(generate_series(1, length(h) - n + 1)), n) AS g FROM k WHERE length(h) >= n) GROUP BY ALL),
+    rg AS (SELECT result_id, n, g, count(*) AS c FROM (SELECT result_id, n, substr(r, unnest(generate_series(1, length(r) - n + 1)), n) AS g FROM k WHERE length(r) >= n) GROUP BY ALL),
+    o AS (SELECT result_id, n, sum(least(hg.c, rg.c)) AS hit FROM hg JOIN rg USING (result_id, n, g) GROUP BY ALL),
+    f AS (SELECT k.result_id, avg(coalesce(hit, 0) / (length(h) - n + 1)::DOUBLE) AS p, avg(coalesce(hit, 0) / (length(r) - n + 1)::DOUBLE) AS q FROM k LEFT JOIN o USING (result_id, n) WHERE length(h) >= n AND length(r) >= n GROUP BY 1)
+    SELECT s.result_id, round(coalesce(CASE WHEN p + q = 0 THEN 0.0 ELSE 100 * 5 * p * q / (4 * p + q) END, 0.0), 6) AS chrf FROM s LEFT JOIN f USING (result_id)"""
+)
 def chrf_score(spark, d):
     """Question against answer of the evaluation records"""
-    return load(spark, d, "smoke_results").select("result_id", "question", "model_output").distinct().select("result_id", metrics.chrf("model_output", "question").alias("chrf"))
+    return load(spark, d, "smoke_results").select("result_id", "question", "model_output").distinct().select("result_id", F.round(metrics.chrf("model_output", "question"), 6).alias("chrf"))
 
 
 @query()

@@ -157,3 +157,34 @@ def test_upper_median_against_brute_force(spark):
         v = sorted(x for a, x in rows if a == k and x is not None)
         assert got[k] == v[len(v) // 2]
     assert "d" not in got
+
+
+def test_group_rank_lowest_and_rolling_count_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["hot"] * 8 + ["b", None]), rng.randint(0, 40_000)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id bigint, k string, t bigint").withColumn("o", sampling.shuffled("id"))
+    data = df.collect()
+    for r in sampling.group_rank(df, ["k"], "o").collect():
+        assert r._n == sum(x.k == r.k and x.o <= r.o for x in data)
+    for n in (0, 1, 77, 600, 900):
+        assert {r.id for r in sampling.lowest(df, "o", n).collect()} == {r.id for r in sorted(data, key=lambda r: r.o)[:n]}
+    for r in sequences.rolling_count(df, "k", "t", "id", 1000, span=300).collect():
+        if r.k is not None:
+            assert r.n == sum(x.k == r.k and r.t - 1000 <= x.t <= r.t for x in data)
+    for r in sequences.gap_to_previous(df, "k", "t", "id", span=300).collect():
+        if r.k is not None:
+            before = [x.t for x in data if x.k == r.k and (x.t, x.id) < (r.t, r.id)]
+            assert r.gap == (r.t - max(before) if before else None)
+
+
+def test_patches_and_prefixes(spark):
+    from sifterra.operators import joins
+
+    base = spark.createDataFrame([("a", "x"), ("b", "y")], "k string, v string")
+    patches = spark.createDataFrame([("a", "1", 1), ("a", "2", 2)], "k string, v string, at int")
+    new, trail = lifecycle.replay_patches(base, patches, "k", "v", "at")
+    assert {r.k: r.v for r in new.collect()} == {"a": "2", "b": "y"} and trail.count() == 2
+    known = spark.createDataFrame([("https://e.example/abc",), ("https://e.example/abd",), ("https://e.example/xyz",), (None,)], "u string")
+    cut = spark.createDataFrame([("https://e.example/ab",), ("https://e.example/x",), ("https://e.example/abc",), ("https",), (None,)], "c string")
+    got = {r.c: r.repaired for r in joins.prefix_repair(cut, "c", known, "u").collect()}
+    assert got == {"https://e.example/ab": None, "https://e.example/x": "https://e.example/xyz", "https://e.example/abc": "https://e.example/abc", "https": None, None: None}

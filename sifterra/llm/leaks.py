@@ -102,23 +102,31 @@ class ItemIndex:
                 out.append((int(lo + p), float(score[lo + p])))
         return out
 
+    def passages(self, ids: list[int], window: int):
+        """Stretches without a word that no item has, of ``least`` words or more, cut into windows that overlap by ``least - 1`` words, so no run is cut."""
+        least, start = self.least, 0
+        ids.append(-1)
+        while start + least < len(ids):
+            try:
+                end = ids.index(-1, start)
+            except ValueError:
+                break
+            for a in range(start, end - least + 1, window - least + 1):
+                yield ids[a : min(a + window, end)]
+            start = end + 1
+
     def search(self, text: str, window: int = 128) -> dict[int, float]:
-        """Items with a run of ``least`` words in the text, each with its best passage score. Passages overlap by ``least - 1`` words, so no run is cut."""
-        ids = list(map(self.ids.__getitem__, runs(text)))
+        """Items with a run of ``least`` words in the text, each with its best passage score."""
         found: dict[int, float] = {}
-        step = window - self.least + 1
-        for a in range(0, max(1, len(ids) - self.least + 1), step):
-            part = ids[a : a + window]
-            terms = set(part)
-            terms.discard(-1)
-            if len(terms) < 2:
-                continue
-            for p, score in self.candidates(terms):
+        for part in self.passages(list(map(self.ids.__getitem__, runs(text))), window):
+            grams = None
+            for p, score in self.candidates(set(part)):
                 item = self.items[p]
                 if found.get(item, -1.0) >= score:
                     continue
-                grams = self.grams[p]
-                if any(tuple(part[i : i + self.least]) in grams for i in range(len(part) - self.least + 1)):
+                if grams is None:
+                    grams = {tuple(part[i : i + self.least]) for i in range(len(part) - self.least + 1)}
+                if not grams.isdisjoint(self.grams[p]):
                     found[item] = score
         return found
 

@@ -290,3 +290,79 @@ def rrf_fusion(spark, d):
     a = search.top_k(e, ["q"], [F.asc("vec_id")], 1000)
     b = search.top_k(e, ["q"], [F.desc("vec_id")], 1000)
     return search.reciprocal_rank_fusion([a, b], "q", "vec_id").select("vec_id", F.round(F.col("score") * 1000000).cast("bigint").alias("fused"))
+
+
+@query()
+def near_dup_sentences(spark, d):
+    """T-12: answers without sentences that nearly repeat an earlier one"""
+    return _smoke(spark, d, "model_output").where("model_output is not null").select("result_id", text.drop_near_sentences(F.col("model_output")).alias("kept"))
+
+
+@query("SELECT * FROM (VALUES (1, 'no_results'), (2, 'no_authority'), (3, 'weak_scores'), (4, 'thin_text'), (5, 'passed')) t(id, outcome)")
+def quality_gate(spark, d):
+    """R14 on literal result lists"""
+    long = "x" * 50
+    rows = [(1, []), (2, [(9.0, False, long)]), (3, [(0.5, True, long)]), (4, [(9.0, True, "short")]), (5, [(0.1, False, "a"), (9.0, True, long)])]
+    t = spark.createDataFrame(rows, "id int, results array<struct<score:double,domain_ok:boolean,text:string>>")
+    return t.select("id", records.quality_gate(F.col("results")).alias("outcome"))
+
+
+@query("SELECT source_id, CASE WHEN tier = 1 THEN 9 WHEN tier = 2 THEN 7 ELSE tier END AS tier FROM source_registry")
+def override_replay(spark, d):
+    """Patches in order, the last one of each source wins"""
+    from sifterra.operators import lifecycle
+
+    base = load(spark, d, "source_registry").select("source_id", "tier")
+    one, two = base.where("tier = 1"), base.where("tier <= 2")
+    patches = two.select("source_id", F.lit(7).alias("tier"), F.lit(1).alias("at")).unionByName(one.select("source_id", F.lit(9).alias("tier"), F.lit(2).alias("at")))
+    return lifecycle.replay_patches(base, patches, "source_id", "tier", "at")[0]
+
+
+_TEXT_CASES = [
+    ("ward_number", "वडा नम्बर १२ मा", "12"), ("ward_number", "Ward no. 7", "7"), ("last_number", "so 3 and 1,204.5", "1204.5"), ("last_number", "x #### 42 then 7", "42"), ("choice_letter", "The answer is (b).", "B"), ("arithmetic", "what is 6 * 7?", "42.0"),
+    ("stem", "कार्यालयमा", "कार्यालय"), ("stem", "मा", "मा"), ("digits", "२०२१", "2021"), ("gibberish", "aaaaaa", "true"), ("gibberish", "hello there", "false"), ("foreign", "文字", "true"), ("snippet", "abc fee xyz", "abc fee xyz"), ("scrub", "Ask Ram or RAMA", "Ask [name] or RAMA"), ("marks", "x [1]", "x [S1]"), ("tail", "a~b~a~c", "a~b"),
+]
+
+
+@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in c) + ")" for c in _TEXT_CASES) + ") t(function, input, output)")
+def text_rules(spark, d):
+    """T-11, T-18, T-20, T-22, T-28 to T-32, L16 to L18 on literal cases with their expected values"""
+    t = spark.createDataFrame([c[:2] for c in _TEXT_CASES], "function string, input string")
+    i, f = F.col("input"), F.col("function")
+    each = {
+        "ward_number": text.ward_number(i).cast("string"), "last_number": text.last_number(i), "choice_letter": text.choice_letter(i), "arithmetic": text.arithmetic_answer(i).cast("string"), "stem": script.stem_postposition(i), "digits": script.fold_digits(i), "gibberish": text.is_gibberish(i).cast("string"),
+        "foreign": script.foreign_artifact(i).cast("string"), "snippet": text.snippet(i, F.lit("fee")), "scrub": records.scrub(i, ["ram"], "[name]"), "marks": text.mark_citations(i), "tail": F.replace(text.trim_repeated_tail(F.replace(i, F.lit("~"), F.lit("\n"))), F.lit("\n"), F.lit("~")),
+    }
+    out = F.lit(None).cast("string")
+    for name, c in each.items():
+        out = F.when(f == name, c).otherwise(out)
+    return t.select("function", "input", out.alias("output"))
+
+
+@query(r"SELECT label, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT conv_id, turn_no, CASE WHEN d + l < 10 THEN 'other' WHEN d / (d + l)::DOUBLE > 0.5 THEN 'devanagari' WHEN d > 0 AND d / (d + l)::DOUBLE > 0.05 THEN 'code_mixed' WHEN r >= 3 AND r > e THEN 'roman_nepali' ELSE 'english' END AS label FROM (SELECT conv_id, turn_no, len(regexp_extract_all(content, '[ऀ-ॿ]')) AS d, len(regexp_extract_all(content, '[A-Za-z]')) AS l, len(regexp_extract_all(lower(content), '\b(?:ko|ma|ra|le|garn|chha|ke)\b')) AS r, contains(lower(content), 'the ')::INT + contains(lower(content), 'what')::INT AS e FROM chat_turns WHERE content IS NOT NULL)) GROUP BY label")
+def forum_languages(spark, d):
+    """Rule-based labels with the caller's marker lists"""
+    t = load(spark, d, "chat_turns").where("content is not null").select("conv_id", "turn_no", "content").distinct()
+    label = script.forum_language(F.col("content"), ["the ", "what"], ["ko", "ma", "ra", "le", "garn", "chha", "ke"])
+    return t.select("conv_id", "turn_no", label.alias("label")).distinct().groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query()
+def romanised_titles(spark, d):
+    """L15"""
+    return load(spark, d, "crawl_documents").where(F.col("title").rlike("[ऀ-ॿ]")).select("doc_id", script.romanise("title").alias("romanised")).distinct()
+
+
+@query("SELECT doc_id, CAST(count(*) AS BIGINT) AS chunks, CAST(sum(char_end - char_start) AS BIGINT) AS chars FROM (SELECT DISTINCT chunk_id, doc_id, char_start, char_end FROM chunks) GROUP BY doc_id HAVING count(*) > 1")
+def chunk_coverage(spark, d):
+    """Documents of several chunks and the characters they hold"""
+    c = load(spark, d, "chunks").select("chunk_id", "doc_id", "char_start", "char_end").distinct()
+    return c.groupBy("doc_id").agg(F.count("*").alias("chunks"), F.sum(F.col("char_end") - F.col("char_start")).alias("chars")).where("chunks > 1")
+
+
+@query("SELECT page_id, kind FROM (SELECT DISTINCT page_id, CASE WHEN length(coalesce(extracted_text, '')) < 20 THEN 'empty' ELSE 'ok' END AS kind FROM parsed_pages)")
+def extraction_states(spark, d):
+    """H5"""
+    from sifterra.functions import html as H
+
+    return load(spark, d, "parsed_pages").select("page_id", H.extraction_status(F.lit("html"), F.col("extracted_text")).alias("kind")).distinct()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -53,11 +54,33 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     written, and several consumers read it without computing it again.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}_{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{label}_{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_CLEANED: set[str] = set()
+
+
+def _own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; it is deleted when the driver ends."""
+    folder = f"{shared_folder(spark)}/sifterra_{spark.sparkContext.applicationId}"
+    if folder not in _CLEANED:
+        _CLEANED.add(folder)
+        atexit.register(clear_materialized, spark)
+    return folder
+
+
+def clear_materialized(spark: SparkSession) -> None:
+    """Delete all that ``materialize`` wrote in this application. Frames that read it can't be used afterwards."""
+    try:
+        jvm, folder = spark._jvm, f"{shared_folder(spark)}/sifterra_{spark.sparkContext.applicationId}"
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session has ended already
+        pass
+
+
 def bounded_sample(df: DataFrame, keys: list[str], bound: int, seed: int = 17) -> list:
     """At most ``bound`` rows, chosen by the hash of their keys, on the driver.
 

@@ -246,6 +246,11 @@ def oracle_sql() -> dict[str, str]:
     """SQL where it can state the operator's result exactly; the trained operators are tested against held-out accuracy and brute force instead."""
     return {
         "p7_found": _P7,
+        "p7_clean_chunks": f"""
+WITH bad AS (SELECT chunk_id, list(line_no) AS nos FROM ({_P7}) GROUP BY chunk_id)
+SELECT DISTINCT c.chunk_id, c.doc_id, c.chunk_index, CASE WHEN c.text IS NULL THEN NULL ELSE array_to_string(list_filter(string_split(c.text, chr(10)), lambda x, i: NOT list_contains(coalesce(bad.nos, []), i)), chr(10)) END AS clean_text
+FROM (SELECT DISTINCT chunk_id, doc_id, chunk_index, text FROM chunks) c LEFT JOIN bad USING (chunk_id)
+""",
         "p8_found": _P8_PAIRS,
         "p8_leak_report": f"SELECT item_id, count(*) AS documents, min(doc_id) AS first_doc_id FROM ({_P8_PAIRS}) GROUP BY item_id",
     }

@@ -6,6 +6,7 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,3 +110,28 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 64 << 20) -> DataFrame:
 
 def env_int(name: str, default: int) -> int:
     return int(os.environ.get(name, default))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the driver was started.
+
+    Where all processes share a file system, by the workers' search path; on a cluster by a zip of the
+    sources sent to every executor. Once a context.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_sifterra_shipped", False):
+        return
+    sc._sifterra_shipped = True
+    package = os.path.dirname(os.path.abspath(__file__))
+    if sc.master.startswith("local"):
+        paths = [p for p in (sc.environment.get("PYTHONPATH"), os.path.dirname(package)) if p]
+        sc.environment["PYTHONPATH"] = os.pathsep.join(paths)
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="sifterra_"), "sifterra.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(target)

@@ -366,3 +366,29 @@ def extraction_states(spark, d):
     from sifterra.functions import html as H
 
     return load(spark, d, "parsed_pages").select("page_id", H.extraction_status(F.lit("html"), F.col("extracted_text")).alias("kind")).distinct()
+
+
+def _ann(spark, d):
+    from sifterra.operators import vectors
+
+    e = load(spark, d, "embeddings")
+    q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    cells = vectors.fit_cells(e, "vec_id", "embedding")
+    probes = vectors.fit_probes(e, "vec_id", "embedding", cells)
+    return e, q, vectors.ann_search(e, q, "vec_id", "embedding", "qid", "qv", cells, 10, probes)
+
+
+@query()
+def vector_ann_topk(spark, d):
+    """The inverted file; ids divisible by 50 against all rows"""
+    return _ann(spark, d)[2].select("qid", "vec_id", F.col("rank").cast("bigint"))
+
+
+@query()
+def vector_recall(spark, d):
+    """Recall of the inverted file against the exact search"""
+    from sifterra.operators import vectors
+
+    e, q, found = _ann(spark, d)
+    s = e.select("vec_id", "embedding").crossJoin(broadcast_if_small(q)).select("qid", "vec_id", F.round(search.cosine(F.col("embedding"), F.col("qv")), 6).alias("score"))
+    return vectors.recall_at_k(found, search.top_k(s, ["qid"], [F.desc("score"), F.asc("vec_id")], 10), "qid", "vec_id")

@@ -188,3 +188,24 @@ def test_patches_and_prefixes(spark):
     cut = spark.createDataFrame([("https://e.example/ab",), ("https://e.example/x",), ("https://e.example/abc",), ("https",), (None,)], "c string")
     got = {r.c: r.repaired for r in joins.prefix_repair(cut, "c", known, "u").collect()}
     assert got == {"https://e.example/ab": None, "https://e.example/x": "https://e.example/xyz", "https://e.example/abc": "https://e.example/abc", "https": None, None: None}
+
+
+def test_vector_index_recall(spark):
+    import numpy as np
+
+    from sifterra.operators import vectors
+
+    rng = np.random.default_rng(1)
+    centers = rng.normal(size=(20, 16))
+    rows = [(i, [float(v) for v in centers[i % 20] + 0.6 * rng.normal(size=16)]) for i in range(2000)] + [(5000, None), (5001, [0.0] * 16)]
+    df = spark.createDataFrame(rows, "id bigint, v array<float>")
+    q = df.where("id % 50 = 0 and v is not null").select(F.col("id").alias("qid"), F.col("v").alias("qv"))
+    cells = vectors.fit_cells(df, "id", "v", 32)
+    probes = vectors.fit_probes(df, "id", "v", cells)
+    assert 1 <= probes < 16
+    found = vectors.ann_search(df, q, "id", "v", "qid", "qv", cells, 10, probes)
+    exact = search.top_k(df.where("v is not null").crossJoin(q).select("qid", "id", F.round(search.cosine(F.col("v"), F.col("qv")), 6).alias("score")), ["qid"], [F.desc("score"), F.asc("id")], 10)
+    assert vectors.recall_at_k(found, exact, "qid", "id").first().recall >= 0.9
+    empty = df.limit(0)
+    none = vectors.fit_cells(empty, "id", "v")
+    assert vectors.fit_probes(empty, "id", "v", none) == 1 and vectors.ann_search(empty, q, "id", "v", "qid", "qv", none, 5, 1).count() == 0

@@ -10,6 +10,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 
+SLICE = 512
+
+
 class Memo(dict):
     """A dict that computes what it lacks and empties itself at ``limit`` entries, so that memory stays bounded whatever the vocabulary."""
 
@@ -33,10 +36,11 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., Iterator[tuple]]],
     def run(batches):
         one = make()
         for batch in batches:
-            columns = [c.to_pylist() for c in batch.columns]
             out: list[tuple] = []
-            for row in zip(*columns):
-                out.extend(one(*row))
+            # A few rows at a time become Python objects, so long texts don't stand in memory twice.
+            for start in range(0, batch.num_rows, SLICE):
+                for row in zip(*[c.to_pylist() for c in batch.slice(start, SLICE).columns]):
+                    out.extend(one(*row))
                 if len(out) >= 20_000:
                     yield _batch(out, arrow)
                     out = []

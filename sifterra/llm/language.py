@@ -254,7 +254,7 @@ SEGMENTS = "rec_key string, seg_no int, lang string, confidence double, label st
 def label_records(df: DataFrame, model: LanguageModel, prefix: str, key: str, text: str, label: str | None, mixed: bool = True) -> DataFrame:
     """One row per record (``seg_no`` 0) and one per line of five words or more where a record's lines are in several languages.
 
-    Null, blank and letterless texts give no row. Any other columns are ignored, so clashing names do
+    Null keys and null, blank and letterless texts give no row. Any other columns are ignored, so clashing names do
     no harm; duplicate input rows give duplicate rows. No shuffle: one Arrow pass over the texts, whose
     word scores are memoised (a text's logits are additive over words).
     """
@@ -262,7 +262,7 @@ def label_records(df: DataFrame, model: LanguageModel, prefix: str, key: str, te
 
     def make():
         def one(k, t, lab):
-            if t is None:
+            if k is None or t is None:
                 return
             words, weight, lines = text_segments(model, t)
             main = main_language(words, weight)

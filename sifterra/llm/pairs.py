@@ -155,8 +155,8 @@ def defect_of(question: str | None, answer: str | None, wanted: str | None, refu
     copy = is_copy(q, a)
     if not copy and is_truncated(answer):
         return "truncated"
-    if refusals.refuses(a):
-        return None if refusal_ok else "refusal"
+    if not refusal_ok and refusals.refuses(a):
+        return "refusal"
     if copy:
         return "copies_question"
     want = named_language(wanted) if wanted and wanted.strip() else None
@@ -186,18 +186,19 @@ def pair_defects(pairs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def smoke_pairs(smoke: DataFrame) -> DataFrame:
-    return smoke.select(
+    """One pair a row; rows without an id have no key and are left out, repeated rows stay."""
+    return smoke.where("result_id is not null").select(
         F.concat(F.lit("smoke:"), F.col("result_id").cast("string")).alias("pair_key"),
         "question",
         F.col("model_output").alias("answer"),
         F.when(F.trim("response_language") != "", F.col("response_language")).alias("wanted"),
         F.coalesce(F.col("kind") == "refusal", F.lit(False)).alias("refusal_ok"),
-    ).distinct()
+    )
 
 
 def chat_pairs(turns: DataFrame) -> DataFrame:
-    """Each assistant turn with the nearest earlier user turn of its conversation; without one it is no pair."""
-    rows = turns.select("conv_id", "turn_no", "role", "content").distinct()
+    """Each assistant turn with the nearest earlier user turn of its conversation; without one it is no pair. Rows without a key are left out, repeated rows stay."""
+    rows = turns.where("conv_id is not null and turn_no is not null").select("conv_id", "turn_no", "role", "content")
     is_user = F.col("role") == "user"
     d = last_before(rows, "conv_id", "turn_no", F.struct("content"), is_user, "asked")
     return d.where("role = 'assistant' and asked is not null").select(

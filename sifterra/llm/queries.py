@@ -64,7 +64,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_defect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs by origin and defect, sound ones as 'none'."""
     model = language.fit_language_model(load(spark, sf_dir, "documents"))
-    found = pairs.pair_defects(_all_pairs(spark, sf_dir), model)
+    found = pairs.pair_defects(_all_pairs(spark, sf_dir), model).distinct()
     return found.groupBy(F.substring_index("pair_key", ":", 1).alias("origin"), F.coalesce("defect", F.lit("none")).alias("defect")).agg(F.count("*").alias("pairs"))
 
 
@@ -83,7 +83,7 @@ def language_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def make_chunks():
         def one(chunk, doc, text, label):
-            if text is None:
+            if chunk is None or text is None:
                 return
             words, weight, lines = language.text_segments(model, text)
             main = language.main_language(words, weight)
@@ -110,7 +110,7 @@ def language_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     def make_pages():
         def one(page, title, text, label):
             lines, labels, shell, _, _ = pages.read_page(text, title, tagger, residue)
-            if shell or not lines:
+            if page is None or shell or not lines:
                 return
             body = [x for x, lab in zip(lines, labels) if lab == 0]
             words, weight, _ = language.text_segments(model, "\n".join(body))

@@ -57,7 +57,7 @@ def test_labels(label, want):
 def test_records_and_segments(spark, model):
     rng = random.Random(3)
     mixed = "\n".join([sample("en", 8, rng), sample("ne", 20, rng), "kya"])
-    rows = [(1, mixed, "en"), (2, sample("de", 9, rng), "de-DE"), (3, None, "en"), (4, "  \n ", "en"), (5, "123 456 ...", "en"), (6, sample("hi", 5000, rng), None), (2, sample("de", 9, rng), "de-DE")]
+    rows = [(1, mixed, "en"), (2, sample("de", 9, rng), "de-DE"), (3, None, "en"), (4, "  \n ", "en"), (5, "123 456 ...", "en"), (6, sample("hi", 5000, rng), None), (2, sample("de", 9, rng), "de-DE"), (None, sample("de", 9, rng), "en")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").selectExpr("*", "'x' as rec_key", "1 as seg_no", "2 as confidence")
     got = {(r.rec_key, r.seg_no): r for r in L.label_records(df, model, "doc", "doc_id", "text", "lang").collect()}
     assert got["doc:1", 0].lang == "ne" and not got["doc:1", 0].label_ok

@@ -49,7 +49,7 @@ def _is_subsequence(c, b):
 
 
 def test_chat_pairs_take_the_nearest_earlier_user_turn(spark):
-    rows = [(1, 1, "user", "q1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a"), (1, 4, "assistant", "b"), (2, 1, "assistant", "orphan"), (1, 3, "assistant", "a"), (3, 5000, "user", None), (3, 9001, "assistant", "c"), (None, 1, "user", "x")]
+    rows = [(1, 1, "user", "q1"), (1, 2, "user", "q2"), (1, 3, "assistant", "a"), (1, 4, "assistant", "b"), (2, 1, "assistant", "orphan"), (1, 3, "assistant", "a"), (3, 5000, "user", None), (3, 9001, "assistant", "c"), (None, 1, "user", "x"), (None, 2, "assistant", "x"), (4, None, "assistant", "y")]
     t = spark.createDataFrame(rows, "conv_id bigint, turn_no int, role string, content string").selectExpr("*", "1 as asked", "2 as question")
     got = {r.pair_key: r.question for r in P.chat_pairs(t).collect()}
     assert got == {"chat:1:3": "q2", "chat:1:4": "q2", "chat:3:9001": None}
@@ -58,6 +58,7 @@ def test_chat_pairs_take_the_nearest_earlier_user_turn(spark):
 def test_operator_on_odd_rows(spark, model):  # noqa: F811
     s = "result_id bigint, kind string, question string, model_output string, response_language string"
     df = spark.createDataFrame([(1, "grounded", Q, None, None), (2, None, None, A, " "), (1, "grounded", Q, None, None), (3, "refusal", Q, "I must decline to answer. " * 5000, None)], s).selectExpr("*", "1 as answer", "1 as defect")
+    df = df.unionByName(spark.createDataFrame([(None, "grounded", Q, A, None)], s).selectExpr("*", "1 as answer", "1 as defect"))
     got = {r.pair_key: r.defect for r in P.pair_defects(P.smoke_pairs(df), model).collect()}
     assert got["smoke:1"] == "empty" and got["smoke:2"] is None and len(got) == 3
     assert P.pair_defects(P.smoke_pairs(df.limit(0)), model).count() == 0

@@ -40,15 +40,26 @@ def chrf(hyp: pd.Series, ref: pd.Series) -> pd.Series:
     return pd.Series([_chrf(h or "", r or "") for h, r in zip(hyp, ref)])
 
 
+def lcs_length(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence, bit-parallel: one pass over ``b`` with whole-number operations of ``len(a)`` bits."""
+    if not a or not b:
+        return 0
+    places: dict[str, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(a)) - 1
+    row = full
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = (row + hit) | (row - hit)
+    return len(a) - (row & full).bit_count()
+
+
 def _rouge_l(a: list[str], b: list[str]) -> float:
     if not a or not b:
         return 0.0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    p, r = row[-1] / len(a), row[-1] / len(b)
+    n = lcs_length(a, b)
+    p, r = n / len(a), n / len(b)
     return 2 * p * r / (p + r) if p + r else 0.0
 
 

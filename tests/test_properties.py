@@ -8,7 +8,7 @@ from sifterra.functions import text, url
 from sifterra.functions.html import read_html
 from sifterra.functions.script import LegacyFont
 from sifterra.operators.chunking import backward_chunks
-from sifterra.operators.metrics import _chrf, _rouge_l
+from sifterra.operators.metrics import _chrf, _rouge_l, lcs_length
 
 words = st.text(alphabet="ab क।.!? \n", max_size=900)
 
@@ -28,6 +28,16 @@ def test_metrics_are_bounded_and_whole_on_equals(a, b):
         assert abs(_chrf(a, a) - 100) < 1e-9
 
 
+@given(st.lists(st.sampled_from("abc"), max_size=40), st.lists(st.sampled_from("abc"), max_size=40))
+def test_lcs_equals_the_table(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        diagonal = 0
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
+    assert lcs_length(a, b) == row[-1]
+
+
 @given(st.text(max_size=300))
 def test_html_reader_never_fails(t):
     assert isinstance(read_html(t), str)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from sifterra.operators.search import cosine, top_k
-from sifterra.session import bounded_sample, broadcast_if_small
+from sifterra.session import bounded_sample, broadcast_if_small, few_files
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -18,7 +18,7 @@ def _unit(m: np.ndarray) -> np.ndarray:
 
 def fit_cells(df: DataFrame, key: str, vec: str, cells: int = 64, bound: int = 20_000, rounds: int = 15, seed: int = 1) -> np.ndarray:
     """Unit centroids of spherical k-means, fitted on at most ``bound`` vectors chosen by the hash of their keys."""
-    rows = bounded_sample(df.where(F.col(vec).isNotNull()).select(key, vec), [key], bound)
+    rows = bounded_sample(few_files(df).where(F.col(vec).isNotNull()).select(key, vec), [key], bound)
     x = _unit(np.array([r[1] for r in sorted(rows, key=lambda r: str(r[0]))], dtype=np.float64)) if rows else np.zeros((0, 1))
     if len(x) <= cells:
         return x
@@ -42,7 +42,7 @@ def fit_cells(df: DataFrame, key: str, vec: str, cells: int = 64, bound: int = 2
 
 def fit_probes(df: DataFrame, key: str, vec: str, centroids: np.ndarray, k: int = 10, target: float = 0.95, bound: int = 5_000, queries: int = 100) -> int:
     """The fewest cells to probe for a recall of ``target`` at k, measured by brute force inside a bounded sample."""
-    rows = bounded_sample(df.where(F.col(vec).isNotNull()).select(key, vec), [key], bound, seed=29)
+    rows = bounded_sample(few_files(df).where(F.col(vec).isNotNull()).select(key, vec), [key], bound, seed=29)
     if not rows or not len(centroids):
         return 1
     x = _unit(np.array([r[1] for r in sorted(rows, key=lambda r: str(r[0]))], dtype=np.float64))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from sifterra.session import load, materialize, shared_folder
+from sifterra.session import bounded_sample, few_files, load, materialize, shared_folder
 from sifterra.sources import readers, writers
 from sifterra.streaming import jobs
 
@@ -110,3 +110,12 @@ def test_index_maintenance_and_frontier(spark, tmp_path):
     links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "src string, dst string")
     seeds = spark.createDataFrame([("a",)], "url string")
     assert [(r.url, r.depth) for r in jobs.crawl_frontier(links, seeds, 2, 10).collect()] == [("a", 0), ("b", 1), ("c", 2)]
+
+
+def test_samples_are_bounded(spark, tmp_path):
+    spark.range(1000).toDF("id").repartition(10).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    assert few_files(t).count() == 1000 and len(few_files(t, 3).inputFiles()) == 3 and 0 < few_files(t, 3).count() < 1000
+    assert few_files(t.where("id > 5"), 3).count() == 994  # no plain table
+    assert 60 <= len(bounded_sample(t, ["id"], 100)) <= 100 and len(bounded_sample(t, ["id"], 5000)) == 1000
+    assert bounded_sample(t, ["id"], 100) == bounded_sample(t, ["id"], 100) and bounded_sample(t.limit(0), ["id"], 5) == []

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifterra.llm.common import Memo, count_words, map_rows
+from sifterra.llm.common import Memo, is_word, map_rows
 from sifterra.session import bounded_sample
 
 LANGUAGES = ["de", "en", "hi", "ne", "ne-Latn"]
@@ -78,24 +78,33 @@ class LanguageModel:
             row = self.table.get(g)
             if row is not None:
                 total += row
-        return (*total.tolist(), float(len(grams)))
+        return (*total.tolist(), float(len(grams)), is_word(token))
 
     def logits(self, text: str) -> list[float] | None:
         """None where the text has no letters."""
+        return self._read(text)[0]
+
+    def _read(self, text: str) -> tuple[list[float] | None, int]:
+        """Logits and the number of words, in one pass over the tokens."""
         parts = list(map(self.words.__getitem__, text.split()))
         if not parts:
-            return None
-        *sums, n = map(sum, zip(*parts))
-        if not n:
-            return None
-        return [(b + s * self.scale / n) / self.temperature for b, s in zip(self.bias, sums)]
-
-    def classify(self, text: str) -> tuple[str, float] | None:
-        z = self.logits(text)
+            return None, 0
+        *sums, grams, n = map(sum, zip(*parts))
+        if not grams:
+            return None, n
+        return [(b + s * self.scale / grams) / self.temperature for b, s in zip(self.bias, sums)], n
+
+    def read(self, text: str) -> tuple[str | None, float, int]:
+        """Language (None without letters), confidence and number of words."""
+        z, n = self._read(text)
         if z is None:
-            return None
+            return None, 0.0, n
         top = max(z)
-        return LANGUAGES[z.index(top)], 1.0 / sum(math.exp(x - top) for x in z)
+        return LANGUAGES[z.index(top)], 1.0 / sum(math.exp(x - top) for x in z), n
+
+    def classify(self, text: str) -> tuple[str, float] | None:
+        lang, conf, _ = self.read(text)
+        return None if lang is None else (lang, conf)
 
 
 def _features(lines: list[str], longest: int, least_df: int):
@@ -226,13 +235,9 @@ def text_segments(model: LanguageModel, text: str, only: set[int] | None = None)
     for no, line in enumerate(text.split("\n"), 1):
         if only is not None and no not in only:
             continue
-        n = count_words(line)
-        if not n:
-            continue
-        found = model.classify(line)
-        if found is None:
+        lang, conf, n = model.read(line)
+        if lang is None or not n:
             continue
-        lang, conf = found
         words[lang] += n
         weight[lang] += n * conf
         if n >= 5:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, is_word, map_rows
-from sifterra.session import bounded_sample
+from sifterra.session import bounded_sample, few_files
 
 LANGUAGES = ["de", "en", "hi", "ne", "ne-Latn"]
 
@@ -213,6 +213,7 @@ def train(lines: list[tuple[str, str]], longest: int = 4, least_df: int = 2, sca
 
 def fit_language_model(df: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", bound: int = 1500, most_lines: int = 5000) -> LanguageModel:
     """Train on the lines of at most ``bound`` labelled records, chosen by hash, and at most ``most_lines`` lines of them."""
+    df = few_files(df)
     labels = [x for x in NAMES] + ["ne-latn"]
     low = F.lower(F.trim(F.col(label)))
     known = df.where(F.coalesce(F.regexp_replace(low, r"[-_]([a-z]{2}|\d{3})$", ""), F.lit("")).isin(labels) | (low == "ne-latn"))

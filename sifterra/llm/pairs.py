@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sifterra.llm.common import count_words, map_rows
 from sifterra.llm.language import LanguageModel, main_language, named_language, text_segments
+from sifterra.operators.metrics import lcs_length
 from sifterra.operators.sequences import last_before
 
 # Refusal templates.
@@ -62,18 +63,6 @@ def shingles(words: list[str], n: int = 3) -> set[tuple[str, ...]]:
     return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
 
 
-def lcs(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence of tokens."""
-    if not a or not b:
-        return 0
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], diagonal + 1 if x == y else max(row[j], row[j - 1])
-    return row[-1]
-
-
 def bare(text: str | None) -> str:
     """The answer without tags, citations and what surrounds them."""
     return _TAG.sub(" ", _CITATION.sub(" ", text or "")).strip()
@@ -97,7 +86,7 @@ def is_copy(question: list[str], answer: list[str]) -> bool:
     doubled = shingles(question * 2)
     if len(a & doubled) < 0.8 * len(a):
         return False
-    return lcs(question * times, answer) >= 0.9 * max(len(answer), n)
+    return lcs_length(question * times, answer) >= 0.9 * max(len(answer), n)
 
 
 class Refusals:
@@ -116,7 +105,7 @@ class Refusals:
             return False
         rest, covered = answer, 0
         while rest:
-            scored = [(lcs(t, rest[: len(t)]) / len(t), len(t)) for t in self.templates]
+            scored = [(lcs_length(t, rest[: len(t)]) / len(t), len(t)) for t in self.templates]
             share, n = max(scored)
             if share < 0.75:
                 break

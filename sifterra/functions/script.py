@@ -48,9 +48,14 @@ def brace_ratio(text: Column) -> Column:
     return F.when(F.size(all_words) < LEAST_WORDS, F.lit(0.0)).otherwise(F.size(hit) / F.size(all_words))
 
 
-def script_bucket(text: Column) -> Column:
-    """L1: devanagari, latin, mixed, mojibake_suspected or other. Shares are over all characters."""
-    deva, latin, total = devanagari_count(text), latin_count(text), F.length(text)
+def script_bucket(text: Column, deva: Column | None = None, latin: Column | None = None) -> Column:
+    """L1: devanagari, latin, mixed, mojibake_suspected or other. Shares are over all characters.
+
+    Give the counts as columns of an earlier step where the texts are many: the rules use each several times.
+    """
+    deva = devanagari_count(text) if deva is None else deva
+    latin = latin_count(text) if latin is None else latin
+    total = F.length(text)
     d, la = deva / total, latin / total
     hybrid = hybrid_ratio(text) >= HYBRID_SHARE
     return (

@@ -33,13 +33,13 @@ def without_garbled(text: Column) -> Column:
 def pair_issues(question: Column, answer: Column, least: int = 20, most: int = 4000) -> Column:
     """L19, DS11: names of what is wrong with a synthetic pair."""
     share = lambda c: F.coalesce(F.try_divide(devanagari_count(c).cast("double"), devanagari_count(c) + latin_count(c)), F.lit(0.0))
-    return issue_list([("short", F.length(F.trim(answer)) < least), ("long", F.length(answer) > most), ("script", F.abs(share(question) - share(answer)) > 0.6), ("refusal", T.is_refusal(answer)), ("loop", T.loops(answer)), ("missing", answer.isNull() | (F.trim(answer) == ""))])
+    return issue_list([("short", F.length(F.trim(answer)) < least), ("long", F.length(answer) > most), ("script", F.abs(share(question) - share(answer)) > 0.6), ("refusal", T.is_refusal(answer)), ("loop", T.loops(answer)), ("missing", T.is_blank(answer))])
 
 
 def messages(system: Column | None, question: Column, answer: Column) -> Column:
     """N, DS5: an array of role and content; empty parts are left out."""
     parts = ([("system", system)] if system is not None else []) + [("user", question), ("assistant", answer)]
-    return F.array_compact(F.array(*[F.when(c.isNotNull() & (F.trim(c) != ""), F.struct(F.lit(r).alias("role"), c.alias("content"))) for r, c in parts]))
+    return F.array_compact(F.array(*[F.when(~T.is_blank(c), F.struct(F.lit(r).alias("role"), c.alias("content"))) for r, c in parts]))
 
 
 def fit_budget(prompt: Column, answer: Column, limit: int) -> Column:

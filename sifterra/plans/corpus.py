@@ -44,10 +44,17 @@ _BUCKET = r"""
       WHEN la / n::DOUBLE > 0.15 THEN CASE WHEN brace > 0.05 THEN 'mojibake_suspected' ELSE 'latin' END ELSE 'other' END AS bucket FROM r"""
 
 
+def _bucketed(df):
+    """Adds the script counts, then the bucket from them."""
+    t = F.col("text")
+    counted = df.withColumn("deva", script.devanagari_count(t)).withColumn("latin", script.latin_count(t))
+    return counted.withColumn("bucket", script.script_bucket(t, F.col("deva"), F.col("latin")))
+
+
 @query(_BUCKET.format(key="doc_id", text="text", table="documents"))
 def language_bucket(spark, d):
     """L1, L3, L4 over documents"""
-    return load(spark, d, "documents").where("text is not null").select("doc_id", script.script_bucket(F.col("text")).alias("bucket"))
+    return _bucketed(load(spark, d, "documents").where("text is not null").select("doc_id", "text")).select("doc_id", "bucket")
 
 
 @query("SELECT bucket, tier, CAST(count(*) AS BIGINT) AS n FROM (" + _BUCKET.format(key="cv_id, tier", text="preview_before", table="(SELECT DISTINCT cv_id, tier, preview_before FROM converter_validation)") + ") GROUP BY bucket, tier")
@@ -145,9 +152,9 @@ def repetition_window(spark, d):
 def filter_drop_reasons(spark, d):
     """F8: the first failing rule of each document, counted"""
     t = F.col("text")
-    bucket = script.script_bucket(t)
-    reason = F.when(t.isNull() | (F.length(t) == 0), "empty").when(script.substantive_chars(t) < 100, "short").when(bucket == "other", "other").when(bucket == "mojibake_suspected", "mojibake").otherwise("kept")
-    return load(spark, d, "documents").groupBy(reason.alias("drop_reason")).agg(F.count("*").alias("n"))
+    d1 = _bucketed(load(spark, d, "documents").select("text"))
+    reason = F.when(t.isNull() | (F.length(t) == 0), "empty").when(F.col("deva") + F.col("latin") < 100, "short").when(F.col("bucket") == "other", "other").when(F.col("bucket") == "mojibake_suspected", "mojibake").otherwise("kept")
+    return d1.groupBy(reason.alias("drop_reason")).agg(F.count("*").alias("n"))
 
 
 _PARTS = r"lower(regexp_extract({u}, '^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme, lower(regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)) AS host, regexp_extract({u}, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1) AS path, regexp_extract({u}, '^[^?#]*\?([^#]*)', 1) AS q"

@@ -121,11 +121,11 @@ def longest_token_run(spark, d):
     return _smoke(spark, d, "model_output").where("model_output is not null").select("result_id", text.longest_equal_run(text.word_tokens(F.col("model_output"))).cast("bigint").alias("longest"))
 
 
-@query("SELECT question_lang, kind, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (model_refused) AS BIGINT) AS refused, CAST(count(*) FILTER (length(trim(model_output)) = 0 OR model_output IS NULL) AS BIGINT) AS empty, round(avg(length(model_output)), 1) AS mean_chars FROM " + _S + " GROUP BY ALL")
+@query("SELECT question_lang, kind, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (model_refused) AS BIGINT) AS refused, CAST(count(*) FILTER (model_output IS NULL OR NOT regexp_matches(model_output, '[^\\s\\x{00A0}]')) AS BIGINT) AS empty, round(avg(length(model_output)), 1) AS mean_chars FROM " + _S + " GROUP BY ALL")
 def sweep_summary(spark, d):
     """A23, A28"""
     t = _smoke(spark, d, "kind", "question_lang", "model_output", "model_refused")
-    return t.groupBy("question_lang", "kind").agg(F.count("*").alias("n"), F.count_if("model_refused").alias("refused"), F.count_if((F.length(F.trim("model_output")) == 0) | F.col("model_output").isNull()).alias("empty"), F.round(F.avg(F.length("model_output")), 1).alias("mean_chars"))
+    return t.groupBy("question_lang", "kind").agg(F.count("*").alias("n"), F.count_if("model_refused").alias("refused"), F.count_if(text.is_blank(F.col("model_output"))).alias("empty"), F.round(F.avg(F.length("model_output")), 1).alias("mean_chars"))
 
 
 @query("SELECT suite, CAST(count(*) AS BIGINT) AS queries, avg(CASE WHEN r <= 1 THEN 1.0 ELSE 0 END) AS hit_1, avg(CASE WHEN r <= 3 THEN 1.0 ELSE 0 END) AS hit_3, avg(CASE WHEN r <= 5 THEN 1.0 ELSE 0 END) AS hit_5 FROM (SELECT suite, CASE WHEN len(model_citations) > 0 THEN TRY_CAST(substr(model_citations[1], 2) AS INTEGER) END AS r FROM " + _S + ") GROUP BY suite")
@@ -135,7 +135,7 @@ def hit_at_k(spark, d):
     return records.hit_metrics(t, ["suite"], "r")
 
 
-@query("SELECT result_id, CASE WHEN question IS NULL THEN 0 ELSE 1 END + CASE WHEN model_output IS NULL OR trim(model_output) = '' THEN 0 ELSE 1 END AS turns FROM " + _S)
+@query("SELECT result_id, CASE WHEN question IS NULL THEN 0 ELSE 1 END + CASE WHEN model_output IS NULL OR NOT regexp_matches(model_output, '[^\\s\\x{00A0}]') THEN 0 ELSE 1 END AS turns FROM " + _S)
 def training_messages(spark, d):
     """N, DS5: assembled messages; empty parts are left out"""
     t = _smoke(spark, d, "question", "model_output")

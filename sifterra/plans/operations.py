@@ -290,11 +290,11 @@ def pairwise_winrate(spark, d):
     return metrics.win_rate(t.withColumn("r", F.when(F.col("chrf") > 50, "win").when(F.col("chrf") < 30, "loss").otherwise("tie")), ["suite"], "r")
 
 
-@query(r"SELECT result_id, array_to_string(list_filter([CASE WHEN model_output IS NULL OR trim(model_output) = '' THEN 'empty' END, CASE WHEN len(model_citations) = 0 AND kind = 'grounded' THEN 'no_citation' END, CASE WHEN kind = 'refusal' AND model_refused = false THEN 'not_refused' END, CASE WHEN chrf < 10 THEN 'low_chrf' END], lambda x: x IS NOT NULL), ',') AS issues FROM (SELECT DISTINCT result_id, kind, model_output, model_citations, model_refused, chrf FROM smoke_results)")
+@query(r"SELECT result_id, array_to_string(list_filter([CASE WHEN model_output IS NULL OR NOT regexp_matches(model_output, '[^\s\x{00A0}]') THEN 'empty' END, CASE WHEN len(model_citations) = 0 AND kind = 'grounded' THEN 'no_citation' END, CASE WHEN kind = 'refusal' AND model_refused = false THEN 'not_refused' END, CASE WHEN chrf < 10 THEN 'low_chrf' END], lambda x: x IS NOT NULL), ',') AS issues FROM (SELECT DISTINCT result_id, kind, model_output, model_citations, model_refused, chrf FROM smoke_results)")
 def answer_audit(spark, d):
     """R16, A16, E4, E8, N"""
     t = load(spark, d, "smoke_results").select("result_id", "kind", "model_output", "model_citations", "model_refused", "chrf").distinct()
-    issues = metrics.issue_list([("empty", F.col("model_output").isNull() | (F.trim("model_output") == "")), ("no_citation", (F.size("model_citations") == 0) & (F.col("kind") == "grounded")), ("not_refused", (F.col("kind") == "refusal") & ~F.col("model_refused")), ("low_chrf", F.col("chrf") < 10)])
+    issues = metrics.issue_list([("empty", text.is_blank(F.col("model_output"))), ("no_citation", (F.size("model_citations") == 0) & (F.col("kind") == "grounded")), ("not_refused", (F.col("kind") == "refusal") & ~F.col("model_refused")), ("low_chrf", F.col("chrf") < 10)])
     return t.select("result_id", F.array_join(issues, ",").alias("issues"))
 
 

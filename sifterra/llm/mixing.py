@@ -41,7 +41,7 @@ class TokenCounter:
 
 
 def token_counts(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", folder: str = TOKENIZER_DIR, name: str = TOKENIZER) -> DataFrame:
-    """``doc_id, source, tokens``: null and empty texts have 0 tokens."""
+    """``doc_id, source, tokens``: null and empty texts have 0 tokens. Repeated rows are counted again, other columns are ignored, an empty table gives an empty result."""
 
     def make():
         counter = TokenCounter(folder, name)
@@ -88,7 +88,11 @@ def source_rates(counts: DataFrame, targets: DataFrame, total_tokens: float | No
 
 
 def mix(counts: DataFrame, rates: DataFrame, key: str = "doc_id", seed: int = 11) -> DataFrame:
-    """One row per copy: ``doc_id, source, copy_no, tokens``. Each document is emitted floor(rate) times and once more with the fraction's probability, drawn from the hash of its key."""
+    """One row per copy: ``doc_id, source, copy_no, tokens``. Each document is emitted floor(rate) times and once more with the fraction's probability, drawn from the hash of its key.
+
+    Documents without tokens and sources without a rate give no row, null sources among them. Equal keys draw alike,
+    so a result depends on nothing but keys, rates and seed. No group is gathered: rates are joined and rows exploded.
+    """
     r = rates.select("source", "rate")
     joined = counts.where("tokens > 0").join(broadcast_if_small(r), "source")
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / F.lit(float(1 << 52))

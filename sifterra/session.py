@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import hashlib
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -69,18 +70,19 @@ def _own_folder(spark: SparkSession) -> str:
     folder = f"{shared_folder(spark)}/sifterra_{spark.sparkContext.applicationId}"
     if folder not in _CLEANED:
         _CLEANED.add(folder)
-        atexit.register(clear_materialized, spark)
+        atexit.register(clear_materialized, spark, folder)
     return folder
 
 
-def clear_materialized(spark: SparkSession) -> None:
+def clear_materialized(spark: SparkSession, folder: str | None = None) -> None:
     """Delete all that ``materialize`` wrote in this application. Frames that read it can't be used afterwards."""
     try:
-        jvm, folder = spark._jvm, f"{shared_folder(spark)}/sifterra_{spark.sparkContext.applicationId}"
-        path = jvm.org.apache.hadoop.fs.Path(folder)
+        folder = folder or _own_folder(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     except Exception:  # the session has ended already
-        pass
+        if folder and folder.startswith("file:"):
+            shutil.rmtree(folder.removeprefix("file:").replace("//", "/", 1), ignore_errors=True)
 
 
 def few_files(df: DataFrame, most: int = 256) -> DataFrame:

@@ -119,3 +119,14 @@ def test_samples_are_bounded(spark, tmp_path):
     assert few_files(t.where("id > 5"), 3).count() == 994  # no plain table
     assert 60 <= len(bounded_sample(t, ["id"], 100)) <= 100 and len(bounded_sample(t, ["id"], 5000)) == 1000
     assert bounded_sample(t, ["id"], 100) == bounded_sample(t, ["id"], 100) and bounded_sample(t.limit(0), ["id"], 5) == []
+
+
+def test_written_tables_are_deleted(spark):
+    from sifterra import session
+
+    df = session.materialize(spark.range(5).toDF("id"))
+    folder = session._own_folder(spark)
+    session.clear_materialized(spark)
+    with pytest.raises(Exception):
+        df.collect()
+    assert session.materialize(spark.range(5).toDF("id")).count() == 5 and session._own_folder(spark) == folder

@@ -194,13 +194,22 @@ def resent_turns(spark, d):
 
 @query("SELECT conv_id, CAST(count(*) AS BIGINT) AS turns, list_aggregate(list_transform(list_sort(list({'n': turn_no, 's': role || ': ' || left(content, 40)})), lambda x: x.s), 'string_agg', chr(10)) AS messages FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn_no DESC) AS k FROM (SELECT DISTINCT conv_id, turn_no, role, content FROM chat_turns WHERE content IS NOT NULL)) WHERE k <= 8 GROUP BY conv_id")
 def messages_assembly(spark, d):
-    """N, ST5: the last eight turns of a dialogue as one message list, so what is gathered is bounded"""
+    """N, ST5: a preview of the last eight turns of a dialogue, 40 characters of each; whole turns are in messages_whole"""
     t = load(spark, d, "chat_turns").where("content is not null").select("conv_id", "turn_no", "role", F.left("content", F.lit(40)).alias("content")).distinct()
     last = search.top_k(t, ["conv_id"], [F.desc("turn_no")], 8, "k")
     g = last.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sort_array(F.collect_list(F.struct("turn_no", F.concat("role", F.lit(": "), "content").alias("s")))).alias("m"))
     return g.select("conv_id", "turns", F.array_join(F.transform("m", lambda x: x["s"]), "\n").alias("messages"))
 
 
+@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS turns, list_aggregate(list_transform(list_sort(list({'n': turn_no, 's': role || ': ' || content})), lambda x: x.s), 'string_agg', chr(10)) AS messages FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn_no DESC, role DESC, content DESC) AS k FROM (SELECT DISTINCT conv_id, turn_no, role, content FROM chat_turns WHERE content IS NOT NULL)) WHERE k <= 8 GROUP BY conv_id")
+def messages_whole(spark, d):
+    """N, ST5: the last eight turns of a dialogue with their whole contents as one message list"""
+    t = load(spark, d, "chat_turns").where("content is not null").select("conv_id", "turn_no", "role", "content").distinct()
+    last = search.top_k(t, ["conv_id"], [F.desc("turn_no"), F.desc("role"), F.desc("content")], 8, "k")
+    g = last.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sort_array(F.collect_list(F.struct("turn_no", F.concat("role", F.lit(": "), "content").alias("s")))).alias("m"))
+    return g.select("conv_id", "turns", F.array_join(F.transform("m", lambda x: x["s"]), "\n").alias("messages"))
+
+
 @query(r"SELECT DISTINCT conv_id, turn_no, regexp_matches(content, '(?i)\?|^\s*(?:how|what|where|when|why|who|which|can|could|is|are|do|does|should|anyone)\b|\b(?:kasari|kaha|kahile|kati|kina)\b|कसरी|कहाँ|कहिले|कति|किन') AS question FROM chat_turns WHERE content IS NOT NULL AND role = 'user'")
 def question_filter(spark, d):
     """T-9"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifterra.functions import ids, script, text, url
 from sifterra.functions import html as H
 from sifterra.operators import chunking, lifecycle, sampling
-from sifterra.plans.registry import query
+from sifterra.plans.registry import ORACLES, query
 from sifterra.session import load
 
 _SQUEEZE = r"trim(regexp_replace({t}, '[\s\x{{00A0}}\x{{0085}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}\x{{1680}}]+', ' ', 'g'))"
@@ -87,11 +87,24 @@ def chunk_fixed_target(spark, d):
     "SELECT doc_id, left(sha256(encode(CAST(doc_id AS VARCHAR)) || '\\x00'::BLOB || '\\x00\\x00\\x00\\x00'::BLOB || '\\x00'::BLOB || encode(text)), 24) AS chunk_id FROM documents WHERE length(text) BETWEEN 1 AND 199"
 )
 def chunk_ids(spark, d):
-    """Ids of documents that are a single chunk"""
+    """Ids of documents under 200 characters, which are a single chunk; chunk_ids_all has those of all chunks"""
     docs = load(spark, d, "documents").where(F.length("text").between(1, 199))
     return docs.select("doc_id", ids.chunk_id(F.col("doc_id").cast("string"), F.lit(0), F.col("text")).alias("chunk_id"))
 
 
+# The index as four bytes, the lowest first.
+_U32 = "unhex(printf('%02x%02x%02x%02x', i & 255, (i >> 8) & 255, (i >> 16) & 255, (i >> 24) & 255))"
+
+
+@query(
+    "WITH c AS (" + ORACLES["chunk_fixed_target"] + "), x AS (SELECT doc_id, chunk_index, CAST(chunk_index AS BIGINT) AS i, substr(text, CAST(char_start + 1 AS BIGINT), CAST(char_end - char_start AS BIGINT)) AS piece FROM c JOIN documents USING (doc_id))"
+    " SELECT doc_id, chunk_index, left(sha256(encode(CAST(doc_id AS VARCHAR)) || '\\x00'::BLOB || " + _U32 + " || '\\x00'::BLOB || encode(piece)), 24) AS chunk_id FROM x"
+)
+def chunk_ids_all(spark, d):
+    """Ids of all chunks of all documents"""
+    return chunking.chunk_documents(load(spark, d, "documents")).select("doc_id", "chunk_index", "chunk_id")
+
+
 @query()
 def chunk_backward(spark, d):
     """T-3"""

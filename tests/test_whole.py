@@ -1,6 +1,9 @@
 """Queries that do the whole job, over inputs on which a cut shows."""
 
+import hashlib
+
 from sifterra.plans import core_queries
+from tests.test_operators import python_chunks
 
 
 def run(spark, name, folder):
@@ -13,3 +16,12 @@ def test_messages_hold_whole_contents(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id bigint, turn_no int, role string, content string").write.parquet(f"{tmp_path}/chat_turns.parquet")
     got = {r.conv_id: (r.turns, r.messages) for r in run(spark, "messages_whole", tmp_path)}
     assert got == {1: (8, "\n".join(f"user: {n} {long}" for n in range(2, 10))), 2: (2, "user: y")}
+
+
+def test_every_chunk_has_its_id(spark, tmp_path):
+    texts = {1: "short", 2: "x" * 199, 3: "y" * 200, 4: "Some words here. " * 200, 5: "कार्यालय । " * 60_000, 6: "", 7: None}
+    spark.createDataFrame(list(texts.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = {(k, i): hashlib.sha256(str(k).encode() + b"\0" + i.to_bytes(4, "little") + b"\0" + t[a:b].encode()).hexdigest()[:24] for k, t in texts.items() for i, (a, b) in enumerate(python_chunks(t or ""))}
+    got = run(spark, "chunk_ids_all", tmp_path)
+    assert {(r.doc_id, r.chunk_index): r.chunk_id for r in got} == want and len(got) == len(want)
+    assert max(i for _, i in want) > 255

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from sifterra.functions import script, text, url
 from sifterra.operators import joins, records, sampling, search
+from sifterra.plans.operations import _BM25
 from sifterra.plans.registry import query
 from sifterra.session import broadcast_if_small, load, shared_folder
 
@@ -285,13 +286,30 @@ def claim_overlap_score(spark, d):
 
 @query("SELECT vec_id, CAST(sum(1.0 / (60 + r)) * 1000000 AS BIGINT) AS fused FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings WHERE vec_id < 20 UNION ALL SELECT vec_id, row_number() OVER (ORDER BY vec_id DESC) FROM embeddings WHERE vec_id < 20) GROUP BY vec_id")
 def rrf_fusion(spark, d):
-    """R24"""
+    """The arithmetic on two orders of 20 ids; rrf_rankings fuses the rankings of searches"""
     e = load(spark, d, "embeddings").where("vec_id < 20").select("vec_id", F.lit(0).alias("q"))
     a = search.top_k(e, ["q"], [F.asc("vec_id")], 1000)
     b = search.top_k(e, ["q"], [F.desc("vec_id")], 1000)
     return search.reciprocal_rank_fusion([a, b], "q", "vec_id").select("vec_id", F.round(F.col("score") * 1000000).cast("bigint").alias("fused"))
 
 
+_FLAT = _BM25.replace("tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))", "tf * 2.5 / (tf + 1.5)")
+
+
+@query(
+    f"""
+    WITH a AS (WITH {_BM25} SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS r FROM s), b AS (WITH {_FLAT} SELECT item_id, doc_id, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS r FROM s)
+    SELECT item_id, doc_id, round(sum(1.0::DOUBLE / (60 + r)), 9) AS fused, CAST(count(*) AS BIGINT) AS lists FROM (FROM a UNION ALL FROM b) GROUP BY ALL"""
+)
+def rrf_rankings(spark, d):
+    """The whole rankings of the items divisible by 50 over all documents, by BM25 with and without length normalisation, fused. No table links vectors to documents, so both lists are of BM25."""
+    q = load(spark, d, "gold_items").where("item_id % 50 = 0").select("item_id", "question")
+    docs = load(spark, d, "documents")
+    w = Window.partitionBy("item_id").orderBy(F.desc("score"), F.asc("doc_id"))
+    lists = [search.bm25(docs, q, "item_id", "question", b=b).withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(w)) for b in (search.B, 0.0)]
+    return search.reciprocal_rank_fusion(lists, "item_id", "doc_id").select("item_id", "doc_id", F.round("score", 9).alias("fused"), "lists")
+
+
 @query()
 def near_dup_sentences(spark, d):
     """T-12: answers without sentences that nearly repeat an earlier one"""

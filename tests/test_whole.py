@@ -1,6 +1,8 @@
 """Queries that do the whole job, over inputs on which a cut shows."""
 
 import hashlib
+import math
+from collections import Counter
 
 from sifterra.plans import core_queries
 from tests.test_operators import python_chunks
@@ -25,3 +27,25 @@ def test_every_chunk_has_its_id(spark, tmp_path):
     got = run(spark, "chunk_ids_all", tmp_path)
     assert {(r.doc_id, r.chunk_index): r.chunk_id for r in got} == want and len(got) == len(want)
     assert max(i for _, i in want) > 255
+
+
+def test_fusion_ranks_all_documents_of_every_query(spark, tmp_path):
+    docs = {i: " ".join(["fee"] * (i % 5) + ["office"] * (i % 3) + ["word"] * (i * 7 % 11)) for i in range(60)}
+    asked = {0: "office fee", 50: "fee fee word", 51: "fee"}
+    spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(asked.items()), "item_id bigint, question string").write.parquet(f"{tmp_path}/gold_items.parquet")
+    toks = {i: Counter(t.split()) for i, t in docs.items()}
+    mean = sum(sum(c.values()) for c in toks.values()) / len(toks)
+    want = Counter()
+    for q in (0, 50):
+        for b in (0.75, 0.0):
+            score = {}
+            for term, weight in Counter(asked[q].split()).items():
+                df = sum(term in c for c in toks.values())
+                for i, c in toks.items():
+                    if term in c:
+                        score[i] = score.get(i, 0) + weight * max(0, math.log((len(docs) - df + 0.5) / (df + 0.5) + 1)) * c[term] * 2.5 / (c[term] + 1.5 * (1 - b + b * sum(c.values()) / mean))
+            for r, i in enumerate(sorted(score, key=lambda i: (-round(score[i], 6), i)), 1):
+                want[q, i] += 1 / (60 + r)
+    got = {(r.item_id, r.doc_id): (r.fused, r.lists) for r in run(spark, "rrf_rankings", tmp_path)}
+    assert got == {k: (round(v, 9), 2) for k, v in want.items()} and len({d for _, d in got}) > 20

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections import defaultdict
@@ -122,6 +123,7 @@ class WordModel:
         for a, b in self.pairs:
             self.after[a].append(b)
             self.before[b].append(a)
+        self.matching = Memo(self.options, 1_000)
         floor = math.log(0.3 / self.char_total)
         self.unigram = Memo(lambda c: math.log(self.chars[c] / self.char_total) if c in self.chars else math.log(0.02) if c.isascii() else math.log(1e-4) if "ऀ" <= c <= "ॿ" else max(floor, math.log(1e-7))).__getitem__
 
@@ -132,17 +134,39 @@ class WordModel:
         self.__dict__.update(state)
         self._start()
 
-    def options(self, token: str, prev: list[str], following: str | None, most: int = 40) -> list[str]:
-        """Corpus words that a damaged token can be: a lost-byte run stands for one to its length of letters, each '?' for one."""
+    def options(self, token: str) -> list[str]:
+        """All corpus words that a damaged token can be, the most frequent first: a lost-byte run stands for one to its length of letters, each '?' for one."""
         core = _LOST_RUN.sub(lambda m: f".{{1,{len(m[0])}}}", re.sub(r"[?]", "\x00", re.escape(token).replace(r"\?", "?"))).replace("\x00", ".") if any(c in LOST for c in token) else re.escape(token).replace(r"\?", ".")
         pattern = re.compile(core)
-        near = [w for p in prev for w in self.after.get(p, ())] + (self.before.get(following, []) if following else [])
-        out = [w for w in dict.fromkeys(near) if w in self.words and pattern.fullmatch(w)]
         low = max(1, len(_LOST_RUN.sub("", token)) + len(_LOST_RUN.findall(token)))
-        for n in range(low, len(token) + 1):
-            found = [w for w in self.by_length.get(n, ()) if pattern.fullmatch(w)]
-            out += found[:most]
-        return list(dict.fromkeys(out))[: 2 * most]
+        return sorted((w for n in range(low, len(token) + 1) for w in self.by_length.get(n, ()) if pattern.fullmatch(w)), key=lambda w: (-self.words[w], w))
+
+    def likely(self, token: str, left: str | None, right: str | None) -> list[str]:
+        """Of the options between two sound tokens, those that can be the best or the next best.
+
+        Without a pair count the score of a word grows with its frequency alone, so that all words
+        seen beside ``left`` or ``right`` and the two most frequent others hold both.
+        """
+        full = self.matching[token]
+        near = set(self.after.get(left, ())) | set(self.before.get(right, ()))
+        out, others = [], 0
+        for w in full if near else full[:2]:
+            if w in near:
+                out.append(w)
+            elif others < 2:
+                others += 1
+                out.append(w)
+        return out
+
+    def ahead(self, layer: dict[str, tuple[float, str | None]], choices: list[str]) -> dict[str, tuple[float, str | None]]:
+        """The best way to each choice from a layer, as if every pair were tried: pairs without a count differ in the first word's part only."""
+        rest = max(layer, key=lambda a: layer[a][0] - math.log(self.words.get(a, 0) + 2.0))
+        out = {}
+        for w in choices:
+            known = self.before.get(w, ())
+            from_ = [a for a in known if a in layer] if len(known) <= len(layer) else [a for a in layer if (a, w) in self.pairs]
+            out[w] = max(((layer[a][0] + self.step(a, w), a) for a in [rest, *from_]), key=lambda x: x[0])
+        return out
 
     def step(self, a: str | None, b: str) -> float:
         p = (self.words.get(b, 0) + 0.1) / self.total
@@ -152,7 +176,7 @@ class WordModel:
         return math.log((self.pairs.get((a, b), 0) + 2.0 * p) / (n + 2.0))
 
     def repair(self, text: str, margin: float = math.log(3.0)) -> tuple[str, int, int]:
-        """Viterbi over the tokens' options; a damaged token is replaced only where the best word leads the next by ``margin``. (text, damaged, restored)"""
+        """Viterbi over all of the tokens' options; a damaged token is replaced only where the best word leads the next by ``margin``. (text, damaged, restored)"""
         tokens = re.split(r"(\s+)", text)
         places = [i for i, t in enumerate(tokens) if t and not t.isspace()]
         damaged = {i for i in places if damaged_token(tokens[i])}
@@ -161,21 +185,13 @@ class WordModel:
         layers: list[dict[str, tuple[float, str | None]]] = []
         for k, i in enumerate(places):
             t = tokens[i]
-            prev = list(layers[-1]) if layers else []
-            if i in damaged:
-                following = tokens[places[k + 1]] if k + 1 < len(places) and places[k + 1] not in damaged else None
-                choices = self.options(t, prev[:20], following) or [t]
-            else:
+            if i not in damaged:
                 choices = [t]
-            layer = {}
-            for w in choices:
-                if not layers:
-                    layer[w] = (self.step(None, w), None)
-                else:
-                    layer[w] = max(((s + self.step(a, w), a) for a, (s, _) in layers[-1].items()), key=lambda x: x[0])
-            if len(layer) > 40:
-                layer = dict(sorted(layer.items(), key=lambda x: -x[1][0])[:40])
-            layers.append(layer)
+            elif any(0 <= j < len(places) and places[j] in damaged for j in (k - 1, k + 1)):
+                choices = self.matching[t] or [t]
+            else:
+                choices = self.likely(t, tokens[places[k - 1]] if k else None, tokens[places[k + 1]] if k + 1 < len(places) else None) or [t]
+            layers.append(self.ahead(layers[-1], choices) if layers else {w: (self.step(None, w), None) for w in choices})
         path = [max(layers[-1], key=lambda w: layers[-1][w][0])]
         for layer in reversed(layers[1:]):
             path.append(layer[path[-1]][1])
@@ -186,7 +202,7 @@ class WordModel:
                 left = path[k - 1] if k else None
                 right = path[k + 1] if k + 1 < len(path) else None
                 value = lambda w: self.step(left, w) + (self.step(w, right) if right else 0.0)
-                ranked = sorted((value(w) for w in layers[k]), reverse=True)
+                ranked = heapq.nlargest(2, (value(w) for w in layers[k]))
                 if len(ranked) == 1 or value(path[k]) >= ranked[1] + margin:
                     tokens[i] = path[k]
                     restored += 1

@@ -1,4 +1,7 @@
+import itertools
+import math
 import random
+import re
 
 import pytest
 
@@ -94,3 +97,51 @@ def test_operator_on_odd_rows(spark):
     assert {r.restored for r in out} == {NE, DE}
     empty = E.field_table(cv.limit(0))
     assert E.garbled_fields(empty, E.corpus_words(empty)).count() == 0
+
+
+def brute_repair(model, text, margin=math.log(3.0)):
+    """All ways through all corpus words of every damaged place."""
+    tokens = text.split()
+    damaged = {i for i, t in enumerate(tokens) if E.damaged_token(t)}
+
+    def fits(token, w):
+        n = len(token)
+        parts = re.findall(f"[{E.LOST}]+|.", token)
+        return re.fullmatch("".join(f".{{1,{len(x)}}}" if x[0] in E.LOST else "." if x == "?" else re.escape(x) for x in parts), w) and len(w) <= n
+
+    layers = [[w for w in model.words if fits(t, w)] or [t] if i in damaged else [t] for i, t in enumerate(tokens)]
+    best = max(itertools.product(*layers), key=lambda p: sum(model.step(a, b) for a, b in zip((None, *p), p)))
+    out = list(tokens)
+    for i in damaged:
+        value = lambda w: model.step(best[i - 1] if i else None, w) + (model.step(w, best[i + 1]) if i + 1 < len(best) else 0.0)  # noqa: E731, B023
+        ranked = sorted(map(value, layers[i]), reverse=True)
+        if best[i] != tokens[i] and (len(ranked) == 1 or ranked[0] == value(best[i]) and ranked[0] >= ranked[1] + margin):
+            out[i] = best[i]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_repair_against_brute_force(seed):
+    rng = random.Random(seed)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.choice([1, 2, 3, 4]))) for _ in range(60)})
+    model = E.WordModel(dict(zip(words, rng.sample(range(2, 3000), len(words)))), {})
+    model = E.WordModel(model.words, {(a, b): n for (a, b), n in zip({(rng.choice(words), rng.choice(words)) for _ in range(300)}, rng.sample(range(2, 900), 300))})
+    restored = 0
+    for _ in range(60):
+        text = " ".join(rng.choice(words) for _ in range(6)).split()
+        start = rng.randrange(6)
+        for i in range(start, min(6, start + rng.choice([1, 1, 2]))):
+            text[i] = rng.choice(["\ufffd" * 3, "\ufffd", "\ufffd" * 2 + text[i][-1], text[i][0] + "\ufffd" * 2, "??", "???"])
+        got = model.repair(" ".join(text))[0]
+        assert got == brute_repair(model, " ".join(text)), text
+        restored += got.split() != text
+    assert restored > 5
+
+
+def test_short_words_do_not_crowd_out_long_ones():
+    words = {chr(0x3400 + i): 50 for i in range(100)} | {"x" + chr(0x3400 + i): 50 for i in range(200)}
+    assert E.WordModel(words | {"office": 100_000}, {}).repair("\ufffd" * 6)[0] == "office"
+    near = E.WordModel(words | {"the": 500, "ab": 500} | {"office": 90_000, "court": 80_000}, {("the", "ab"): 200})
+    assert near.repair("the " + "\ufffd" * 6)[0] == "the ab"
+    # The best of the shortest words leads those, but not the longer ones.
+    assert E.WordModel(words | {"ab": 1000, "office": 900}, {}).repair("\ufffd" * 6)[0] == "\ufffd" * 6

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,14 +80,19 @@ def is_copy(question: list[str], answer: list[str]) -> bool:
     if not question or not answer:
         return False
     n = len(question)
-    if len(answer) > 4 * n + 4 or len(answer) < 0.8 * n:
+    if len(answer) < 0.8 * n:
         return False
     times = max(1, round(len(answer) / n))
     a = shingles(answer)
     doubled = shingles(question * 2)
     if len(a & doubled) < 0.8 * len(a):
         return False
-    return lcs_length(question * times, answer) >= 0.9 * max(len(answer), n)
+    least = 0.9 * max(len(answer), n)
+    # No alignment is longer than the words that both hold, which is counted before a long answer is aligned.
+    have = Counter(question)
+    if sum(min(times * have[w], c) for w, c in Counter(answer).items()) < least:
+        return False
+    return lcs_length(question * times, answer) >= least
 
 
 class Refusals:
@@ -160,8 +166,9 @@ def pair_defects(pairs: DataFrame, model: LanguageModel) -> DataFrame:
     """``pair_key, defect`` (null for a sound pair) of ``pair_key, question, answer, wanted, refusal_ok``.
 
     Null, blank and mark-only answers are ``empty``; a null question can't be copied and names no language;
-    equal pairs give equal rows; other columns are ignored. One Arrow pass, no shuffle. Alignment is
-    bounded: an answer more than four times as long as its question copies nothing and isn't aligned.
+    equal pairs give equal rows; other columns are ignored. One Arrow pass, no shuffle. A
+    question repeated any number of times is a copy; only answers whose shingles and words are the question's
+    are aligned with it.
     """
     refusals = Refusals()
 

@@ -62,3 +62,12 @@ def test_operator_on_odd_rows(spark, model):  # noqa: F811
     got = {r.pair_key: r.defect for r in P.pair_defects(P.smoke_pairs(df), model).collect()}
     assert got["smoke:1"] == "empty" and got["smoke:2"] is None and len(got) == 3
     assert P.pair_defects(P.smoke_pairs(df.limit(0)), model).count() == 0
+
+
+def test_a_question_repeated_any_number_of_times_is_a_copy():
+    q = "How much is the fee for a land transfer at the ward office".split()
+    for times in (5, 6, 40, 2_000):
+        assert P.is_copy(q, q * times) and P.is_copy(q, q * times + q[:5]), times
+    assert not P.is_copy(q, q + "It is ten rupees and you pay it at the desk".split() * 8)
+    assert not P.is_copy(q, q[:6] * 40)
+    assert not P.is_copy(q, q[:1] * 5_000)

@@ -33,7 +33,8 @@ ABBREVIATIONS = [
 
 #: Years beyond it belong to the Bikram Sambat calendar and name no instant here.
 LAST_YEAR = 2070
-FIRST_YEAR = 1970
+#: The first that a timestamp can be made of and that zones have rules for; 0000 is a placeholder.
+FIRST_YEAR = 1
 #: No timestamp is longer.
 LONGEST = 100
 

@@ -77,3 +77,19 @@ def test_empty_table_extra_columns_and_repeats(spark):
     assert out.count() == 3 and out.distinct().count() == 1
     long = spark.createDataFrame([("a", "ktm", "9" * 100_000)], "doc_id string, source_id string, v string")
     assert normalise_timestamps(long, reg, ["v"]).first().status == "unreadable"
+
+
+@pytest.mark.parametrize(
+    "source,value,want",
+    [
+        ("ktm", "1962-05-01", at(1962, 4, 30, 18, 30)),  # Kathmandu was 5:30 ahead until 1986
+        ("ldn", "11/11/1918 11:00", at(1918, 11, 11, 11)),
+        ("none", "1950-01-01T00:00:00Z", at(1950, 1, 1)),
+        ("ny", "July 4, 1776 12:00 UTC", at(1776, 7, 4, 12)),
+        ("none", "0001-01-02T00:00:00Z", at(1, 1, 2)),
+        ("none", "1969-12-31T23:59:59Z", -1),
+    ],
+)
+def test_dates_before_1970_are_instants(spark, source, value, want):
+    r = run(spark, [("d", source, value)])["d"]
+    assert r.epoch_s == want and r.status in ("resolved", "canonical")

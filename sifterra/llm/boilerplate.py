@@ -95,26 +95,29 @@ def line_edges(found: DataFrame, least_docs: int = 8) -> DataFrame:
     return once.groupBy("source_id", "a1", "a2", "b1", "b2").agg(F.count("*").alias("weight")).where(F.col("weight") >= least_docs)
 
 
-def line_blocks(nodes: DataFrame, edges: DataFrame, most_rounds: int = 50) -> DataFrame:
+def line_blocks(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Connected components of the frequent lines: ``source_id, h1, h2, support, block``. Labels pass along edges until none changes.
 
-    The graph holds frequent lines only, so it is far smaller than the corpus; it stays distributed and
-    every round's labels are written to the shared folder.
+    A label is a line of the same component. Each round a line and the line that its label names take the
+    least label that their neighbours' labels have, and every label is replaced by its own, so rounds
+    grow with the logarithm of a chain. The graph holds frequent lines only, so it is far smaller than the
+    corpus; it stays distributed and every round's labels are written to the shared folder.
     """
-    ident = F.format_string("%016x%016x", "h1", "h2")
-    both = edges.select("source_id", "a1", "a2", "b1", "b2").unionByName(edges.select("source_id", F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2"))).distinct()
-    both = materialize(both, "edges")
-    labels = materialize(nodes.withColumn("block", ident), "blocks")
-    for _ in range(most_rounds):
-        sent = both.join(labels.select("source_id", F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("block").alias("sent")), ["source_id", "a1", "a2"])
-        least = sent.groupBy("source_id", F.col("b1").alias("h1"), F.col("b2").alias("h2")).agg(F.min("sent").alias("sent"))
-        new = labels.join(least, ["source_id", "h1", "h2"], "left")
-        new = materialize(new.select("source_id", "h1", "h2", "support", F.least("block", F.coalesce("sent", "block")).alias("block"), (F.col("sent") < F.col("block")).alias("moved")), "blocks")
-        changed = new.where("moved").limit(1).count()
-        labels = new.drop("moved")
-        if not changed:
-            break
-    return labels
+    ident = lambda a, b: F.format_string("%016x%016x", a, b)
+    pair = edges.select("source_id", ident("a1", "a2").alias("id"), ident("b1", "b2").alias("other"))
+    both = materialize(pair.unionByName(pair.select("source_id", F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "edges")
+    labels = materialize(nodes.withColumn("id", ident("h1", "h2")).select("*", F.col("id").alias("block")), "blocks")
+    while True:
+        named = labels.select("source_id", F.col("id").alias("block"), F.col("block").alias("next"))
+        now = materialize(labels.join(named, ["source_id", "block"]), "blocks")
+        sent = both.join(now.select("source_id", F.col("id").alias("other"), "next"), ["source_id", "other"]).groupBy("source_id", "id").agg(F.min("next").alias("sent"))
+        up = now.join(sent, ["source_id", "id"]).select("source_id", "block", "sent")
+        least = sent.unionByName(up.select("source_id", F.col("block").alias("id"), "sent")).groupBy("source_id", "id").agg(F.min("sent").alias("sent"))
+        new = now.join(least, ["source_id", "id"], "left").withColumn("new", F.least("block", "next", "sent"))
+        labels = materialize(new.select("source_id", "h1", "h2", "support", "id", F.col("new").alias("block"), (F.col("new") < F.col("block")).alias("moved")), "blocks")
+        if not labels.where("moved").limit(1).count():
+            return labels.drop("moved", "id")
+        labels = labels.drop("moved")
 
 
 def repeated_lines(chunks: DataFrame, doc_sources: DataFrame, least_docs: int = 8) -> DataFrame:

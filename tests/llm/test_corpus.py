@@ -136,3 +136,16 @@ def test_mix_of_nothing(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "s", ""), (3, "s", "word " * 30_000)], "doc_id bigint, source string, text string").selectExpr("*", "1 as tokens")
     got = {r.doc_id: r.tokens for r in M.token_counts(docs).collect()}
     assert got[1] == got[2] == 0 and got[3] >= 30_000
+
+
+def test_blocks_of_long_chains(spark):
+    rng = random.Random(5)
+    chains = [("s", list(range(0, 150))), ("s", list(range(200, 203))), ("t", list(range(0, 70))), ("t", [900])]
+    for _, c in chains[:1]:
+        rng.shuffle(c)
+    nodes = [(s, n, -n, 8) for s, c in chains for n in c]
+    edges = [(s, a, -a, b, -b, 8) for s, c in chains for a, b in zip(c, c[1:])]
+    got = B.line_blocks(spark.createDataFrame(nodes, "source_id string, h1 bigint, h2 bigint, support bigint"), spark.createDataFrame(edges, "source_id string, a1 bigint, a2 bigint, b1 bigint, b2 bigint, weight bigint")).collect()
+    ident = lambda n: f"{n & (1 << 64) - 1:016x}{-n & (1 << 64) - 1:016x}"
+    want = {(s, n): min(map(ident, c)) for s, c in chains for n in c}
+    assert {(r.source_id, r.h1): r.block for r in got} == want and len(got) == len(nodes)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sifterra.functions import ids, script, text, url
 from sifterra.functions import html as H
 from sifterra.operators import chunking, lifecycle, sampling
 from sifterra.plans.registry import ORACLES, query
-from sifterra.session import load
+from sifterra.session import broadcast_if_small, load
 
 _SQUEEZE = r"trim(regexp_replace({t}, '[\s\x{{00A0}}\x{{0085}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}\x{{1680}}]+', ' ', 'g'))"
 _TOKENS = r"list_filter(list_transform(regexp_split_to_array({t}, '[\s\x{{00A0}}\x{{0085}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}\x{{1680}}]+'), lambda w: lower(regexp_replace(w, '[^A-Za-z0-9ऀ-ॿ]', '', 'g'))), lambda w: length(w) >= 2)"
@@ -245,13 +246,27 @@ def url_normalizers(spark, d):
     "SELECT source_id, url, depth, CAST(row_number() OVER (PARTITION BY source_id ORDER BY score DESC, depth, url) AS BIGINT) AS place FROM (SELECT source_id, url, min(depth) AS depth, max(priority_at_fetch) AS score FROM crawl_documents WHERE url IS NOT NULL AND source_id IS NOT NULL AND depth IS NOT NULL GROUP BY ALL) QUALIFY place <= 20"
 )
 def frontier_order(spark, d):
-    """K4: the head of each source's frontier by score, depth and address"""
+    """The first 20 of each source's frontier by score, depth and address; frontier_places has all"""
     from sifterra.operators.search import top_k
 
     t = load(spark, d, "crawl_documents").where("url is not null and source_id is not null and depth is not null").groupBy("source_id", "url").agg(F.min("depth").alias("depth"), F.max("priority_at_fetch").alias("score"))
     return top_k(t, ["source_id"], [F.desc("score"), F.asc("depth"), F.asc("url")], 20, "place").select("source_id", "url", "depth", F.col("place").cast("bigint"))
 
 
+@query(
+    "SELECT source_id, url, depth, CAST(row_number() OVER (PARTITION BY source_id ORDER BY score DESC, depth, url) AS BIGINT) AS place FROM (SELECT source_id, url, min(depth) AS depth, max(priority_at_fetch) AS score FROM crawl_documents WHERE url IS NOT NULL AND source_id IS NOT NULL AND depth IS NOT NULL GROUP BY ALL)"
+)
+def frontier_places(spark, d):
+    """K4: every address's place in its source's frontier by score, depth and address. Counts of each score and depth give where its addresses start, so a window ranks inside one of them only."""
+    t = load(spark, d, "crawl_documents").where("url is not null and source_id is not null and depth is not null").groupBy("source_id", "url").agg(F.min("depth").alias("depth"), F.max("priority_at_fetch").alias("score"))
+    sizes = t.groupBy("source_id", "score", "depth").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("source_id").orderBy(F.desc("score"), F.asc("depth")).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("source_id").alias("s"), F.col("score").alias("p"), F.col("depth").alias("q"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    j = t.join(broadcast_if_small(starts), (F.col("source_id") == F.col("s")) & F.col("score").eqNullSafe(F.col("p")) & (F.col("depth") == F.col("q")))
+    inner = F.row_number().over(Window.partitionBy("source_id", "score", "depth").orderBy("url"))
+    return j.select("source_id", "url", "depth", (F.col("start") + inner).cast("bigint").alias("place"))
+
+
 @query("SELECT DISTINCT page_id, length(coalesce(extracted_text, '')) < 200 AND raw_link_count < 3 AND script_count >= 1 AS is_shell FROM parsed_pages")
 def html_shell_verdict(spark, d):
     """H4"""

@@ -49,3 +49,12 @@ def test_fusion_ranks_all_documents_of_every_query(spark, tmp_path):
                 want[q, i] += 1 / (60 + r)
     got = {(r.item_id, r.doc_id): (r.fused, r.lists) for r in run(spark, "rrf_rankings", tmp_path)}
     assert got == {k: (round(v, 9), 2) for k, v in want.items()} and len({d for _, d in got}) > 20
+
+
+def test_every_address_has_its_place(spark, tmp_path):
+    rows = [("hot", f"u{i:03d}", i % 3, None if i % 7 == 0 else i % 5) for i in range(90)] + [("b", "x", 1, 2), ("b", "x", 0, 1), ("b", "y", 0, 2), ("b", None, 0, 2), (None, "z", 0, 2)]
+    spark.createDataFrame(rows, "source_id string, url string, depth int, priority_at_fetch int").write.parquet(f"{tmp_path}/crawl_documents.parquet")
+    hot = sorted(rows[:90], key=lambda r: (r[3] is None, -(r[3] or 0), r[2], r[1]))
+    want = {("hot", r[1]): (r[2], n) for n, r in enumerate(hot, 1)} | {("b", "x"): (0, 1), ("b", "y"): (0, 2)}
+    got = run(spark, "frontier_places", tmp_path)
+    assert {(r.source_id, r.url): (r.depth, r.place) for r in got} == want and len(got) == len(want)

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 import re
-from collections import defaultdict
+from collections import Counter
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, map_rows
+from sifterra.session import broadcast_if_small, materialize
 
 #: Single-byte encodings that UTF-8 is wrongly read in.
 CODECS = ("cp1252", "mac_roman", "cp1251", "cp437", "cp850", "koi8_r", "cp1250")
@@ -19,6 +20,7 @@ LOST = "�□\x1a"
 _LOST_RUN = re.compile(f"[{LOST}]+")
 #: A question mark at a word's end in the midst of a sentence.
 _LOST_END = re.compile(r"[A-Za-z]\? [a-z]")
+_BLANKS = re.compile(r"([ \t\r\n]+)")
 
 
 def _inverse(codec: str) -> dict[str, int]:
@@ -36,8 +38,19 @@ def _inverse(codec: str) -> dict[str, int]:
 
 
 def _plausible(cp: int) -> bool:
-    """Characters that texts in the corpus' languages use beyond ASCII (Latin letters, Devanagari, general punctuation, currency), and those that a half-undone double encoding holds."""
-    return 0x80 <= cp <= 0x17F or 0x900 <= cp <= 0x97F or 0x200B <= cp <= 0x203A or cp in (0x192, 0x2C6, 0x2DC, 0x20AC, 0x20B9, 0x2122, 0x2026, 0xFEFF)
+    """Characters that texts in the corpus' languages use beyond ASCII (Latin letters, Devanagari, general punctuation, currency, pictographs), and those that a half-undone double encoding holds."""
+    return 0x80 <= cp <= 0x17F or 0x900 <= cp <= 0x97F or 0x200B <= cp <= 0x203A or cp in (0x192, 0x2C6, 0x2DC, 0x20AC, 0x20B9, 0x2122, 0x2026, 0xFEFF) or 0x1F300 <= cp <= 0x1FAFF
+
+
+def _code_points(lead: int, rest: tuple[int, ...]) -> list[int]:
+    """Plausible code points of a UTF-8 sequence of one lead byte and following bytes, of which a lost one (-2) can be any."""
+    size = len(rest) + 1
+    low = high = lead & (0xFF >> (size + 1))
+    for b in rest:
+        low, high = low << 6 | (0 if b == -2 else b & 63), high << 6 | (63 if b == -2 else b & 63)
+    least = (0x80, 0x800, 0x10000)[size - 2]
+    fits = lambda cp: all(b == -2 or (cp >> 6 * (size - 2 - i)) & 63 == b & 63 for i, b in enumerate(rest))
+    return [cp for cp in range(max(low, least), min(high, 0x10FFFF) + 1) if _plausible(cp) and fits(cp)]
 
 
 class ByteLattice:
@@ -45,87 +58,97 @@ class ByteLattice:
 
     def __init__(self, codec: str):
         self.codec, self.byte = codec, _inverse(codec)
+        self.byte |= {c: -2 for c in LOST}
         some = lambda low, high: "".join(re.escape(c) for c, b in self.byte.items() if low <= b <= high)
-        tail = some(0x80, 0xBF)
+        tail, lead = some(0x80, 0xBF) + LOST, some(0xE0, 0xEF)
         # Without a lead byte and a byte that may follow it no path reads a sequence, so the search is left out.
-        self.possible = re.compile(f"[{some(0xC2, 0xDF)}{some(0xF0, 0xF4)}][{tail}]|[{some(0xE0, 0xEF)}][{tail} ]")
-
-    def decode(self, text: str, unigram) -> tuple[str, int, int]:
-        """Best path: (decoded text, sequences decoded, wildcards used). Each step keeps a character or reads two to four of them as one UTF-8 sequence."""
-        byte = [self.byte.get(c, -1) if c not in LOST else -2 for c in text]
+        self.pattern = f"[{some(0xC2, 0xDF)}{some(0xF0, 0xF4)}][{tail}]|[{lead}][{tail} ]"
+        self.possible = re.compile(self.pattern)
+        #: Ends in a sequence that a blank, once a no-break space, may go on with.
+        self.open = re.compile(f"[{lead}][{tail}]?$")
+        self.points = Memo(lambda k: _code_points(k[0], k[1:]), 50_000)
+
+    def decode(self, text: str, unigram) -> str:
+        """Best path. Each step keeps a character or reads two to four of them as one UTF-8 sequence, whose lost bytes can be any."""
+        byte = [self.byte.get(c, -1) for c in text]
         n = len(text)
-        best: list[tuple[float, int, str | None, int, int]] = [(-math.inf, 0, None, 0, 0)] * (n + 1)
-        best[0] = (0.0, 0, None, 0, 0)
+        score = [-math.inf] * (n + 1)
+        back: list[tuple[int, str]] = [(0, "")] * (n + 1)
+        score[0] = 0.0
         for i in range(n):
-            score, _, _, seqs, wild = best[i]
-            if score == -math.inf:
-                continue
-            c = text[i]
-            step = score + unigram(c)
-            if step > best[i + 1][0]:
-                best[i + 1] = (step, i, c, seqs, wild)
-            b = byte[i]
+            here, b = score[i], byte[i]
+            step = here + unigram(text[i])
+            if step > score[i + 1]:
+                score[i + 1], back[i + 1] = step, (i, text[i])
             size = 2 if 0xC2 <= b <= 0xDF else 3 if 0xE0 <= b <= 0xEF else 4 if 0xF0 <= b <= 0xF4 else 0
             if not size or i + size > n:
                 continue
-            code, lost = b & (0xFF >> (size + 1)), 0
-            options = [code]
-            for j in range(i + 1, i + size):
-                x = byte[j]
-                if x == 0x20 and size == 3:
-                    x = 0xA0  # a no-break space that was made a blank
-                if x == -2 and j > i + 1:
-                    lost += 1
-                    options = [o << 6 | y for o in options for y in range(64)]
-                elif 0x80 <= x <= 0xBF:
-                    options = [o << 6 | (x & 63) for o in options]
-                else:
-                    options = []
-                    break
-            options = [o for o in options if _plausible(o)]
-            if not options or lost > 1:
+            rest = byte[i + 1 : i + size]
+            if size == 3:
+                rest = [0xA0 if x == 0x20 else x for x in rest]  # a no-break space that was made a blank
+            if not all(x == -2 or 0x80 <= x <= 0xBF for x in rest):
+                continue
+            points = self.points[(b, *rest)]
+            if not points:
                 continue
-            if lost:
-                out, gain = LOST[0], math.log(sum(math.exp(unigram(chr(o))) for o in options)) - 1.0
+            if -2 in rest:
+                out, gain = LOST[0], math.log(sum(math.exp(unigram(chr(o))) for o in points)) - 1.0
             else:
-                out, gain = chr(options[0]), unigram(chr(options[0]))
-            step = score + gain
-            if step > best[i + size][0]:
-                best[i + size] = (step, i, out, seqs + 1, wild + lost)
+                out = chr(points[0])
+                gain = unigram(out)
+            step = here + gain
+            if step > score[i + size]:
+                score[i + size], back[i + size] = step, (i, out)
         out, at = [], n
         while at:
-            _, prev, c, _, _ = best[at]
+            at, c = back[at]
             out.append(c)
-            at = prev
-        return "".join(reversed(out)), best[n][3], best[n][4]
+        return "".join(reversed(out))
 
 
 class WordModel:
-    """Corpus word and word-pair counts; finds the likeliest words for damaged ones."""
+    """Corpus word and word-pair counts; finds the likeliest words for damaged ones.
+
+    Words are numbered by length, so that all words of one length are one string that a pattern is run over;
+    pair counts are sparse rows by first and by second word. ``total`` and ``chars`` are those of the whole
+    corpus where ``words`` holds only those that damage can need.
+    """
 
-    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int]):
+    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int], total: int | None = None, chars: dict[str, int] | None = None):
         self.words, self.pairs = words, pairs
-        self.total = max(1, sum(words.values()))
-        chars: dict[str, int] = defaultdict(int)
-        for w, n in words.items():
-            for c in w:
-                chars[c] += n
-        self.char_total = sum(chars.values()) + 1
-        self.chars = dict(chars)
+        self.total = max(1, sum(words.values()) if total is None else total)
+        if chars is None:
+            count: Counter = Counter()
+            for w, n in words.items():
+                for c in w:
+                    count[c] += n
+            chars = dict(count)
+        self.chars, self.char_total = chars, sum(chars.values()) + 1
         self._start()
 
     def _start(self):
-        self.by_length: dict[int, list[str]] = defaultdict(list)
-        for w in sorted(self.words, key=self.words.get, reverse=True):
-            self.by_length[len(w)].append(w)
-        self.after: dict[str, list[str]] = defaultdict(list)
-        self.before: dict[str, list[str]] = defaultdict(list)
-        for a, b in self.pairs:
-            self.after[a].append(b)
-            self.before[b].append(a)
+        order = sorted(self.words, key=lambda w: (len(w), -self.words[w], w))
+        self.order, size = order, len(order)
+        self.number = {w: i for i, w in enumerate(order)}
+        self.count = np.array([*(self.words[w] for w in order), 0.0])  # the last place is any unknown word
+        self.prob = (self.count + 0.1) / self.total
+        self.rank = np.empty(size, np.int64)
+        self.rank[sorted(range(size), key=lambda i: (-self.words[order[i]], order[i]))] = np.arange(size)
+        self.lengths: dict[int, tuple[int, str]] = {}
+        at = 0
+        while at < size:
+            n, end = len(order[at]), at
+            while end < size and len(order[end]) == n:
+                end += 1
+            self.lengths[n] = (at, "\n".join(order[at:end]))
+            at = end
+        known = [(self.number[a], self.number[b], n) for (a, b), n in self.pairs.items() if a in self.number and b in self.number]
+        a, b, n = (np.array(x) for x in zip(*known)) if known else (np.zeros(0, np.int64),) * 3
+        self.after, self.before = _rows(a, b, n, size + 1), _rows(b, a, n, size + 1)
         self.matching = Memo(self.options, 1_000)
         floor = math.log(0.3 / self.char_total)
         self.unigram = Memo(lambda c: math.log(self.chars[c] / self.char_total) if c in self.chars else math.log(0.02) if c.isascii() else math.log(1e-4) if "ऀ" <= c <= "ॿ" else max(floor, math.log(1e-7))).__getitem__
+        self.score = Memo(self._score, 200_000).__getitem__
 
     def __getstate__(self):
         return {"words": self.words, "pairs": self.pairs, "total": self.total, "chars": self.chars, "char_total": self.char_total}
@@ -134,79 +157,143 @@ class WordModel:
         self.__dict__.update(state)
         self._start()
 
-    def options(self, token: str) -> list[str]:
-        """All corpus words that a damaged token can be, the most frequent first: a lost-byte run stands for one to its length of letters, each '?' for one."""
-        core = _LOST_RUN.sub(lambda m: f".{{1,{len(m[0])}}}", re.sub(r"[?]", "\x00", re.escape(token).replace(r"\?", "?"))).replace("\x00", ".") if any(c in LOST for c in token) else re.escape(token).replace(r"\?", ".")
-        pattern = re.compile(core)
-        low = max(1, len(_LOST_RUN.sub("", token)) + len(_LOST_RUN.findall(token)))
-        return sorted((w for n in range(low, len(token) + 1) for w in self.by_length.get(n, ()) if pattern.fullmatch(w)), key=lambda w: (-self.words[w], w))
-
-    def likely(self, token: str, left: str | None, right: str | None) -> list[str]:
+    def _score(self, token: str) -> float:
+        """Log probability of a token: of its corpus frequency, of that of the likeliest word which its lost letters fit, or of its characters where the corpus doesn't know it."""
+        n = self.words.get(token, 0)
+        spelt = sum(map(self.unigram, token)) - 2.0
+        if not n and _LOST_RUN.search(token) and _LOST_RUN.sub("", token):
+            fits = self.matching[token]
+            n = self.count[fits[0]] / math.e if len(fits) else 0
+        return max(math.log(n / self.total), spelt) if n else spelt
+
+    def options(self, token: str) -> np.ndarray:
+        """Numbers of all corpus words that a damaged token can be, the most frequent first: a lost-byte run stands for one to its length of letters, each '?' for one."""
+        core, low = _word_pattern(token)
+        pattern = re.compile(f"(?m)^(?:{core})$")
+        found = [start + m.start() // (n + 1) for n in range(low, len(token) + 1) if n in self.lengths for start, text in [self.lengths[n]] for m in pattern.finditer(text)]
+        ids = np.array(found, np.int64)
+        return ids[np.argsort(self.rank[ids])]
+
+    def likely(self, token: str, left: int | None, right: int | None) -> np.ndarray:
         """Of the options between two sound tokens, those that can be the best or the next best.
 
         Without a pair count the score of a word grows with its frequency alone, so that all words
         seen beside ``left`` or ``right`` and the two most frequent others hold both.
         """
         full = self.matching[token]
-        near = set(self.after.get(left, ())) | set(self.before.get(right, ()))
-        out, others = [], 0
-        for w in full if near else full[:2]:
-            if w in near:
-                out.append(w)
-            elif others < 2:
-                others += 1
-                out.append(w)
-        return out
-
-    def ahead(self, layer: dict[str, tuple[float, str | None]], choices: list[str]) -> dict[str, tuple[float, str | None]]:
-        """The best way to each choice from a layer, as if every pair were tried: pairs without a count differ in the first word's part only."""
-        rest = max(layer, key=lambda a: layer[a][0] - math.log(self.words.get(a, 0) + 2.0))
-        out = {}
-        for w in choices:
-            known = self.before.get(w, ())
-            from_ = [a for a in known if a in layer] if len(known) <= len(layer) else [a for a in layer if (a, w) in self.pairs]
-            out[w] = max(((layer[a][0] + self.step(a, w), a) for a in [rest, *from_]), key=lambda x: x[0])
-        return out
+        near = np.zeros(len(self.count), bool)
+        for row, at in ((self.after, left), (self.before, right)):
+            if at is not None:
+                near[row[1][row[0][at] : row[0][at + 1]]] = True
+        beside = near[full]
+        others = np.flatnonzero(~beside)[:2]
+        beside[others] = True
+        return full[beside]
+
+    def ahead(self, ids: np.ndarray, scores: np.ndarray, choices: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Best score of each choice and the place in ``ids`` that it comes from, as if every pair were tried: pairs without a count differ in the first word's part only."""
+        base = scores - np.log(self.count[ids] + 2.0)
+        rest = int(base.argmax())
+        best = base[rest] + np.log(2.0 * self.prob[choices])
+        came = np.full(len(choices), rest)
+        start, other, n = self.after
+        sizes = start[ids + 1] - start[ids]
+        if sizes.sum():
+            at = np.repeat(start[ids] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+            place = np.full(len(self.count), -1)
+            place[choices] = np.arange(len(choices))
+            to, from_ = place[other[at]], np.repeat(np.arange(len(ids)), sizes)
+            on = (to >= 0) & (other[at] < len(self.order))
+            to, from_, at = to[on], from_[on], at[on]
+            value = base[from_] + np.log(n[at] + 2.0 * self.prob[other[at]])
+            by = np.lexsort((from_, -value, to))
+            to, from_, value = to[by], from_[by], value[by]
+            first = np.concatenate([[True], to[1:] != to[:-1]]) if len(to) else np.zeros(0, bool)
+            to, from_, value = to[first], from_[first], value[first]
+            up = value > best[to]
+            best[to[up]], came[to[up]] = value[up], from_[up]
+        return best, came
 
     def step(self, a: str | None, b: str) -> float:
         p = (self.words.get(b, 0) + 0.1) / self.total
         if a is None:
             return math.log(p)
-        n = self.words.get(a, 0)
-        return math.log((self.pairs.get((a, b), 0) + 2.0 * p) / (n + 2.0))
+        return math.log((self.pairs.get((a, b), 0) + 2.0 * p) / (self.words.get(a, 0) + 2.0))
+
+    def _beside(self, rows, at: int, ids: np.ndarray) -> np.ndarray:
+        line = np.zeros(len(self.count))
+        line[rows[1][rows[0][at] : rows[0][at + 1]]] = rows[2][rows[0][at] : rows[0][at + 1]]
+        return line[ids]
+
+    def values(self, ids: np.ndarray, left: int | None, right: int | None) -> np.ndarray:
+        """Score of each word between two others."""
+        out = np.log(self.prob[ids]) if left is None else np.log((self._beside(self.after, left, ids) + 2.0 * self.prob[ids]) / (self.count[left] + 2.0))
+        return out if right is None else out + np.log((self._beside(self.before, right, ids) + 2.0 * self.prob[right]) / (self.count[ids] + 2.0))
 
     def repair(self, text: str, margin: float = math.log(3.0)) -> tuple[str, int, int]:
-        """Viterbi over all of the tokens' options; a damaged token is replaced only where the best word leads the next by ``margin``. (text, damaged, restored)"""
+        """Viterbi over all options of each run of damaged tokens between sound ones; a token is replaced only where the best word leads the next by ``margin``. (text, damaged, restored)"""
         tokens = re.split(r"(\s+)", text)
         places = [i for i, t in enumerate(tokens) if t and not t.isspace()]
-        damaged = {i for i in places if damaged_token(tokens[i])}
-        if not damaged:
+        hurt = [damaged_token(tokens[i]) for i in places]
+        if not any(hurt):
             return text, 0, 0
-        layers: list[dict[str, tuple[float, str | None]]] = []
-        for k, i in enumerate(places):
-            t = tokens[i]
-            if i not in damaged:
-                choices = [t]
-            elif any(0 <= j < len(places) and places[j] in damaged for j in (k - 1, k + 1)):
-                choices = self.matching[t] or [t]
+        unknown, words = len(self.order), [tokens[i] for i in places]
+        sound = lambda k: self.number.get(words[k], unknown) if 0 <= k < len(places) else None
+        restored, k = 0, 0
+        while k < len(places):
+            if not hurt[k]:
+                k += 1
+                continue
+            end = k
+            while end < len(places) and hurt[end]:
+                end += 1
+            left, right = sound(k - 1), sound(end)
+            if end - k == 1:
+                layers = [self.likely(words[k], left, right)]
+            else:
+                layers = [self.matching[w] for w in words[k:end]]
+            layers = [x if len(x) else np.array([unknown]) for x in layers]
+            if left is None:
+                scores, backs = np.log(self.prob[layers[0]]), []
             else:
-                choices = self.likely(t, tokens[places[k - 1]] if k else None, tokens[places[k + 1]] if k + 1 < len(places) else None) or [t]
-            layers.append(self.ahead(layers[-1], choices) if layers else {w: (self.step(None, w), None) for w in choices})
-        path = [max(layers[-1], key=lambda w: layers[-1][w][0])]
-        for layer in reversed(layers[1:]):
-            path.append(layer[path[-1]][1])
-        path.reverse()
-        restored = 0
-        for k, i in enumerate(places):
-            if i in damaged and path[k] != tokens[i]:
-                left = path[k - 1] if k else None
-                right = path[k + 1] if k + 1 < len(path) else None
-                value = lambda w: self.step(left, w) + (self.step(w, right) if right else 0.0)
-                ranked = heapq.nlargest(2, (value(w) for w in layers[k]))
-                if len(ranked) == 1 or value(path[k]) >= ranked[1] + margin:
-                    tokens[i] = path[k]
+                scores, backs = self.ahead(np.array([left]), np.zeros(1), layers[0])[0], []
+            for a, b in zip(layers, layers[1:]):
+                scores, came = self.ahead(a, scores, b)
+                backs.append(came)
+            if right is not None:
+                scores = scores + np.log((self._beside(self.before, right, layers[-1]) + 2.0 * self.prob[right]) / (self.count[layers[-1]] + 2.0))
+            path = [int(scores.argmax())]
+            for came in reversed(backs):
+                path.append(int(came[path[-1]]))
+            path = [int(x[i]) for x, i in zip(layers, reversed(path))]
+            for j, (ids, best) in enumerate(zip(layers, path)):
+                if best == unknown:
+                    continue
+                value = self.values(ids, path[j - 1] if j else left, path[j + 1] if j + 1 < len(path) else right)
+                own = value[ids == best][0]
+                top = np.partition(value, -2)[-2] if len(ids) > 1 else -math.inf
+                if (len(ids) == 1 or own >= top + margin) and self.order[best] != words[k + j]:
+                    tokens[places[k + j]] = self.order[best]
                     restored += 1
-        return "".join(tokens), len(damaged), restored
+            k = end
+        return "".join(tokens), sum(hurt), restored
+
+
+def _rows(a: np.ndarray, b: np.ndarray, n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sparse rows: start of each ``a``, its ``b`` and their counts."""
+    by = np.lexsort((b, a))
+    return np.searchsorted(a[by], np.arange(size + 1)), b[by].astype(np.int64), n[by].astype(float)
+
+
+def _word_pattern(token: str) -> tuple[str, int]:
+    """Pattern of the words that a damaged token can be, and their least length."""
+    if any(c in LOST for c in token):
+        parts = re.findall(f"[{LOST}]+|[^{LOST}]+", token)
+        core = "".join(f".{{1,{len(x)}}}" if x[0] in LOST else re.escape(x) for x in parts)
+        # A question mark beside lost bytes may be a mark or another lost letter.
+        core = core.replace(r"\?", ".")
+        return core, max(1, len(_LOST_RUN.sub("", token)) + len(_LOST_RUN.findall(token)))
+    return re.escape(token).replace(r"\?", "."), len(token)
 
 
 def damaged_token(token: str) -> bool:
@@ -226,6 +313,7 @@ class Repairer:
 
     def _start(self):
         self.lattices = [ByteLattice(c) for c in CODECS]
+        self.read = [Memo(lambda atom, lat=lat: lat.decode(atom, self.words.unigram), 50_000) for lat in self.lattices]
 
     def __getstate__(self):
         return {"words": self.words}
@@ -234,32 +322,78 @@ class Repairer:
         self.words = state["words"]
         self._start()
 
+    def readings(self, parts: list[str]) -> list[tuple[int, int, str, str]]:
+        """Every stretch of tokens that some codec reads otherwise: (first token, end, codec, text read).
+
+        ``parts`` are tokens and the blanks between them. A blank is inside a stretch only where it may have been the last byte of a sequence.
+        """
+        out = []
+        text = "".join(parts)
+        for lat, read in zip(self.lattices, self.read):
+            if not lat.possible.search(text):
+                continue
+            i = 0
+            while i < len(parts):
+                if parts[i].isascii():  # neither holds nor opens a sequence
+                    i += 2
+                    continue
+                end = i + 1
+                while end + 1 < len(parts) and parts[end] == " " and lat.open.search(parts[end - 1]):
+                    end += 2
+                atom = "".join(parts[i:end]) if end > i + 1 else parts[i]
+                if lat.possible.search(atom):
+                    now = read[atom]
+                    if now != atom:
+                        out.append((i // 2, (end + 1) // 2, lat.codec, now))
+                i = end + 1
+        return out
+
+    def undo(self, text: str) -> tuple[str, str | None]:
+        """One wrong decoding undone: Viterbi over the tokens, each kept or read by a codec's lattice, under corpus word frequencies. (text, codec that read most tokens)"""
+        parts = _BLANKS.split(text)
+        arcs: dict[int, list[tuple[int, str, str]]] = {}
+        for i, end, codec, now in self.readings(parts):
+            arcs.setdefault(i, []).append((end, codec, now))
+        if not arcs:
+            return text, None
+        score, n = self.words.score, (len(parts) + 1) // 2
+        best, back = [-math.inf] * (n + 1), [None] * (n + 1)
+        best[0] = 0.0
+        for i in range(n):
+            step = best[i] + (score(parts[2 * i]) if parts[2 * i] else 0.0)
+            if step > best[i + 1]:
+                best[i + 1], back[i + 1] = step, (i, None, parts[2 * i])
+            for end, codec, now in arcs.get(i, ()):
+                step = best[i] + sum(map(score, now.split()))
+                if step > best[end]:
+                    best[end], back[end] = step, (i, codec, now)
+        out, at, used = [], n, Counter()
+        while at:
+            i, codec, now = back[at]
+            out.append(now)
+            if i:
+                out.append(parts[2 * i - 1])
+            if codec:
+                used[codec] += at - i
+            at = i
+        return "".join(reversed(out)), used.most_common(1)[0][0] if used else None
+
     def repair(self, text: str | None, legacy: bool | None = None) -> dict | None:
         """None for a sound text; else its damage: codec chain, restored text, number of damaged tokens left.
 
         ``legacy``: the text is in a legacy font, whose code points are any marks at all, so question marks in it are
-        no damage; where it isn't given, ``looks_legacy`` decides once it matters.
+        no damage; where it isn't given, ``looks_legacy`` decides once it matters. Wrong decodings are undone until
+        none makes the text likelier; each makes it shorter, so this ends.
         """
         if not text or (text.isascii() and "?" not in text):
             return None
         chain, now = [], text
-        for _ in range(3):
-            if now.isascii():
-                break
-            runs = []
-            for lat in self.lattices:
-                if not lat.possible.search(now):
-                    continue
-                out, seqs, wild = lat.decode(now, self.words.unigram)
-                if seqs and out != now:
-                    runs.append((self._score(out), seqs, lat.codec, out))
-            if not runs:
-                break
-            score, seqs, codec, out = max(runs, key=lambda r: r[0])
-            if score <= self._score(now):
+        while not now.isascii():
+            after, codec = self.undo(now)
+            if codec is None:
                 break
             chain.append(codec)
-            now = out
+            now = after
         lost = _LOST_RUN.search(text) is not None
         if legacy is None and (lost or "?" in text):
             legacy = looks_legacy(text)
@@ -269,9 +403,23 @@ class Repairer:
         fixed, damaged, restored = self.words.repair(now) if not legacy else (now, sum(c in LOST for c in now), 0)
         return {"codecs": ">".join(chain), "restored": fixed, "damaged_words": damaged, "restored_words": restored}
 
-    def _score(self, text: str) -> float:
-        """Log likelihood of the whole text: fewer and likelier characters are better."""
-        return sum(map(self.words.unigram, text))
+    def needs(self, text: str | None) -> set[str]:
+        """Keys of the corpus words that can matter for a text: '=' and a token for those it has or is read as; for damaged ones a length with the first letter, the last, or neither known."""
+        out: set[str] = set()
+        now = text or ""
+        while now:
+            parts = _BLANKS.split(now)
+            tokens = {t for p in (parts, *(r[3].split() for r in self.readings(parts) if not now.isascii())) for t in p}
+            for t in tokens:
+                out.add("=" + t)
+                if damaged_token(t):
+                    _, low = _word_pattern(t)
+                    free = (*LOST, "?")
+                    kind = "f" + t[0] if t[0] not in free else "l" + t[-1] if t[-1] not in free else "*"
+                    out.update(f"{kind}{n}" for n in range(low, len(t) + 1))
+            after, codec = self.undo(now) if not now.isascii() else (now, None)
+            now = after if codec else ""
+        return out
 
 
 def looks_legacy(text: str | None) -> bool:
@@ -285,15 +433,33 @@ def looks_legacy(text: str | None) -> bool:
     return odd > 0.3 * len(tokens)
 
 
-def corpus_words(texts: DataFrame, least: int = 2, most_words: int = 100_000, most_pairs: int = 200_000) -> WordModel:
-    """Counts of clean words and of adjacent pairs over all rows of ``text``; the model keeps the most frequent ones, bounded."""
+def suspect(text: Column) -> Column:
+    """Whether a text can hold any damage, by built-in expressions: a lead byte with one that may follow under some codec, a mark for lost letters, or a question mark inside or between words. Sound texts never reach Python."""
+    pattern = "|".join([f"[{LOST}]", *(ByteLattice(c).pattern for c in CODECS), r"\?[^\s]", _LOST_END.pattern])
+    return F.coalesce(text.rlike(pattern), F.lit(False))
+
+
+def clean_words(texts: DataFrame, least: int = 2) -> DataFrame:
+    """``w, n``: counts of clean words over all rows of ``text``."""
     clean = F.col("w").rlike(r"^[ऀ-ॿA-Za-zÀ-ÿ’'“”0-9.,;:–§©€£/()-]+$") & ~F.col("w").rlike(r"[Â-Ãà][¡-¿]|[àÃâ]$")
+    t = texts.where(F.col("text").isNotNull()).select(F.explode(F.split(F.trim("text"), r"\s+")).alias("w"))
+    return t.where(clean).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+
+
+def needed_words(words: DataFrame, needs: DataFrame) -> DataFrame:
+    """Words that some damage can need: an equi-join on a word's four keys (itself; its length with first letter, last letter, neither)."""
+    n = F.length("w").cast("string")
+    keys = F.array(F.concat(F.lit("="), "w"), F.concat(F.lit("f"), F.left("w", F.lit(1)), n), F.concat(F.lit("l"), F.right("w", F.lit(1)), n), F.concat(F.lit("*"), n))
+    return words.select("w", "n", F.explode(keys).alias("need")).join(broadcast_if_small(needs), "need", "left_semi").select("w", "n").distinct()
+
+
+def needed_pairs(texts: DataFrame, words: DataFrame, least: int = 2) -> DataFrame:
+    """``x, y, n``: counts of adjacent words that are both needed; the others are dropped before the shuffle."""
     t = texts.where(F.col("text").isNotNull()).select(F.split(F.trim("text"), r"\s+").alias("a"))
-    words = t.select(F.explode("a").alias("w")).where(clean & (F.col("w") != "")).groupBy("w").count().where(F.col("count") >= least)
-    pairs = t.select(F.explode(F.arrays_zip(F.col("a").alias("x"), F.slice("a", 2, 1_000_000_000).alias("y"))).alias("p")).select(F.col("p.x").alias("x"), F.col("p.y").alias("y")).where("y is not null").groupBy("x", "y").count().where(F.col("count") >= least)
-    kept = {r[0]: r[1] for r in words.orderBy(F.desc("count"), "w").limit(most_words).collect()}
-    two = {(r[0], r[1]): r[2] for r in pairs.orderBy(F.desc("count"), "x", "y").limit(most_pairs).collect() if r[0] in kept and r[1] in kept}
-    return WordModel(kept, two)
+    p = t.select(F.explode(F.arrays_zip(F.col("a").alias("x"), F.slice("a", 2, 1_000_000_000).alias("y"))).alias("p")).select(F.col("p.x").alias("x"), F.col("p.y").alias("y")).where("y is not null")
+    for side in ("x", "y"):
+        p = p.join(broadcast_if_small(words.select(F.col("w").alias(side)), 32 << 20), side, "left_semi")
+    return p.groupBy("x", "y").agg(F.count("*").alias("n")).where(F.col("n") >= least)
 
 
 def field_table(cv: DataFrame, key: str = "cv_id") -> DataFrame:
@@ -302,24 +468,65 @@ def field_table(cv: DataFrame, key: str = "cv_id") -> DataFrame:
     return cv.select(key, F.explode(F.array(*[F.struct(F.lit(n).alias("field_name"), c.alias("text")) for n, c in fields])).alias("x")).select(key, "x.field_name", "x.text")
 
 
-def garbled_fields(fields: DataFrame, model: WordModel, key: str = "cv_id") -> DataFrame:
+_FOUND = "field_name string, codecs string, original string, restored string, damaged_words int, restored_words int"
+
+
+def garbled_fields(fields: DataFrame, key: str = "cv_id", least: int = 2, model_words: int = 500_000) -> DataFrame:
     """One row per damaged field: ``cv_id, field_name, codecs, original, restored, damaged_words, restored_words``.
 
     Null, empty and sound fields give no row; legacy-font text is no damage by itself; equal rows give equal
-    rows. ``codecs`` is the chain of wrong encodings undone ('' where letters were only lost).
-    """
-    shared = fields.sparkSession.sparkContext.broadcast(Repairer(model))
-
-    def make():
-        repairer = shared.value
+    rows; an empty table gives an empty result. ``codecs`` is the chain of wrong encodings undone ('' where
+    letters were only lost).
 
+    Words and pairs are counted over all rows, seen ``least`` times or more. A worker holds those that the
+    damage can need, not the vocabulary: beyond ``model_words`` of them the damaged fields are split into
+    shards by their hash, each with its own model, so no word is left out at any size. Only suspect
+    fields reach Python.
+    """
+    spark = fields.sparkSession
+    kind = dict(fields.dtypes)[key]
+    words = materialize(clean_words(fields, least), "words")
+    letters = words.select(F.explode(F.split("w", "")).alias("c"), "n").where("c <> ''").groupBy("c").agg(F.sum("n").alias("n")).collect()  # no more than there are characters
+    total = words.agg(F.sum("n")).first()[0] or 0
+    chars = {r.c: r.n for r in letters}
+    bare = Repairer(WordModel({}, {}, total, chars))
+    hurt = fields.select(key, "field_name", "text").where(suspect(F.col("text")))
+
+    def make_needs():
         def one(k, name, text):
-            found = repairer.repair(text)
-            if found:
-                yield k, name, found["codecs"], text, found["restored"], found["damaged_words"], found["restored_words"]
+            yield k, name, text, list(bare.needs(text))
 
         return one
 
-    return map_rows(
-        fields.select(key, "field_name", "text"), make, f"{key} {dict(fields.dtypes)[key]}, field_name string, codecs string, original string, restored string, damaged_words int, restored_words int"
-    )
+    asked = materialize(map_rows(hurt, make_needs, f"{key} {kind}, field_name string, text string, needs array<string>"), "suspects")
+    place = F.xxhash64("text")
+
+    def model_of(part: DataFrame) -> tuple[DataFrame, int]:
+        needed = materialize(needed_words(words, part.select(F.explode("needs").alias("need")).distinct()), "needed")
+        return needed, needed.count()
+
+    needed, size = model_of(asked)
+    shards = max(1, -(-size // model_words))
+    out = None
+    for s in range(shards):
+        part = asked
+        if shards > 1:
+            part = asked.where(F.pmod(place, F.lit(shards)) == s)
+            needed, _ = model_of(part)
+        pairs = needed_pairs(fields, needed, least).collect()
+        model = WordModel({r.w: r.n for r in needed.collect()}, {(r.x, r.y): r.n for r in pairs}, total, chars)
+        shared = spark.sparkContext.broadcast(Repairer(model))
+
+        def make(shared=shared):
+            repairer = shared.value
+
+            def one(k, name, text):
+                found = repairer.repair(text)
+                if found:
+                    yield k, name, found["codecs"], text, found["restored"], found["damaged_words"], found["restored_words"]
+
+            return one
+
+        found = map_rows(part.select(key, "field_name", "text"), make, f"{key} {kind}, {_FOUND}")
+        out = found if out is None else out.unionByName(found)
+    return out

@@ -39,8 +39,7 @@ def p2_kept_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = encoding.field_table(load(spark, sf_dir, "converter_validation"))
-    return encoding.garbled_fields(fields, encoding.corpus_words(fields))
+    return encoding.garbled_fields(encoding.field_table(load(spark, sf_dir, "converter_validation")))
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:

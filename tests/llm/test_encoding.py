@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from sifterra.llm import encoding as E
 
@@ -92,11 +93,68 @@ def test_operator_on_odd_rows(spark):
     rows = [(1, NE, wrong(NE, "cp1252"), ("f", wrong(DE, "mac_roman"), 1.0, 1)), (2, None, "", None), (3, NE, NE, (None, None, None, None)), (1, NE, wrong(NE, "cp1252"), ("f", wrong(DE, "mac_roman"), 1.0, 1)), (4, "", NE, ("f", NE * 300, 0.5, None))]
     cv = spark.createDataFrame(rows * 3, "cv_id bigint, preview_before string, preview_after string, best_effort struct<font:string,text:string,devanagari_ratio:double,nepali_word_hits:bigint>").selectExpr("*", "1 as field_name", "'z' as text")
     fields = E.field_table(cv)
-    out = E.garbled_fields(fields, E.corpus_words(fields)).select("cv_id", "field_name", "restored").distinct().collect()
+    out = E.garbled_fields(fields).select("cv_id", "field_name", "restored").distinct().collect()
     assert {(r.cv_id, r.field_name) for r in out} == {(1, "preview_after"), (1, "best_effort_text")}
     assert {r.restored for r in out} == {NE, DE}
     empty = E.field_table(cv.limit(0))
-    assert E.garbled_fields(empty, E.corpus_words(empty)).count() == 0
+    assert E.garbled_fields(empty).count() == 0
+
+
+@pytest.mark.parametrize("lost", [1, 2, 3])
+def test_several_lost_bytes_in_one_sequence(repairer, lost):
+    garbled = wrong("सक्छन्", "cp1252")
+    for at in range(1, 3):
+        broken = garbled[:at] + "\ufffd" * min(lost, 3 - at) + garbled[at + min(lost, 3 - at) :]
+        got = repairer.repair("लिन " + broken + " ।")
+        assert got["codecs"] == "cp1252" and got["restored"] == "लिन सक्छन् ।", broken
+
+
+@pytest.mark.parametrize("times", [1, 3, 4, 6])
+def test_wrong_decodings_are_undone_until_none_is_left(repairer, times):
+    text = NE
+    for _ in range(times):
+        text = wrong(text, "latin-1")
+    got = repairer.repair(text)
+    assert got["restored"] == NE and got["codecs"].count(">") == times - 1
+
+
+def test_two_codecs_in_one_text(repairer):
+    got = repairer.repair(wrong(NE, "mac_roman") + "\n" + wrong(DE, "cp437") + " " + EN)
+    assert got["restored"] == NE + "\n" + DE + " " + EN
+
+
+def test_code_points_by_brute_force():
+    for lead, rest in [(0xC3, (-2,)), (0xE0, (-2, -2)), (0xE0, (0xA4, -2)), (0xE2, (-2, 0x94)), (0xF0, (0x9F, -2, 0x80))]:
+        want = []
+        for mid in itertools.product(*[range(0x80, 0xC0) if b == -2 else [b] for b in rest]):
+            try:
+                c = bytes([lead, *mid]).decode()
+            except UnicodeDecodeError:
+                continue
+            if E._plausible(ord(c)):
+                want.append(ord(c))
+        assert E._code_points(lead, rest) == sorted(want)
+
+
+def test_the_builtin_filter_passes_every_damaged_text(spark, repairer):
+    texts = [wrong(t, c) for t in (NE, DE, EN) for c in ("cp1252", "mac_roman", "cp437", "latin-1")] + [NE, DE, EN, "", None, "The caf? beside the gate", "a ?? b", "m?ller", "x\ufffdy", "How? yes", "à¤ ", "ð\u009f\u0098\u0080"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", E.suspect(F.col("t")).alias("s")).collect()
+    for r in got:
+        assert r.s or repairer.repair(texts[r.i]) is None, texts[r.i]
+    assert not any(r.s for r in got if texts[r.i] in (NE, "", None))
+
+
+def test_shards_give_the_same_rows(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        toks = rng.sample(NE.split(), 8)
+        toks[rng.randrange(8)] = "\ufffd" * rng.randrange(1, 6)
+        rows.append((i, "f", " ".join(toks)))
+        rows.append((i, "g", NE))
+    fields = spark.createDataFrame(rows, "cv_id bigint, field_name string, text string")
+    one = sorted(map(tuple, E.garbled_fields(fields).collect()))
+    assert len(one) == 60 and one == sorted(map(tuple, E.garbled_fields(fields, model_words=9).collect()))
 
 
 def brute_repair(model, text, margin=math.log(3.0)):

@@ -126,6 +126,14 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 64 << 20) -> DataFrame:
     return F.broadcast(df) if size_in_bytes(df) <= limit_bytes else df
 
 
+def spread(df: DataFrame, most_bytes: int = 1 << 30) -> DataFrame:
+    """A small table in fewer files than there are cores, spread over all of them, for costly work on its rows. Larger ones, and those in enough files, come back unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if size_in_bytes(df) > most_bytes or not 0 < len(df.inputFiles()) < cores:
+        return df
+    return df.repartition(cores)
+
+
 def env_int(name: str, default: int) -> int:
     return int(os.environ.get(name, default))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, map_rows
-from sifterra.session import broadcast_if_small, materialize
+from sifterra.session import broadcast_if_small, materialize, spread
 
 #: Single-byte encodings that UTF-8 is wrongly read in.
 CODECS = ("cp1252", "mac_roman", "cp1251", "cp437", "cp850", "koi8_r", "cp1250")
@@ -434,9 +434,18 @@ def looks_legacy(text: str | None) -> bool:
 
 
 def suspect(text: Column) -> Column:
-    """Whether a text can hold any damage, by built-in expressions: a lead byte with one that may follow under some codec, a mark for lost letters, or a question mark inside or between words. Sound texts never reach Python."""
-    pattern = "|".join([f"[{LOST}]", *(ByteLattice(c).pattern for c in CODECS), r"\?[^\s]", _LOST_END.pattern])
-    return F.coalesce(text.rlike(pattern), F.lit(False))
+    """Whether a text can hold any damage, by built-in expressions: a lead byte with one that may follow, a mark for lost letters, or a question mark inside or between words. Sound texts never reach Python.
+
+    Characters become one of four classes first (a lead byte, a following byte, either, a mark), each under any
+    codec: a regex over classes of hundreds of characters would take a hundred times as long.
+    """
+    lead, tail = set(), set()
+    for lattice in map(ByteLattice, CODECS):
+        lead |= {c for c, b in lattice.byte.items() if 0xC2 <= b <= 0xF4}
+        tail |= {c for c, b in lattice.byte.items() if 0x80 <= b <= 0xBF}
+    kind = {c: "\ue000" if c in lead & tail else "\ue001" if c in lead else "\ue002" for c in lead | tail} | {c: "\ue003" for c in LOST}
+    classes = F.translate(text, "".join(kind), "".join(kind.values()))
+    return F.coalesce(classes.rlike("[\ue000\ue001][\ue000\ue002\ue003 ]|\ue003|\\?[^\\s]|" + _LOST_END.pattern), F.lit(False))
 
 
 def clean_words(texts: DataFrame, least: int = 2) -> DataFrame:
@@ -486,10 +495,12 @@ def garbled_fields(fields: DataFrame, key: str = "cv_id", least: int = 2, model_
     spark = fields.sparkSession
     kind = dict(fields.dtypes)[key]
     words = materialize(clean_words(fields, least), "words")
-    letters = words.select(F.explode(F.split("w", "")).alias("c"), "n").where("c <> ''").groupBy("c").agg(F.sum("n").alias("n")).collect()  # no more than there are characters
-    total = words.agg(F.sum("n")).first()[0] or 0
-    chars = {r.c: r.n for r in letters}
+    # Counts of characters, and of all words beside the empty one: no more rows than there are characters.
+    letters = words.select(F.explode(F.array_append(F.filter(F.split("w", ""), lambda c: c != ""), F.lit(""))).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n"))
+    chars = {r.c: r.n for r in letters.collect()}
+    total = chars.pop("", 0)
     bare = Repairer(WordModel({}, {}, total, chars))
+    fields = spread(fields)
     hurt = fields.select(key, "field_name", "text").where(suspect(F.col("text")))
 
     def make_needs():

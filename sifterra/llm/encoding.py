@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -328,24 +330,23 @@ class Repairer:
         ``parts`` are tokens and the blanks between them. A blank is inside a stretch only where it may have been the last byte of a sequence.
         """
         out = []
-        text = "".join(parts)
+        text, starts = "".join(parts), None
         for lat, read in zip(self.lattices, self.read):
-            if not lat.possible.search(text):
-                continue
-            i = 0
-            while i < len(parts):
-                if parts[i].isascii():  # neither holds nor opens a sequence
-                    i += 2
+            done = 0
+            for m in lat.possible.finditer(text):
+                if m.start() < done:
                     continue
+                if starts is None:
+                    starts = [0, *accumulate(map(len, parts))]
+                i = bisect_right(starts, m.start()) - 1
                 end = i + 1
                 while end + 1 < len(parts) and parts[end] == " " and lat.open.search(parts[end - 1]):
                     end += 2
                 atom = "".join(parts[i:end]) if end > i + 1 else parts[i]
-                if lat.possible.search(atom):
-                    now = read[atom]
-                    if now != atom:
-                        out.append((i // 2, (end + 1) // 2, lat.codec, now))
-                i = end + 1
+                now = read[atom]
+                if now != atom:
+                    out.append((i // 2, (end + 1) // 2, lat.codec, now))
+                done = starts[end]
         return out
 
     def undo(self, text: str) -> tuple[str, str | None]:
@@ -394,15 +395,19 @@ class Repairer:
                 break
             chain.append(codec)
             now = after
-        lost = _LOST_RUN.search(text) is not None
-        if legacy is None and (lost or "?" in text):
-            legacy = looks_legacy(text)
-        asked = not legacy and "?" in text and (_LOST_END.search(text) is not None or any(damaged_token(t) for t in text.split()))
-        if not (chain or lost or asked):
+        if legacy is None:
+            legacy = marked(text) and looks_legacy(text)
+        if not (chain or _LOST_RUN.search(text) or not legacy and asked(text)):
             return None
         fixed, damaged, restored = self.words.repair(now) if not legacy else (now, sum(c in LOST for c in now), 0)
         return {"codecs": ">".join(chain), "restored": fixed, "damaged_words": damaged, "restored_words": restored}
 
+    def sound(self, text: str | None) -> bool:
+        """No codec reads any part otherwise and no letter is lost, whatever the words' frequencies."""
+        if not text or _LOST_RUN.search(text):
+            return not text
+        return not (asked(text) and not looks_legacy(text)) and not self.readings(_BLANKS.split(text))
+
     def needs(self, text: str | None) -> set[str]:
         """Keys of the corpus words that can matter for a text: '=' and a token for those it has or is read as; for damaged ones a length with the first letter, the last, or neither known."""
         out: set[str] = set()
@@ -422,6 +427,15 @@ class Repairer:
         return out
 
 
+def marked(text: str) -> bool:
+    return "?" in text or _LOST_RUN.search(text) is not None
+
+
+def asked(text: str) -> bool:
+    """Letters were lost to question marks."""
+    return "?" in text and (_LOST_END.search(text) is not None or any(damaged_token(t) for t in text.split()))
+
+
 def looks_legacy(text: str | None) -> bool:
     """Text in a legacy font: mostly Latin code points, but few plain words — marks stand inside the words."""
     if not text:
@@ -505,7 +519,8 @@ def garbled_fields(fields: DataFrame, key: str = "cv_id", least: int = 2, model_
 
     def make_needs():
         def one(k, name, text):
-            yield k, name, text, list(bare.needs(text))
+            if not bare.sound(text):
+                yield k, name, text, list(bare.needs(text))
 
         return one
 

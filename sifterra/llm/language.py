@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, is_word, map_rows
-from sifterra.session import bounded_sample, few_files
+from sifterra.session import bounded_sample, few_files, spread
 
 LANGUAGES = ["de", "en", "hi", "ne", "ne-Latn"]
 
@@ -282,4 +282,4 @@ def label_records(df: DataFrame, model: LanguageModel, prefix: str, key: str, te
 
         return one
 
-    return map_rows(df.select(*columns), make, SEGMENTS)
+    return map_rows(spread(df).select(*columns), make, SEGMENTS)

@@ -8,31 +8,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifterra.llm import boilerplate, encoding, language, leaks, mixing, pages, pairs, reading
-from sifterra.llm.common import map_rows
-from sifterra.session import load, materialize
+from sifterra.llm.common import fitted, map_rows, map_slices
+from sifterra.session import load, materialize, spread
+
+
+def _tagger(spark: SparkSession, sf_dir: str) -> pages.PageTagger:
+    return fitted(spark, "pages", sf_dir, lambda: pages.fit_page_tagger(load(spark, sf_dir, "parsed_pages")))
+
+
+def _language(spark: SparkSession, sf_dir: str) -> language.LanguageModel:
+    return fitted(spark, "language", sf_dir, lambda: language.fit_language_model(load(spark, sf_dir, "documents")))
+
+
+def _reading(spark: SparkSession, sf_dir: str) -> reading.ReadingModel:
+    return fitted(spark, "reading", sf_dir, lambda: reading.fit_from_table(load(spark, sf_dir, "graded_samples")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = load(spark, sf_dir, "parsed_pages")
-    blocks = pages.page_blocks(table, pages.fit_page_tagger(table))
+    blocks = pages.page_blocks(table, _tagger(spark, sf_dir))
     return blocks.where("not is_body and not shell").select("page_id", "line_no").distinct()
 
 
 def p1_main_body(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main-body text of every page."""
     table = load(spark, sf_dir, "parsed_pages")
-    return pages.main_text(table, pages.fit_page_tagger(table)).distinct()
+    return pages.main_text(table, _tagger(spark, sf_dir)).distinct()
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = load(spark, sf_dir, "parsed_pages")
-    return pages.shell_pages(table, pages.fit_page_tagger(table)).select("page_id").distinct()
+    return pages.shell_pages(table, _tagger(spark, sf_dir)).select("page_id").distinct()
 
 
 def p2_kept_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that stay once those without content are dropped, with the hints beside them."""
     table = load(spark, sf_dir, "parsed_pages")
-    shells = pages.shell_pages(table, pages.fit_page_tagger(table)).select("page_id").distinct()
+    shells = pages.shell_pages(table, _tagger(spark, sf_dir)).select("page_id").distinct()
     hints = load(spark, sf_dir, "poll_cycles").groupBy("cycle_id").agg(F.bool_or("shell_flagged").alias("shell_flagged"))
     kept = table.select("page_id", "source_id", "cycle_id", "script_count").distinct().join(shells, "page_id", "left_anti")
     return kept.join(hints, "cycle_id", "left").select("page_id", "source_id", "script_count", "shell_flagged")
@@ -56,13 +68,13 @@ def _all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = language.fit_language_model(load(spark, sf_dir, "documents"))
+    model = _language(spark, sf_dir)
     return pairs.pair_defects(_all_pairs(spark, sf_dir), model).where("defect is not null").distinct()
 
 
 def p4_defect_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs by origin and defect, sound ones as 'none'."""
-    model = language.fit_language_model(load(spark, sf_dir, "documents"))
+    model = _language(spark, sf_dir)
     found = pairs.pair_defects(_all_pairs(spark, sf_dir), model).distinct()
     return found.groupBy(F.substring_index("pair_key", ":", 1).alias("origin"), F.coalesce("defect", F.lit("none")).alias("defect")).agg(F.count("*").alias("pairs"))
 
@@ -77,7 +89,7 @@ def language_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents by the words of their distinct chunks, from the same pass over the chunks.
     """
     docs = load(spark, sf_dir, "documents")
-    model = language.fit_language_model(docs)
+    model = _language(spark, sf_dir)
     out = language.label_records(docs, model, "doc", "doc_id", "text", "lang").select("rec_key", "seg_no", "lang", "confidence", "label_ok")
 
     def make_chunks():
@@ -99,27 +111,26 @@ def language_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
         return one
 
-    chunks = load(spark, sf_dir, "chunks").select("chunk_id", "doc_id", "text", "language")
+    chunks = spread(load(spark, sf_dir, "chunks").select("chunk_id", "doc_id", "text", "language"))
     seen = materialize(map_rows(chunks, make_chunks, _COUNTED), "chunk_languages")
     out = out.unionByName(seen.where("seg_no >= 0").select("rec_key", "seg_no", "lang", "confidence", "label_ok"))
 
     table = load(spark, sf_dir, "parsed_pages")
-    tagger, residue = pages.fit_page_tagger(table), pages.ResidueMatcher()
+    tagger, residue = _tagger(spark, sf_dir), pages.ResidueMatcher()
 
     def make_pages():
-        def one(page, title, text, label):
-            lines, labels, shell, _, _ = pages.read_page(text, title, tagger, residue)
-            if page is None or shell or not lines:
-                return
-            body = [x for x, lab in zip(lines, labels) if lab == 0]
-            words, weight, _ = language.text_segments(model, "\n".join(body))
-            main = language.main_language(words, weight)
-            if main is not None:
-                yield f"page:{page}", 0, main[0], main[1], language.named_language(label) == main[0]
+        def some(rows):
+            for (page, _, _, label), (lines, labels, shell, _, _) in zip(rows, pages.read_pages([r[1:3] for r in rows], tagger, residue)):
+                if page is None or shell or not lines:
+                    continue
+                words, weight, _ = language.text_segments(model, "\n".join(x for x, lab in zip(lines, labels) if lab == 0))
+                main = language.main_language(words, weight)
+                if main is not None:
+                    yield f"page:{page}", 0, main[0], main[1], language.named_language(label) == main[0]
 
-        return one
+        return some
 
-    out = out.unionByName(map_rows(table.select("page_id", "title", "extracted_text", "lang"), make_pages, "rec_key string, seg_no int, lang string, confidence double, label_ok boolean"))
+    out = out.unionByName(map_slices(spread(table).select("page_id", "title", "extracted_text", "lang"), make_pages, "rec_key string, seg_no int, lang string, confidence double, label_ok boolean"))
 
     # A chunk counts once however often its row is repeated.
     per_chunk = seen.where("seg_no = -1").groupBy("rec_key", "doc_id", "lang").agg(F.max("words").alias("words"), F.max("confidence").alias("confidence"))
@@ -193,15 +204,15 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
-    model = language.fit_language_model(docs)
-    level = reading.fit_from_table(load(spark, sf_dir, "graded_samples"))
+    model = _language(spark, sf_dir)
+    level = _reading(spark, sf_dir)
     return reading.reading_levels(docs, model, level).select("doc_id", "reading_level").distinct()
 
 
 def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and words by language and level."""
     docs = load(spark, sf_dir, "documents")
-    found = reading.reading_levels(docs, language.fit_language_model(docs), reading.fit_from_table(load(spark, sf_dir, "graded_samples")))
+    found = reading.reading_levels(docs, _language(spark, sf_dir), _reading(spark, sf_dir))
     return found.groupBy("lang", "reading_level").agg(F.count("*").alias("documents"), F.sum("n_words").alias("words"), F.avg("confidence").alias("confidence"))
 
 

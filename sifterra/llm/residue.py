@@ -1,4 +1,9 @@
-"""Template residue, filler, error messages and script notices, found by one multi-pattern automaton."""
+"""Template residue, filler, error messages and script notices, found by one multi-pattern automaton.
+
+The automaton holds phrases and the opening and closing marks of templates. What it matches, with the empty
+words of a notice around it, is the covered part of a line; a line counts as residue when that is most of it.
+So wordings that no list holds are found by their parts.
+"""
 
 from __future__ import annotations
 
@@ -7,110 +12,16 @@ import re
 import ahocorasick
 
 from sifterra.llm.common import Memo
+from sifterra.llm import phrases
 
-# Error, waiting, script-required and filler phrases in several languages, in lower case. Digits are matched as 0.
-ERROR_PHRASES = """
-not found
-page not found
-internal server error
-bad gateway
-gateway timeout
-service unavailable
-the portal is being repaired tonight, come back tomorrow
-forbidden: you do not have permission to access this resource
-you do not have permission to access this resource
-access denied
-the address you asked for does not exist on this server
-oops! we can't find that page
-there is nothing under this address any more
-whoops, this part of the portal just broke
-something went wrong
-your session has expired. please log in again to continue
-your session has expired
-request blocked. reference id 0-0-0
-request blocked
-this account has been suspended. contact the hosting provider
-this account has been suspended
-could not open a connection to the database
-error establishing a database connection
-fatal error: uncaught typeerror in view.php on line 0
-fatal error: uncaught
-exception in thread main: nullpointer at portal.render(0)
-exception in thread
-index of /uploads name last modified size parent directory
-name last modified size parent directory
-माफ गर्नुहोस्, तपाईंले खोज्नुभएको पृष्ठ फेला परेन
-पृष्ठ फेला परेन
-सर्भरमा समस्या आयो
-कृपया केही समयपछि पुनः प्रयास गर्नुहोस्
-पृष्ठ नहीं मिला
-सर्वर में त्रुटि
-seite nicht gefunden
-interner serverfehler
-"""
-SCRIPT_PHRASES = """
-please enable javascript to view this page
-enable javascript to
-you must switch on javascript before this app can start
-this application requires a script-capable browser
-your browser does not support scripts, or scripts have been turned off
-some parts of this portal stay blank until scripts are turned on
-checking your browser before you continue. this takes 0 seconds
-checking your browser before you continue
-you need to enable javascript to run this app
-javascript is required
-please turn on javascript
-loading, please wait
-loading...
-loading comments...
-please wait
-one moment please
-यो पृष्ठ हेर्न जाभास्क्रिप्ट सक्रिय गर्नुहोस्
-जाभास्क्रिप्ट सक्रिय गर्नुहोस्
-लोड हुँदैछ, कृपया पर्खनुहोस्
-लोड हुँदैछ
-कृपया पर्खनुहोस्
-कृपया जावास्क्रिप्ट चालू करें
-लोड हो रहा है
-bitte aktivieren sie javascript
-wird geladen
-"""
-FILLER_PHRASES = """
-your text here
-sample page. replace this text with your own content
-replace this text with your own content
-this is your first entry. delete it and write one of your own
-this is a sample page
-hello world
-this page is under construction
-under construction
-content coming soon
-coming soon
-no description available
-asdf asdf qwer asdf zxcv
-test test test 0
-test test test
-xxx xxxx xx xxx xxxxx
-सामग्री चाँडै राखिनेछ
-यहाँ विवरण राख्नुहोस्
-निर्माणाधीन
-hier steht ihr text
-"""
-# Words of pseudo-Latin filler.
-FILLER_WORDS = """
-lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt labore dolore magna aliqua enim minim veniam quis nostrud
-exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum fugiat nulla pariatur excepteur sint
-occaecat cupidatat non proident sunt culpa officia deserunt mollit anim est laborum praesent vestibulum fermentum pharetra viverra porta nisl erat justo
-congue dictum orbit molit fermen praes saecul vendar velisce pharet quendo ascira viver
-"""
-# The shapes of template marks.
-PLACEHOLDER = re.compile(
-    r"\{\{[^{}\n]{0,60}\}\}|\{%[^%\n]{0,60}%\}|<%=?[^%\n]{0,60}%>|<\?=?[^?\n]{0,60}\?>|\[\[[^\[\]\n]{0,60}\]\]|\[%[^%\n]{0,60}%\]|[$#]\{[^{}\n]{0,60}\}|\{\d{1,2}\}"
-    r"|%%\w+%%|\b__[A-Z_]+__\b|@Model\.\w+|\[(?:Insert|Enter|Your|Add)\b[^\[\]\n]{0,60}\]|\[तपाईंको[^\[\]\n]{0,60}\]|\bundefined\b|\bNaN\b|\[object Object\]"
-)
-_DIGITS = re.compile(r"[0-9०-९]+")
-_TOKENS = re.compile(r"[^\W_]+")
+#: Longest content of a template mark, and the words that may stand around one and still say nothing.
+LONGEST_MARK, WORDS_A_MARK = 60, 5
+#: Least share of customary pseudo-Latin words in a line of filler.
+LATIN_SHARE = 0.3
+_DIGITS = re.compile(r"[0-9०-९]+(?:[.,][0-9०-९]+)*")
+_TOKENS = re.compile(r"[^\W_](?:[^\W_]|['ऀ-ः़-ॏ॑-ॗ])*")
 _QUOTES = str.maketrans("’‘“”", "''\"\"")
+_NAME = re.compile(r"[\w.]+")
 
 
 def _lines(block: str) -> list[str]:
@@ -118,56 +29,96 @@ def _lines(block: str) -> list[str]:
 
 
 def automaton() -> ahocorasick.Automaton:
-    a = ahocorasick.Automaton()
-    for kind, block in (("error", ERROR_PHRASES), ("script", SCRIPT_PHRASES), ("filler", FILLER_PHRASES)):
+    """Pattern to a list of (length, kind): a kind of phrase, a word of pseudo-Latin, or what a mark opens and closes."""
+    found: dict[str, list[tuple]] = {}
+    for kind, block in (("error", phrases.ERROR_PHRASES), ("script", phrases.SCRIPT_PHRASES), ("filler", phrases.FILLER_PHRASES), ("placeholder", phrases.MARK_PHRASES)):
         for phrase in _lines(block):
-            a.add_word(phrase, (len(phrase), kind))
+            found.setdefault(phrase, []).append((len(phrase), kind))
+    for i, (start, end) in enumerate(phrases.MARK_PAIRS):
+        found.setdefault(start, []).append((len(start), "open", i))
+        found.setdefault(end, []).append((len(end), "close", i))
+    for word in phrases.FILLER_WORDS.split():
+        if len(word) > 3:
+            found.setdefault(word, []).append((len(word), "latin"))
+    for prefix in phrases.MARK_PREFIXES:
+        found.setdefault(prefix, []).append((len(prefix), "prefix"))
+    a = ahocorasick.Automaton()
+    for pattern, what in found.items():
+        a.add_word(pattern, what)
     a.make_automaton()
     return a
 
 
+def _letters(text: str) -> int:
+    return sum(map(str.isalnum, text))
+
+
 class ResidueMatcher:
     """``coverage(line)``: the share of a line's letters and digits that residue covers, and the leading kind."""
 
     def __init__(self):
         self.auto = automaton()
-        self.filler = frozenset(FILLER_WORDS.split())
+        self.filler = frozenset(phrases.FILLER_WORDS.split())
+        self.empty = frozenset(phrases.NOTICE_WORDS.split())
         self.memo = Memo(self.coverage, 60_000)
 
     def __reduce__(self):
         return (ResidueMatcher, ())
 
     def coverage(self, line: str) -> tuple[float, str | None]:
-        marks = PLACEHOLDER.findall(line)
+        text = _DIGITS.sub("0", line.lower().translate(_QUOTES))
+        spans, marks, open_at, kinds, latin = [], [], {}, {}, 0
+        for end, what in self.auto.iter(text):
+            end += 1
+            for item in what:
+                size, kind = item[:2]
+                start = end - size
+                if kind == "close":
+                    at = open_at.pop(item[2], None)
+                    if at is not None and at[1] <= start and start - at[1] <= LONGEST_MARK:
+                        marks.append((at[0], end))
+                        continue
+                    if phrases.MARK_PAIRS[item[2]][0] == phrases.MARK_PAIRS[item[2]][1]:  # the same mark opens
+                        open_at[item[2]] = (start, end)
+                elif kind == "open":
+                    if phrases.MARK_PAIRS[item[2]][0] != phrases.MARK_PAIRS[item[2]][1]:
+                        open_at[item[2]] = (start, end)
+                elif kind == "prefix":
+                    name = _NAME.match(text, end)
+                    if name:
+                        marks.append((start, name.end()))
+                elif (start and text[start].isalnum() and text[start - 1].isalnum()) or (end < len(text) and text[end - 1].isalnum() and text[end].isalnum()):
+                    continue  # inside a word
+                elif kind == "latin":
+                    latin += 1
+                elif kind == "placeholder":
+                    marks.append((start, end))
+                else:
+                    spans.append((start, end))
+                    kinds[kind] = kinds.get(kind, 0) + size
         if marks:
-            rest = _TOKENS.findall(PLACEHOLDER.sub(" ", line))
+            rest, at = [], 0
+            for a, b in sorted(marks):
+                rest += _TOKENS.findall(text[at:a]) if a > at else []
+                at = max(at, b)
+            rest += _TOKENS.findall(text[at:])
             # A frame of a few fixed words around each mark holds nothing once the marks are taken away.
-            if len(rest) <= 5 * len(marks):
+            if len(rest) <= WORDS_A_MARK * len(marks):
                 return 1.0, "placeholder"
-            return len(marks) / (len(marks) + len(rest)), "placeholder"
-        text = _DIGITS.sub("0", line.lower().translate(_QUOTES))
-        spans, kinds = [], {}
-        for end, (size, kind) in self.auto.iter(text):
-            start = end - size + 1
-            if (start and text[start].isalnum() and text[start - 1].isalnum()) or (end + 1 < len(text) and text[end].isalnum() and text[end + 1].isalnum()):
-                continue
-            spans.append((start, end + 1))
-            kinds[kind] = kinds.get(kind, 0) + size
-        for m in _TOKENS.finditer(text):
-            if m[0] in self.filler:
-                spans.append(m.span())
-                kinds["filler"] = kinds.get("filler", 0) + len(m[0])
+            if not spans:
+                return len(marks) / (len(marks) + len(rest)), "placeholder"
+        if not spans and latin < 2:
+            return 0.0, None
+        words = [(m.start(), m.end(), m[0]) for m in _TOKENS.finditer(text)]
+        if latin > 1 and sum(w in self.filler for _, _, w in words) > LATIN_SHARE * len(words) and not any(len(w) > 3 and w in self.empty for _, _, w in words):
+            return 1.0, "filler"
         if not spans:
             return 0.0, None
-        solid = sum(map(str.isalnum, text)) or 1
-        covered, reach = 0, 0
+        spans += [(a, b) for a, b, w in words if w in self.empty or w.isdigit() or (len(w) > 1 and w == w[0] * len(w))]
+        solid, covered, reach = _letters(text) or 1, 0, 0
         for a, b in sorted(spans):
             a = max(a, reach)
             if b > a:
-                covered += sum(c.isalnum() for c in text[a:b])
+                covered += _letters(text[a:b])
                 reach = b
-        # Bare status codes before a matched message belong to it.
-        lead = re.match(r"\s*0\s*", text)
-        if lead and spans and min(s for s, _ in spans) <= lead.end():
-            covered += sum(c.isalnum() for c in text[: min(s for s, _ in spans)])
         return min(1.0, covered / solid), max(kinds, key=kinds.get)

@@ -1,6 +1,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 
 from sifterra.llm import boilerplate as B
@@ -85,6 +86,21 @@ def test_leaks_against_brute_force(seed):
         assert set(index.search(d)) == want
 
 
+def test_candidates_equal_the_full_scores():
+    rng = random.Random(11)
+    vocab = _vocab(rng, 300)
+    weights = [1 / (i + 1) for i in range(len(vocab))]
+    pick = lambda n: " ".join(rng.choices(vocab, weights, k=n))
+    index = K.ItemIndex([(i, [pick(rng.randint(10, 25)), pick(rng.randint(10, 60))]) for i in range(200)])
+    for _ in range(60):
+        terms = {index.vocab[w] for w in pick(rng.choice([10, 40, 128])).split() if w in index.vocab}
+        score = np.zeros(len(index.items))
+        on = np.isin(index.term, list(terms))
+        np.add.at(score, index.part[on], index.share[on])
+        for lean in (0.2, 0.75, 1.0):
+            assert {p for p, _ in index.candidates(terms, lean)} == set(np.flatnonzero(score >= K._NEAR))
+
+
 def test_leak_operator_on_odd_rows(spark):
     ten = "a१ b c d e f g h i j"
     items = spark.createDataFrame([(1, ten, None), (2, "too short", "k l m n o p q r s t u"), (3, None, ""), (1, ten, None)], "item_id bigint, question string, gold_answer string").selectExpr("*", "1 as doc_id")
@@ -92,6 +108,7 @@ def test_leak_operator_on_odd_rows(spark):
     got = {(r.item_id, r.doc_id) for r in K.leaked_items(docs, items).collect()}
     assert got == {(1, 1), (2, 5)}
     assert {(r.item_id, r.doc_id) for r in K.leaked_items(docs, items, shard=1).collect()} == got  # in shards
+    assert {(r.item_id, r.doc_id) for r in K.leaked_items(docs, items, most_bytes=1).collect()} == got  # split until each holds one item
     assert K.leaked_items(docs.limit(0), items).count() == 0 and K.leaked_items(docs, items.limit(0)).count() == 0
 
 

@@ -1,7 +1,8 @@
 """Normalise timestamps written in many formats, precisions and zones to one UTC instant.
 
 A mixture of formats is fitted per source by expectation-maximisation. Each value counts under
-every format that can parse it; the posterior of a source's formats picks the interpretation.
+every format that can parse it; the posterior of a source's formats picks the interpretation. A stated
+order of numeric dates is prior evidence: many dates that contradict it outweigh it, few stay unresolved.
 Everything but the small per-source fit runs as built-in expressions inside Catalyst.
 """
 
@@ -52,7 +53,8 @@ CANONICAL = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
 def _tidy(value: Column) -> Column:
     """Trimmed, ASCII digits, month names as #n#."""
     v = F.trim(F.regexp_replace(value, r"[ \s]+", " "))
-    return F.translate(v, "०१२३४५६७८९", "0123456789")
+    v = F.translate(v, "०१२३४५६७८९", "0123456789")
+    return F.regexp_replace(v, r"([.,][0-9]{9})[0-9]+", "$1")  # so that no fraction makes a timestamp long
 
 
 def _number_months(v: Column) -> Column:
@@ -74,7 +76,7 @@ FORMATS = [
     ("day_month", _DAY_MONTH, (3, 2, 1, 4, 5, 6, 7, 8)),
     ("month_day", _MONTH_DAY, (3, 1, 2, 4, 5, 6, 7, 8)),
 ]
-_EPOCH = r"^(?:[0-9]{9,10}|[0-9]{12,13}|[0-9]{16})$"
+_EPOCH = r"^(?:[0-9]{9,13}|[0-9]{15,16}|[0-9]{18,19})$"
 
 
 def _matches(v: Column) -> Column:
@@ -95,43 +97,54 @@ def _wall(x: Column) -> Column:
     hour = F.when(half == "p", raw % 12 + 12).when(half == "a", raw % 12).otherwise(raw)
     day = F.try_make_timestamp(num(0), num(1), num(2), F.lit(0), F.lit(0), F.lit(0.0))
     minute, second = F.coalesce(num(4), F.lit(0)), F.coalesce(num(5), F.lit(0))
-    good = num(0).between(FIRST_YEAR, LAST_YEAR) & (raw <= 23) & ((half == "") | raw.between(1, 12)) & (minute <= 59) & (second <= 59)
+    good = num(0).between(FIRST_YEAR, LAST_YEAR) & (raw <= 23) & ((half == "") | raw.between(1, 12)) & (minute <= 59) & (second <= 60)
     return F.when(good & day.isNotNull(), F.struct(x["fmt"].alias("fmt"), (F.unix_seconds(day) + hour * 3600 + minute * 60 + second).alias("wall"), p[7].alias("zone")))
 
 
 def _epochs(v: Column) -> Column:
     n = v.try_cast("bigint")
-    scale = F.when(F.length(v) <= 10, F.lit(1)).when(F.length(v) <= 13, F.lit(1000)).otherwise(F.lit(1000000))
+    scale = F.when(F.length(v) <= 10, F.lit(1)).when(F.length(v) <= 13, F.lit(1000)).when(F.length(v) <= 16, F.lit(1000000)).otherwise(F.lit(1000000000))
     return F.array_compact(F.array(F.when(v.rlike(_EPOCH), F.struct(F.lit("epoch").alias("fmt"), F.floor(n / scale).alias("wall"), F.lit("Z").alias("zone")))))
 
 
-def _fit(iterations: int, prior: float):
-    """EM over one source's counts. Rows of a source are one per set of possible formats, so a group is small whatever its source's size."""
+#: Prior counts: of a format, of the stated order of numeric dates, of the other order; and how well a misprint explains a date that only the other order can read.
+PRIOR, STATED, UNSTATED, MISPRINT = 1.0, 20.0, 0.05, 0.3
+_OTHER = {"dmy": "mdy", "mdy": "dmy"}
+
+
+def format_posteriors(sets: list[tuple[str, ...]], counts: list[int], order: str | None, iterations: int) -> list[tuple[str, float]]:
+    """EM over one source: for each set of formats that values fit, the likeliest format and its posterior.
+
+    A date that only the unstated order reads may also be a misprint, which is a component of its own: one
+    such date stays under one half, and some dozens of them make the unstated order the likelier one.
+    """
+    against = _OTHER.get(order)
+    fits = [s + ("misprint",) if against in s and order not in s else s for s in sets]
+    like = {"misprint": MISPRINT}
+    names = sorted({f for s in fits for f in s})
+    start = {f: STATED if f == order else UNSTATED if f == against else PRIOR for f in names}
+    weight = dict(start)
+    for _ in range(iterations):
+        total = dict(start)
+        for s, n in zip(fits, counts):
+            z = sum(weight[f] * like.get(f, 1.0) for f in s)
+            for f in s:
+                total[f] += n * weight[f] * like.get(f, 1.0) / z
+        weight = total
+    out = []
+    for s, f in zip(sets, fits):
+        best = max(s, key=lambda x: (weight[x], x))
+        out.append((best, weight[best] / sum(weight[x] * like.get(x, 1.0) for x in f)))
+    return out
+
+
+def _fit(iterations: int):
+    """The fit of one source's counts. Its rows are one per set of possible formats, so a group is small whatever its source's size."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         order = next((o for o in pdf["date_order"] if isinstance(o, str) and o), None)
-        sets = [tuple(s.split("|")) for s in pdf["formats"]]
-        names = sorted({f for s in sets for f in s})
-        # A registry's date order is prior evidence; without one both orders start alike and the unambiguous dates decide.
-        start = {f: (prior if f == order else 1.0) for f in names}
-        weight = {f: w / sum(start.values()) for f, w in start.items()}
-        for _ in range(iterations):
-            total = {f: 0.0 for f in names}
-            for s, n in zip(sets, pdf["n"]):
-                z = sum(weight[f] for f in s)
-                for f in s:
-                    total[f] += n * weight[f] / z
-            scale = sum(total.values()) + sum(start.values())
-            weight = {f: (total[f] + start[f]) / scale for f in names}
-        rows = []
-        for s, formats in zip(sets, pdf["formats"]):
-            allowed = s
-            if order in s and len(s) > 1:  # the source states how its numeric dates read
-                allowed = tuple(f for f in s if f == order)
-            z = sum(weight[f] for f in allowed)
-            best = max(allowed, key=lambda f: (weight[f], f))
-            rows.append((pdf["source_key"].iloc[0], formats, best, weight[best] / z))
-        return pd.DataFrame(rows, columns=["source_key", "formats", "fmt", "posterior"])
+        found = format_posteriors([tuple(s.split("|")) for s in pdf["formats"]], pdf["n"].tolist(), order, iterations)
+        return pd.DataFrame([(key, formats, *x) for key, formats, x in zip(pdf["source_key"], pdf["formats"], found)], columns=["source_key", "formats", "fmt", "posterior"])
 
     return run
 
@@ -142,8 +155,7 @@ def normalise_timestamps(
     fields: list[str],
     key: str = "doc_id",
     source: str = "source_id",
-    iterations: int = 8,
-    prior: float = 1000.0,
+    iterations: int = 50,
     least_posterior: float = 0.9,
 ) -> DataFrame:
     """One row per (key, field, value): the instant, its format, its posterior and a status.
@@ -151,8 +163,8 @@ def normalise_timestamps(
     ``sources`` holds ``source_id``, ``tz_name`` and ``date_order``; it is broadcast only if small.
     Status is ``canonical``, ``resolved``, ``ambiguous`` (posterior under ``least_posterior``),
     ``no_zone`` (local time of a source without a known zone) or ``unreadable`` (null, blank,
-    impossible, relative or placeholder text, Bikram Sambat years). A date under a source's stated
-    order that is impossible is unreadable, not turned around. Duplicate rows give equal rows; other
+    impossible, relative or placeholder text, Bikram Sambat years). A numeric date that a source's stated
+    order can't read is ambiguous, unless so many of the source's dates read the other way that EM takes it. Duplicate rows give equal rows; other
     columns are ignored, so clashing names do no harm; an empty table gives an empty result.
     Hot sources: the fit sees counts that were summed before the shuffle, at most one row per set
     of formats, so a source's share of the rows doesn't matter.
@@ -171,9 +183,7 @@ def normalise_timestamps(
     # Steps of their own, so that no step's result is computed again by the next.
     step = long.withColumn("tidy", _tidy(F.col("value"))).withColumn("tidy", _number_months(F.col("tidy")))
     step = step.withColumn("fits", F.when(F.col("tidy").isNull() | (F.length("tidy") > LONGEST), F.array().cast("array<struct<fmt:string,p:array<string>>>")).otherwise(_matches(F.col("tidy"))))
-    # Under a stated order the other reading of a numeric date is no candidate.
-    other = F.when(F.col("date_order") == "dmy", "mdy").when(F.col("date_order") == "mdy", "dmy").otherwise("")
-    walls = F.array_compact(F.transform(F.filter("fits", lambda x: x["fmt"] != other), _wall))
+    walls = F.array_compact(F.transform("fits", _wall))
     parsed = step.withColumn("parses", F.concat(walls, _epochs(F.col("tidy")))).drop("fits", "tidy")
     parsed = parsed.withColumn("parses", F.coalesce("parses", F.array().cast("array<struct<fmt:string,wall:bigint,zone:string>>")))
     parsed = parsed.withColumn("formats", F.array_join(F.transform("parses", lambda p: p["fmt"]), "|"))
@@ -185,7 +195,7 @@ def normalise_timestamps(
         .agg(F.count("*").alias("n"))
         .withColumn("source_key", F.coalesce("source_key", F.lit("")))
     )
-    fitted = counts.groupBy("source_key").applyInPandas(_fit(iterations, prior), "source_key string, formats string, fmt string, posterior double")
+    fitted = counts.groupBy("source_key").applyInPandas(_fit(iterations), "source_key string, formats string, fmt string, posterior double")
     joined = parsed.withColumn("sk", F.coalesce("source_key", F.lit(""))).join(
         _small(fitted.select(F.col("source_key").alias("sk"), "formats", F.col("fmt").alias("chosen"), "posterior")), ["sk", "formats"], "left"
     )

@@ -56,7 +56,7 @@ def test_no_instant(spark, value):
 def test_canonical_unknown_zone_and_order(spark):
     got = run(spark, [("a", "ktm", "2020-01-01T00:00:00Z"), ("b", "none", "2020-01-01 10:00"), ("c", "ny", "25/08/2020"), ("d", None, "2020-01-01"), ("e", "none", "2020-01-01 10:00:00 UTC")])
     assert got["a"].status == "canonical" and got["b"].status == "no_zone" and got["b"].epoch_s is None
-    assert got["c"].status == "unreadable"  # impossible under the source's order, and not turned around
+    assert got["c"].status == "ambiguous" and got["c"].epoch_s is None  # one date against the source's order
     assert got["d"].status == "no_zone" and got["e"].epoch_s == at(2020, 1, 1, 10)
 
 
@@ -68,6 +68,37 @@ def test_em_resolves_an_order_that_nobody_states(spark):
     assert lone.status == "ambiguous" and lone.epoch_s is None
 
 
+def test_em_outweighs_a_wrong_order_but_not_by_a_few_dates(spark):
+    against = [(f"k{i}", "ny", f"{13 + i % 15}/0{1 + i % 9}/2021 10:00 UTC") for i in range(80)]
+    got = run(spark, against + [("q", "ny", "05/06/2021 10:00 UTC")])
+    assert got["k3"].epoch_s == at(2021, 4, 16, 10) and got["k3"].status == "resolved" and 0.9 < got["k3"].posterior < 1
+    assert got["q"].posterior < 1 and got["q"].fmt == "dmy"
+    few = run(spark, against[:1] + [(f"m{i}", "ny", f"0{1 + i % 9}/{13 + i % 15}/2021 10:00 UTC") for i in range(80)] + [("q", "ny", "05/06/2021 10:00 UTC")])
+    assert few["k0"].status == "ambiguous" and few["k0"].epoch_s is None and few["k0"].posterior < 0.9
+    assert few["q"].epoch_s == at(2021, 5, 6, 10) and few["q"].fmt == "mdy" and 0.9 < few["q"].posterior < 1
+
+
+def test_em_against_the_likelihood():
+    """The weights that EM ends with are a maximum of the likelihood under the prior counts."""
+    import math
+
+    from sifterra.operators import timestamps as T
+
+    sets, counts = [("dmy",), ("dmy", "mdy"), ("mdy",), ("iso",)], [40, 30, 3, 50]
+    got = dict(zip(sets, T.format_posteriors(sets, counts, None, 300)))
+    # The posterior of the ambiguous set gives the share of dmy among the numeric dates back; the ambiguous ones say nothing about it.
+    fit = lambda share: 41 * math.log(share) + 4 * math.log(1 - share)
+    assert got["dmy", "mdy"][0] == "dmy" and abs(got["dmy", "mdy"][1] - max((i / 10_000 for i in range(1, 10_000)), key=fit)) < 0.002
+
+
+@pytest.mark.parametrize(
+    "value,want",
+    [("2016-12-31T23:59:60Z", at(2017, 1, 1)), ("2020-01-01T00:00:00." + "1" * 200 + "Z", at(2020, 1, 1)), ("31536000000", at(1971, 1, 1)), ("1577836800000000000", at(2020, 1, 1)), ("2020-01-01T00:00:61Z", None)],
+)
+def test_leap_seconds_long_fractions_and_precisions(spark, value, want):
+    assert run(spark, [("d", "none", value)])["d"].epoch_s == want
+
+
 def test_empty_table_extra_columns_and_repeats(spark):
     reg = spark.createDataFrame(REG, SOURCES)
     empty = spark.createDataFrame([], "doc_id string, source_id string, v string, key string, status string")

@@ -23,6 +23,36 @@ def test_defects(model, answer, want):  # noqa: F811
     assert P.defect_of(Q, answer, None, False, model, P.Refusals()) == want
 
 
+UNSEEN = """I refuse to answer.
+Sorry, I can't comment on that topic.
+I'm not able to help with that.
+As an AI, I cannot provide legal advice.
+I won't answer that question.
+Das kann ich leider nicht beantworten.
+म यसमा सहयोग गर्न सक्दिनँ।
+मैं इसमें मदद नहीं कर सकता।
+I'd rather not say.
+We are unable to process this request.
+Unfortunately, I do not have information on this.
+I must decline to answer this.""".split("\n")
+NOT_REFUSING = """You cannot apply online, please visit the office.
+I cannot find the fee in the notice, but the office charges Rs 200 for each copy of the form.
+The office will not process late forms.
+The clerk said that she cannot help without the receipt, so keep it with the form until the end.""".split("\n")
+
+
+def test_refusals_in_wordings_of_no_template():
+    r = P.Refusals()
+    says = lambda x: r.refuses(P.tokens(x)) or r.declines(x, P.tokens(x))
+    assert sum(map(says, UNSEEN)) >= 0.8 * len(UNSEEN)
+    assert not [x for x in NOT_REFUSING if says(x)]
+
+
+@pytest.mark.parametrize("times", [1, 2, 3, 5, 8, 40])
+def test_a_question_repeated_any_number_of_times_is_a_copy(model, times):  # noqa: F811
+    assert P.defect_of(Q, " ".join([Q] * times), None, False, model, P.Refusals()) == "copies_question"
+
+
 def test_language_asked_for_and_allowed_refusals(model):  # noqa: F811
     r = P.Refusals()
     ne = "कार्यालय ले निवेदनसँगै प्रतिलिपि पेश गर्न भनेको छ ।"

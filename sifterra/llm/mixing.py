@@ -95,7 +95,8 @@ def mix(counts: DataFrame, rates: DataFrame, key: str = "doc_id", seed: int = 11
     """
     r = rates.select("source", "rate")
     joined = counts.where("tokens > 0").join(broadcast_if_small(r), "source")
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1 << 52)) / F.lit(float(1 << 52))
+    # 52 bits of an MD5, which any engine can repeat.
+    draw = F.conv(F.left(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), F.lit(13)), 16, 10).cast("bigint") / F.lit(float(1 << 52))
     copies = (F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0)).cast("int")
     return joined.withColumn("n", copies).where("n > 0").select(key, "source", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy_no"), "tokens")
 

@@ -202,6 +202,23 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(counts, rates, mixed)
 
 
+def _mixed_chars(spark: SparkSession, sf_dir: str):
+    docs = load(spark, sf_dir, "documents")
+    counts = docs.select("doc_id", "source", F.coalesce(F.length("text"), F.lit(0)).cast("bigint").alias("tokens"))
+    rates = mixing.source_rates(counts, load(spark, sf_dir, "mix_targets"))
+    return counts, rates, mixing.mix(counts, rates)
+
+
+def p9_mix_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mixture where a document's size is its characters, which SQL can count: rates, caps and draws beside it."""
+    return _mixed_chars(spark, sf_dir)[2]
+
+
+def p9_shares_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual shares of that mixture."""
+    return mixing.mix_report(*_mixed_chars(spark, sf_dir)).select("source", "max_repeats", F.col("available_tokens").cast("bigint").alias("available_tokens"), F.round("rate", 9).alias("rate"), "copies", "most_copies", "mixed_tokens", F.round("actual_share", 9).alias("actual_share"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = _language(spark, sf_dir)
@@ -217,7 +234,7 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = [p1_found, p1_main_body, p2_found, p2_kept_pages, p3_found, p3_restored, p4_found, p4_defect_counts, p5_found, p5_languages, p7_found, p7_clean_chunks, p8_found, p8_leak_report, p9_mix, p9_shares, p10_found, p10_profile]
+    named = [p1_found, p1_main_body, p2_found, p2_kept_pages, p3_found, p3_restored, p4_found, p4_defect_counts, p5_found, p5_languages, p7_found, p7_clean_chunks, p8_found, p8_leak_report, p9_mix, p9_shares, p9_mix_by_length, p9_shares_by_length, p10_found, p10_profile]
     return {f.__name__: f for f in named}
 
 
@@ -252,6 +269,19 @@ _P8_PAIRS = (
 )
 
 
+_P9 = """
+counts AS (SELECT doc_id, source, CAST(coalesce(length(text), 0) AS BIGINT) AS tokens FROM documents),
+t AS (SELECT source, share, repeats, available FROM (SELECT source, max(target_share) AS share, max(max_repeats) AS repeats FROM mix_targets WHERE target_share > 0 AND max_repeats > 0 GROUP BY 1)
+  JOIN (SELECT source, sum(tokens) AS available FROM counts WHERE tokens > 0 GROUP BY 1) USING (source)),
+s AS (SELECT min(repeats * available / share::DOUBLE) AS most FROM t),
+raw AS (SELECT t.*, least(repeats::DOUBLE, most * share / available) AS r FROM t, s),
+rates AS (SELECT source, share, repeats, available, CASE WHEN abs(r - round(r)) < 1e-9 THEN round(r) ELSE r END AS rate FROM raw),
+n AS (SELECT doc_id, source, tokens, CAST(floor(rate) AS INTEGER) + CASE WHEN CAST('0x' || left(md5('11:' || doc_id), 13) AS BIGINT) / 4503599627370496.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END AS copies
+  FROM counts JOIN rates USING (source) WHERE tokens > 0),
+mixed AS (SELECT doc_id, source, CAST(unnest(generate_series(1, copies)) AS INTEGER) AS copy_no, tokens FROM n WHERE copies > 0)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can state the operator's result exactly; the trained operators are tested against held-out accuracy and brute force instead."""
     return {
@@ -261,6 +291,11 @@ WITH bad AS (SELECT chunk_id, list(line_no) AS nos FROM ({_P7}) GROUP BY chunk_i
 SELECT DISTINCT c.chunk_id, c.doc_id, c.chunk_index, CASE WHEN c.text IS NULL THEN NULL ELSE array_to_string(list_filter(string_split(c.text, chr(10)), lambda x, i: NOT list_contains(coalesce(bad.nos, []), i)), chr(10)) END AS clean_text
 FROM (SELECT DISTINCT chunk_id, doc_id, chunk_index, text FROM chunks) c LEFT JOIN bad USING (chunk_id)
 """,
+        "p9_mix_by_length": f"WITH {_P9} SELECT doc_id, source, copy_no, tokens FROM mixed",
+        "p9_shares_by_length": f"""
+WITH {_P9}, got AS (SELECT source, CAST(sum(tokens) AS BIGINT) AS mixed, count(*) AS copies, max(copy_no) AS most FROM mixed GROUP BY 1)
+SELECT source, repeats AS max_repeats, CAST(available AS BIGINT) AS available_tokens, round(rate, 9) AS rate, coalesce(copies, 0) AS copies, coalesce(most, 0) AS most_copies, coalesce(mixed, 0) AS mixed_tokens, round(coalesce(mixed, 0) / (SELECT sum(mixed) FROM got)::DOUBLE, 9) AS actual_share
+FROM rates LEFT JOIN got USING (source)""",
         "p8_found": _P8_PAIRS,
         "p8_leak_report": f"SELECT item_id, count(*) AS documents, min(doc_id) AS first_doc_id FROM ({_P8_PAIRS}) GROUP BY item_id",
     }

@@ -42,13 +42,14 @@ def prefix_repair(urls: DataFrame, url: str, known: DataFrame, known_url: str, l
     return urls.join(exact.unionByName(found), url, "left")
 
 
-def alias_match(texts: DataFrame, key: str, text: Column, aliases: DataFrame, alias: str, target: str, most_words: int = 4) -> DataFrame:
-    """Per text the target of its longest alias, ties by name. Word n-grams up to ``most_words`` are joined, so no text meets every alias."""
+def alias_match(texts: DataFrame, key: str, text: Column, aliases: DataFrame, alias: str, target: str) -> DataFrame:
+    """Per text the target of its longest alias, ties by name. Word n-grams of the lengths that aliases have are joined, so no text meets every alias."""
+    a = aliases.select(F.filter(F.split(F.lower(alias), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "").alias("_w"), F.col(target).alias("_t")).where("size(_w) > 0").select(F.array_join("_w", " ").alias("_a"), F.size("_w").alias("_n"), "_t").distinct()
+    lengths = sorted(r[0] for r in a.select("_n").distinct().collect())  # as many as different lengths
     toks = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
-    grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(most_words)), lambda n: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))), lambda i: i + n - 1 <= F.size(toks)), lambda i: F.array_join(F.slice(toks, i, n), " "))))
+    grams = F.flatten(F.transform(F.array(*[F.lit(n) for n in lengths or [1]]), lambda n: F.transform(F.filter(F.sequence(F.lit(1), F.greatest(F.size(toks), F.lit(1))), lambda i: i + n - 1 <= F.size(toks)), lambda i: F.array_join(F.slice(toks, i, n), " "))))
     t = texts.select(key, F.explode(F.array_distinct(grams)).alias("_a"))
-    a = aliases.select(F.array_join(F.filter(F.split(F.lower(alias), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != ""), " ").alias("_a"), F.col(target).alias("_t")).distinct()
-    return t.join(broadcast_if_small(a), "_a").groupBy(key).agg(F.max(F.struct(F.length("_a").alias("n"), F.col("_t").alias("t"))).alias("m")).select(key, F.col("m.t").alias(target))
+    return t.join(broadcast_if_small(a.drop("_n")), "_a").groupBy(key).agg(F.max(F.struct(F.length("_a").alias("n"), F.col("_t").alias("t"))).alias("m")).select(key, F.col("m.t").alias(target))
 
 
 def zip_files(left: DataFrame, right: DataFrame, order: str) -> DataFrame:
@@ -61,9 +62,15 @@ def location_filter(df: DataFrame, place: Column, wanted: Column, federal: Colum
     return df.where(federal | wanted.isNull() | (F.size(wanted) == 0) | F.array_contains(wanted, place))
 
 
-def expand_templates(templates: DataFrame, template: str, entities: DataFrame, entity: str, slot: str = "{}") -> DataFrame:
-    """DS7: every template filled with every entity. Both sides are small by nature; the entity side is broadcast only if small."""
-    return templates.crossJoin(broadcast_if_small(entities, 8 << 20)).withColumn("filled", F.replace(F.col(template), F.lit(slot), F.col(entity)))
+def expand_templates(templates: DataFrame, template: str, entities: DataFrame, entity: str, slot: str = "{}", most: int = 10_000) -> DataFrame:
+    """DS7: every template filled with every entity: the templates, ``most`` at most (more raise an error), are one literal array that each entity explodes."""
+    rows = templates.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} templates")
+    kinds = templates.schema
+    each = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in kinds]) for r in rows]) if rows else F.array().cast(f"array<{kinds.simpleString()}>")
+    d = entities.withColumn("_t", F.explode(each)).select(*[F.col(f"_t.{f.name}").alias(f.name) for f in kinds], *entities.columns)
+    return d.withColumn("filled", F.replace(F.col(template), F.lit(slot), F.col(entity)))
 
 
 def expand_terms(queries: DataFrame, key: str, terms: str, synonyms: DataFrame) -> DataFrame:

@@ -82,21 +82,35 @@ def jaccard(a: Column, b: Column) -> Column:
 def upper_median(df: DataFrame, key: str, value: str, buckets: int = 4096, name: str = "median") -> DataFrame:
     """``key, median``: element n // 2 of each key's sorted values (the upper of two middle ones); keys without a value are left out.
 
-    Exact for groups of any size: counts in ``buckets`` ranges of a group say which range holds the element,
-    and only that range's values are sorted.
+    Exact for groups of any size, and for any ties and outliers: equal values are one row with their count, made before
+    the shuffle. Counts in ``buckets`` ranges of a group's values say which range holds the element; that range is
+    cut again until it holds few different values or one, and only those are sorted.
     """
-    from sifterra.session import broadcast_if_small
-
-    d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).select(key, F.col(value).cast("double").alias("_v"))
-    ends = d.groupBy(key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.floor(F.count("*") / 2).alias("_at"))
-    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * buckets), F.lit(buckets - 1))).otherwise(0)
-    d = d.join(broadcast_if_small(ends), key).withColumn("_b", place)
-    sizes = d.groupBy(key, "_b", "_at").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    found = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(w), F.lit(0))).where((F.col("_before") <= F.col("_at")) & (F.col("_at") < F.col("_before") + F.col("_n")))
-    inner = d.join(broadcast_if_small(found.select(key, "_b", "_before")), [key, "_b"])
-    ranked = inner.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy("_v")) - 1 + F.col("_before"))
-    return ranked.where(F.col("_r") == F.col("_at")).select(key, F.col("_v").alias(name))
+    from sifterra.session import broadcast_if_small, materialize
+
+    d = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))).groupBy(key, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
+    d = materialize(d, "values")
+    at = materialize(d.groupBy(key).agg(F.floor(F.sum("_n") / 2).alias("_at")), "median_place")
+    inside, before = d, at.select(key, F.lit(0).cast("bigint").alias("_before"))
+    while True:
+        ends = inside.groupBy(key).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.count("*").alias("_kinds"))
+        ends = materialize(ends.join(at, key).join(before, key), "ranges")
+        if not ends.where((F.col("_kinds") > buckets) & (F.col("_hi") > F.col("_lo"))).limit(1).count():
+            break
+        share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.floor(share * buckets), F.lit(buckets - 1))).otherwise(0)
+        placed = inside.join(broadcast_if_small(ends), key).withColumn("_b", place)
+        sizes = placed.groupBy(key, "_b", "_at", "_before").agg(F.sum("_n").alias("_c"))
+        w = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        reach = F.col("_before") + F.coalesce(F.sum("_c").over(w), F.lit(0))
+        found = sizes.withColumn("_reach", reach).where((F.col("_reach") <= F.col("_at")) & (F.col("_at") < F.col("_reach") + F.col("_c")))
+        found = materialize(found.select(key, "_b", F.col("_reach").alias("_from")), "range")
+        inside = materialize(placed.join(broadcast_if_small(found), [key, "_b"]).select(key, "_v", "_n"), "values")
+        before = found.select(key, F.col("_from").alias("_before"))
+    last = inside.join(broadcast_if_small(ends.select(key, "_at", "_before")), key)
+    w = Window.partitionBy(key).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = last.withColumn("_reach", F.col("_before") + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    return ranked.where((F.col("_reach") <= F.col("_at")) & (F.col("_at") < F.col("_reach") + F.col("_n"))).select(key, F.col("_v").alias(name))
 
 
 def win_rate(df: DataFrame, by: list[str], result: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sifterra.functions.text import index_tokens, word_tokens
-from sifterra.session import broadcast_if_small
+from sifterra.session import broadcast_if_small, size_in_bytes
 
 K1, B = 1.5, 0.75
 
@@ -90,9 +90,11 @@ def relevance_label(score: Column, high: float = 12.0, medium: float = 6.0) -> C
     return F.when(score >= high, "high").when(score >= medium, "medium").otherwise("low")
 
 
-def apply_rules(items: DataFrame, rules: DataFrame, text: Column, key: str) -> DataFrame:
-    """Weighted keyword rules (``topic, keyword, weight, rule_order``) on texts: score by topic. A rule set is a caller's small table; it is folded into one expression, so no join of texts and rules."""
-    rows = rules.collect()
+def apply_rules(items: DataFrame, rules: DataFrame, text: Column, key: str, most_rules: int = 2_000) -> DataFrame:
+    """Weighted keyword rules (``topic, keyword, weight, rule_order``) on texts: score by topic. A rule set is a caller's small table; it is folded into one expression, so no join of texts and rules; more than ``most_rules`` raise an error."""
+    rows = rules.limit(most_rules + 1).collect()
+    if len(rows) > most_rules:
+        raise ValueError(f"more than {most_rules} rules")
     low = F.lower(F.coalesce(text, F.lit("")))
     hits = F.array(*[F.when(low.contains(r["keyword"]), F.struct(F.lit(r["topic"]).alias("topic"), F.lit(float(r["weight"])).alias("weight"), F.lit(r["rule_order"]).alias("rule_order"))) for r in rows])
     d = items.select(key, F.explode(F.array_compact(hits)).alias("h"))
@@ -108,9 +110,24 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def vector_search(vectors: DataFrame, queries: DataFrame, key: str, vec: str, query_key: str, query_vec: str, k: int) -> DataFrame:
-    """Exact cosine of a query set against all rows, in blocks: queries are broadcast where small, the best k kept inside each map task before the shuffle."""
-    scored = vectors.select(F.col(key), F.col(vec)).crossJoin(broadcast_if_small(queries.select(F.col(query_key), F.col(query_vec)))).select(query_key, key, cosine(F.col(vec), F.col(query_vec)).alias("score"))
-    return top_k(scored, [query_key], [F.desc("score"), F.asc(key)], k)
+    """Exact cosine of a query set against all rows, in blocks: each block of queries is broadcast, the best k kept inside each map task before the shuffle."""
+    return top_k(cosine_scores(vectors, queries, key, vec, query_key, query_vec), [query_key], [F.desc("score"), F.asc(key)], k)
+
+
+def cosine_scores(vectors: DataFrame, queries: DataFrame, key: str, vec: str, query_key: str, query_vec: str, block_bytes: int = 64 << 20) -> DataFrame:
+    """``query, key, score`` of a stated query set against all rows. Queries beyond ``block_bytes`` are split by hash into blocks of that size, each a pass over the rows, so a broadcast is always bounded."""
+    q = queries.select(F.col(query_key), F.col(query_vec))
+    blocks = -(-size_in_bytes(q) // block_bytes)
+    if blocks > 1:
+        # The estimate is the table's before filters; what is left is measured.
+        mean = q.select(F.size(query_vec).alias("n")).agg((F.sum("n") * 8 + F.count("*") * 16).alias("b")).first().b or 1
+        blocks = -(-int(mean) // block_bytes)
+    out = None
+    for i in range(max(1, blocks)):
+        part = q if blocks <= 1 else q.where(F.pmod(F.xxhash64(query_key), F.lit(blocks)) == i)
+        scored = vectors.select(F.col(key), F.col(vec)).crossJoin(F.broadcast(part)).select(query_key, key, cosine(F.col(vec), F.col(query_vec)).alias("score"))
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
 
 def reciprocal_rank_fusion(lists: list[DataFrame], query_key: str, key: str, k: int = 60) -> DataFrame:

@@ -16,8 +16,14 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
 
 
-def fit_cells(df: DataFrame, key: str, vec: str, cells: int = 64, bound: int = 20_000, rounds: int = 15, seed: int = 1) -> np.ndarray:
-    """Unit centroids of spherical k-means, fitted on at most ``bound`` vectors chosen by the hash of their keys."""
+def fit_cells(df: DataFrame, key: str, vec: str, cells: int | None = None, bound: int = 20_000, rounds: int = 15, seed: int = 1) -> np.ndarray:
+    """Unit centroids of spherical k-means, fitted on at most ``bound`` vectors chosen by the hash of their keys.
+
+    Without ``cells`` there are about as many as the square root of the rows, 64 at least and a tenth of ``bound`` at most, so that a probe reads a
+    like share of a table that has grown.
+    """
+    if cells is None:
+        cells = max(64, min(bound // 10, int(df.count() ** 0.5)))
     rows = bounded_sample(few_files(df).where(F.col(vec).isNotNull()).select(key, vec), [key], bound)
     x = _unit(np.array([r[1] for r in sorted(rows, key=lambda r: str(r[0]))], dtype=np.float64)) if rows else np.zeros((0, 1))
     if len(x) <= cells:

@@ -408,5 +408,5 @@ def vector_recall(spark, d):
     from sifterra.operators import vectors
 
     e, q, found = _ann(spark, d)
-    s = e.select("vec_id", "embedding").crossJoin(broadcast_if_small(q)).select("qid", "vec_id", F.round(search.cosine(F.col("embedding"), F.col("qv")), 6).alias("score"))
+    s = search.cosine_scores(e, q, "vec_id", "embedding", "qid", "qv").withColumn("score", F.round("score", 6))
     return vectors.recall_at_k(found, search.top_k(s, ["qid"], [F.desc("score"), F.asc("vec_id")], 10), "qid", "vec_id")

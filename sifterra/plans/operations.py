@@ -436,7 +436,7 @@ def vector_topk(spark, d):
     """Ids divisible by 50 against all rows, exact"""
     e = load(spark, d, "embeddings")
     q = e.where("vec_id % 50 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
-    s = e.select("vec_id", "embedding").crossJoin(broadcast_if_small(q)).select("qid", "vec_id", F.round(search.cosine(F.col("embedding"), F.col("qv")), 6).alias("score"))
+    s = search.cosine_scores(e, q, "vec_id", "embedding", "qid", "qv").withColumn("score", F.round("score", 6))
     return search.top_k(s, ["qid"], [F.desc("score"), F.asc("vec_id")], 10).select("qid", "vec_id", F.col("rank").cast("bigint"))
 
 

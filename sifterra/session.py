@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import hashlib
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -38,13 +39,15 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` of the session; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session. Where that is unset, a temporary one in local mode, and an error on a cluster, whose executors have no disk in common."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = "file://" + tempfile.mkdtemp(prefix="sifterra_")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -59,7 +62,27 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{_own_folder(spark)}/{label}_{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._sifterra_path = path
+    return back
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for this frame, once nothing reads it any more."""
+    path = getattr(df, "_sifterra_path", None)
+    if path:
+        _delete(df.sparkSession, path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in any storage the session reaches. Errors are raised, not taken for absence."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 _CLEANED: set[str] = set()
@@ -78,8 +101,7 @@ def clear_materialized(spark: SparkSession, folder: str | None = None) -> None:
     """Delete all that ``materialize`` wrote in this application. Frames that read it can't be used afterwards."""
     try:
         folder = folder or _own_folder(spark)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
     except Exception:  # the session has ended already
         if folder and folder.startswith("file:"):
             shutil.rmtree(folder.removeprefix("file:").replace("//", "/", 1), ignore_errors=True)
@@ -88,16 +110,18 @@ def clear_materialized(spark: SparkSession, folder: str | None = None) -> None:
 def few_files(df: DataFrame, most: int = 256) -> DataFrame:
     """For fitting only: a Parquet table of more than ``most`` files as that many of them, chosen by the hash of their names.
 
-    So a bounded sample reads a bounded part of a table of any size. Frames that aren't a plain table,
-    and tables of fewer files, come back unchanged.
+    So a bounded sample reads a bounded part of a table of any size. Tables of fewer files, and frames that are
+    more than columns of one table, come back unchanged.
     """
-    if df._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+    nodes = set(re.findall(r"(?m)^[\s:+-]*(\w+)", df._jdf.queryExecution().analyzed().treeString()))
+    if not nodes <= {"Relation", "LogicalRelation", "Project", "SubqueryAlias"}:
         return df
     files = df.inputFiles()
     if len(files) <= most or not all(f.endswith(".parquet") for f in files):
         return df
     chosen = sorted(files, key=lambda f: hashlib.md5(f.encode()).hexdigest())[:most]
-    return df.sparkSession.read.schema(df.schema).parquet(*chosen)
+    part = df.sparkSession.read.parquet(*chosen)
+    return part.select(*df.columns) if set(df.dtypes) <= set(part.dtypes) else df
 
 
 def bounded_sample(df: DataFrame, keys: list[str], bound: int, seed: int = 17) -> list:
@@ -109,11 +133,14 @@ def bounded_sample(df: DataFrame, keys: list[str], bound: int, seed: int = 17) -
     total = df.count()
     if total == 0:
         return []
-    if total > bound:
-        scale = 1 << 30
-        rate = min(scale, int(scale * 1.1 * bound / total) + 1)
-        df = df.where(F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(scale)) < rate)
-    return df.limit(bound).collect()
+    if total <= bound:
+        return df.collect()
+    scale = 1 << 30
+    rate = min(scale, int(scale * (bound + 10 * bound**0.5 + 10) / total) + 1)
+    place = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
+    # The lowest hashes of those under the rate, whatever the partitions.
+    near = df.where(F.pmod(place, F.lit(scale)) < rate).withColumn("_place", F.pmod(place, F.lit(scale)))
+    return near.orderBy("_place", *keys).limit(bound).drop("_place").collect()
 
 
 def size_in_bytes(df: DataFrame) -> int:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.functions.ids import blob_path, content_hash
+from sifterra.session import materialize, path_exists
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -16,13 +17,9 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 def append_new(df: DataFrame, path: str, key: str) -> DataFrame:
     """Appends rows whose key the log doesn't hold yet; gives the rows appended."""
     spark = df.sparkSession
-    try:
-        done = spark.read.schema(df.schema).json(path).select(key).distinct()
-    except Exception:  # the log doesn't exist yet
-        done = None
-    fresh = df if done is None else df.join(done, key, "left_anti")
-    from sifterra.session import materialize
-
+    fresh = df
+    if path_exists(spark, path):  # a failed read raises, so nothing is appended twice
+        fresh = df.join(spark.read.schema(df.schema).json(path).select(key).distinct(), key, "left_anti")
     fresh = materialize(fresh, "appended")
     fresh.write.mode("append").json(path)
     return fresh

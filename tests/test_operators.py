@@ -149,6 +149,34 @@ def test_fusion_and_rules(spark):
     assert [(r.id, r.topic) for r in search.apply_rules(t, rules, F.col("t"), "id").collect()] == [(1, "y")]
 
 
+def test_medians_with_ties_and_outliers(spark):
+    import random
+
+    rng = random.Random(3)
+    values = {"ties": [1.0] * 500 + [2.0] * 400, "outlier": [rng.random() for _ in range(600)] + [1e300, -1e300], "one": [7.0], "clumps": [round(rng.gauss(0, 1), 1) * 10 ** rng.randrange(-6, 6) for _ in range(700)]}
+    rows = [(k, v) for k, vs in values.items() for v in vs]
+    got = {r.k: r.median for r in metrics.upper_median(spark.createDataFrame(rows, "k string, v double"), "k", "v", 16).collect()}
+    assert got == {k: sorted(v)[len(v) // 2] for k, v in values.items()}
+
+
+def test_aliases_of_any_length(spark):
+    from sifterra.operators import joins
+
+    t = spark.createDataFrame([(1, "Please renew the heavy goods vehicle driving licence now"), (2, "fee"), (3, ""), (4, None)], "id int, q string")
+    a = spark.createDataFrame([("heavy goods vehicle driving licence", "hgv"), ("licence", "other"), ("fee", "fee"), ("", "blank")], "alias string, service string")
+    got = {r.id: r.service for r in joins.alias_match(t, "id", F.col("q"), a, "alias", "service").collect()}
+    assert got == {1: "hgv", 2: "fee"}
+
+
+def test_queries_in_blocks_give_the_same_scores(spark):
+    from sifterra.operators import search
+
+    v = spark.createDataFrame([(i, [float(i % 7), float(i % 3), 1.0]) for i in range(40)], "id int, v array<double>")
+    q = v.where("id % 5 = 0").selectExpr("id as qid", "v as qv")
+    rows = lambda d: sorted((r.qid, r.id, round(r.score, 9)) for r in d.collect())
+    assert rows(search.cosine_scores(v, q, "id", "v", "qid", "qv", block_bytes=64)) == rows(search.cosine_scores(v, q, "id", "v", "qid", "qv"))
+
+
 def test_upper_median_against_brute_force(spark):
     rng = random.Random(5)
     rows = [(k, rng.choice([1.0, 2.5, 2.5, 9.0, rng.random() * 100])) for k in "abc" for _ in range(rng.randint(1, 200))] + [("a", None), ("d", None), ("e", 4.0), ("e", 5.0)]

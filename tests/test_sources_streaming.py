@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 
 import pytest
@@ -117,7 +118,9 @@ def test_samples_are_bounded(spark, tmp_path):
     t = spark.read.parquet(str(tmp_path / "t"))
     assert few_files(t).count() == 1000 and len(few_files(t, 3).inputFiles()) == 3 and 0 < few_files(t, 3).count() < 1000
     assert few_files(t.where("id > 5"), 3).count() == 994  # no plain table
-    assert 60 <= len(bounded_sample(t, ["id"], 100)) <= 100 and len(bounded_sample(t, ["id"], 5000)) == 1000
+    assert few_files(t.select("id"), 3).count() < 1000 and few_files(t.selectExpr("id + 1 as id2"), 3).count() == 1000
+    assert len(bounded_sample(t, ["id"], 100)) == 100 and len(bounded_sample(t, ["id"], 5000)) == 1000
+    assert sorted(bounded_sample(t.repartition(7), ["id"], 100)) == sorted(bounded_sample(t.coalesce(1), ["id"], 100))  # whatever the partitions
     assert bounded_sample(t, ["id"], 100) == bounded_sample(t, ["id"], 100) and bounded_sample(t.limit(0), ["id"], 5) == []
 
 
@@ -130,3 +133,84 @@ def test_written_tables_are_deleted(spark):
     with pytest.raises(Exception):
         df.collect()
     assert session.materialize(spark.range(5).toDF("id")).count() == 5 and session._own_folder(spark) == folder
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from sifterra import session
+
+    def fake(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda x: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=sc)
+
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError):
+            session.shared_folder(fake(master))
+    assert session.shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: "file:///shared/"))) == "file:///shared"
+
+
+def test_spent_tables_are_released(spark):
+    from sifterra import session
+
+    df = session.materialize(spark.range(5).toDF("id"))
+    assert session.path_exists(spark, df._sifterra_path)
+    session.release(df)
+    assert not session.path_exists(spark, df._sifterra_path)
+    session.release(spark.range(3))  # nothing was written for it
+
+
+def test_a_failed_read_is_no_empty_log(spark, tmp_path):
+    from sifterra.sources import writers
+
+    log = str(tmp_path / "log")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, v string")
+    assert writers.append_new(df, log, "id").count() == 2 and writers.append_new(df, log, "id").count() == 0
+    index = tmp_path / "broken"
+    index.mkdir()
+    (index / "part-0.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        jobs.maintain_index(spark, str(index))(spark.createDataFrame([(1, "aa bb")], "doc_id bigint, text string"), 0)
+    assert sorted(x.name for x in index.iterdir()) == ["part-0.parquet"]
+
+
+def _messages(spark, tmp_path, rows):
+    folder = str(tmp_path / "messages")
+    df = spark.createDataFrame(rows, "channel string, message_id string, s bigint").selectExpr("channel", "message_id", "timestamp_seconds(s) as ts")
+    df.orderBy("ts").coalesce(1).write.option("maxRecordsPerFile", 40).parquet(folder)
+    return jobs.file_stream(spark, folder, df.schema, 1)
+
+
+def test_recent_messages_by_channel_against_brute_force(spark, tmp_path):
+    import random
+
+    rng = random.Random(5)
+    rows, t = [], 1_700_000_000
+    for _ in range(300):
+        t += rng.choice([1, 30, 4000])
+        rows.append((rng.choice("ab"), f"m{rng.randrange(12)}", t))
+    got = collect(jobs.dedup_recent(_messages(spark, tmp_path, rows), most=5, ttl=20_000, late="1 second"), str(tmp_path / "c"))
+    want, known = [], {"a": {}, "b": {}}
+    for c, m, at in rows:
+        k = known[c]
+        dup = m in k and at - k[m] < 20_000
+        want.append((c, m, dup))
+        if not dup:
+            k.pop(m, None)
+            k[m] = at
+            while len(k) > 5:
+                del k[next(iter(k))]
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_a_tick_judges_and_queues_once(spark):
+    schema = "cycle_id bigint, source_id string, started_at timestamp, html_fetched int, binaries_fetched int, docs_inserted int, docs_superseded int, docs_unchanged int, errors int, shell_flagged boolean"
+    at = lambda i: dt.datetime(2024, 1, 1 + i)
+    old = [(i, "good", at(i), 5, 0, 2, 0, 3, 0, False) for i in range(4)] + [(10 + i, "shell", at(i), 5, 0, 1, 0, 0, 0, i == 3) for i in range(4)]
+    new = [(20 + i, "stuck", at(i), 4, 0, 6 if i == 0 else 0, 0, 4, 0, False) for i in range(7)] + [old[0]]
+    status = spark.createDataFrame([("good", "active"), ("shell", "active"), ("stuck", "active")], "source_id string, status string")
+    queue = spark.createDataFrame([("shell", "pending", at(0))], "source_id string, status string, queued_at timestamp")
+    out = jobs.tick(lambda: spark.createDataFrame(new, schema), spark.createDataFrame(old, schema), status, queue, 1)
+    assert out["cycles"].count() == 15
+    assert {r.source_id: r.verdict for r in out["verdicts"].collect()} == {"good": "healthy", "shell": "shell_detected", "stuck": "structurally_failed"}
+    assert sorted(r.source_id for r in out["queue"].collect()) == ["shell", "stuck"] and [r.source_id for r in out["repairs"].collect()] == ["shell"]

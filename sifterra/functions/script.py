@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 DEVANAGARI = "[ऀ-ॿ]"
+# Thresholds of the bucket rules.
 LEAST_LETTERS, BOTH_SHARE, MAIN_SHARE, HYBRID_SHARE, BRACE_SHARE, LEAST_WORDS = 50, 0.10, 0.15, 0.10, 0.05, 20
 
 
@@ -85,6 +86,42 @@ def forum_language(text: Column, english: list[str], romanised: list[str]) -> Co
     )
 
 
+# Words that mark romanised Nepali in questions to the server and to the navigator.
+SERVER_ROMAN = "kasari kun kaha ke chha cha garna garne parcha huncha chaina hos janu garnu hami tapai mero tyo yo hoina ho nai".split()
+NAVIGATOR_ROMAN = "kasari kati garne garna banaune banauna parcha chha cha ho ma ko".split()
+
+
+def _roman(text: Column, words: list[str]) -> Column:
+    return text.rlike(r"(?i)\b(?:" + "|".join(words) + r")\b")
+
+
+def server_language(text: Column) -> Column:
+    """Devanagari above half of the letters, roman_nepali by a marker word, else english."""
+    deva, latin = devanagari_count(text), latin_count(text)
+    return F.when(deva + latin == 0, "english").when(deva / F.nullif(deva + latin, F.lit(0)) > 0.5, "devanagari").when(_roman(text, SERVER_ROMAN), "roman_nepali").otherwise("english")
+
+
+def navigator_language(text: Column) -> Column:
+    """Devanagari where it is not less than Latin, roman_nepali by a marker word, else english."""
+    deva, latin = devanagari_count(text), latin_count(text)
+    return F.when((deva > 0) & (deva >= latin), "devanagari").when(_roman(text, NAVIGATOR_ROMAN), "roman_nepali").otherwise("english")
+
+
+def answer_script_mismatch(answer: Column, language: Column) -> Column:
+    """More Devanagari than copied names explain: over 24 letters and a fifth of the Latin ones for English, over 12 and 8 % for romanised Nepali."""
+    text = F.coalesce(answer, F.lit(""))
+    deva, latin = devanagari_count(text), latin_count(text)
+    over = lambda least, share: deva > F.greatest(F.lit(float(least)), latin * share)
+    return F.when(language == "english", over(24, 0.20)).when(language == "roman_nepali", over(12, 0.08)).otherwise(False)
+
+
+def language_match(answer: Column, language: Column, least: float = 0.5) -> Column:
+    """The share of Devanagari letters is on the side that the language asks for; null without letters."""
+    deva, latin = devanagari_count(answer), latin_count(answer)
+    share = F.try_divide(deva.cast("double"), deva + latin)
+    return F.when(language.isin("devanagari", "ne", "hi"), share >= least).otherwise(share < least)
+
+
 def dominant(text: Column, least: float = 0.5) -> Column:
     """Devanagari share of letters reaches ``least``."""
     total = devanagari_count(text) + latin_count(text)

@@ -65,16 +65,32 @@ def scrub(text: Column, names: list[str], replacement: str) -> Column:
     return F.regexp_replace(text, r"(?i)(?<![\p{L}\p{M}])(?:" + "|".join(map(re.escape, names)) + r")(?![\p{L}\p{M}])", replacement)
 
 
-def quality_gate(results: Column, least_score: float = 1.0) -> Column:
-    """First outcome that holds over the top results (array of structs score, domain_ok, text)."""
-    top = F.slice(results, 1, 3)
-    return (
-        F.when(F.coalesce(F.size(results), F.lit(0)) <= 0, "no_results")
-        .when(~F.exists(top, lambda r: r["domain_ok"]), "no_authority")
-        .when(F.array_max(F.transform(top, lambda r: r["score"])) < least_score, "weak_scores")
-        .when(F.forall(top, lambda r: F.length(F.trim(r["text"])) < 40), "thin_text")
-        .otherwise("passed")
+def quality_gate(claims: Column, results: Column, topic: Column, expected: Column, wants_place: Column, strict_topic: Column) -> Column:
+    """Struct of ``outcome`` and ``passed`` for what a query found; the first of these that holds.
+
+    ``claims``: number of claims found; ``results``: array of structs ``host, relevance`` in rank order; ``topic``: null where
+    none was detected; ``expected``: hosts that should be among the first three (equal, or above at a dot); ``wants_place``: the query
+    names a place; ``strict_topic``: a topic for which a local claim is enough.
+    """
+    none = F.coalesce(F.size(results), F.lit(0)) <= 0
+    has_claims, named = F.coalesce(claims, F.lit(0)) > 0, topic.isNotNull()
+    place = F.coalesce(wants_place, F.lit(False))
+    fits = lambda h: F.exists(expected, lambda e: (h == e) | h.endswith(F.concat(F.lit("."), e)))
+    top3 = F.exists(F.slice(results, 1, 3), lambda r: fits(r["host"]))
+    first = F.try_element_at(results, F.lit(1))["relevance"]
+    wanted = named & (F.coalesce(F.size(expected), F.lit(0)) > 0)
+    outcome = (
+        F.when(none & has_claims, "tacit_only")
+        .when(none, "no_sources")
+        .when(~named & place, "locality_without_service_topic")
+        .when(has_claims & F.coalesce(strict_topic, F.lit(False)) & place, "local_tacit_topic_match")
+        .when(wanted & F.coalesce(top3, F.lit(False)), "expected_domain_in_top3")
+        .when(wanted, "topic_expected_domain_missing_top3")
+        .when(first.isin("high", "medium"), F.concat(F.lit("top_gov_relevance_"), first))
+        .otherwise("low_relevance")
     )
+    passed = ~outcome.isin("no_sources", "locality_without_service_topic", "topic_expected_domain_missing_top3", "low_relevance")
+    return F.struct(outcome.alias("outcome"), passed.alias("passed"))
 
 
 def hit_metrics(ranks: DataFrame, by: list[str], rank: str) -> DataFrame:
@@ -82,15 +98,21 @@ def hit_metrics(ranks: DataFrame, by: list[str], rank: str) -> DataFrame:
     return ranks.groupBy(*by).agg(*[F.avg(F.when(F.col(rank) <= k, 1.0).otherwise(0.0)).alias(f"hit_{k}") for k in (1, 3, 5)], F.count("*").alias("queries"))
 
 
+# Fixed values of the coverage score: weights by tier, points for what is missing, penalties and their limits.
+TIER_WEIGHTS, OTHER_TIER = {1: 34, 2: 32, 3: 28, 4: 18, 5: 10}, 8
+INACTIVE, UNKNOWN_DOCS, NO_DOCS, NO_CHUNKS, UNCHUNKED_MOST, UNCHUNKED_LOG, UNCHUNKED_SHARE = -70.0, 16.0, 42.0, 38.0, 34.0, 8.0, 18.0
+FAILURE_POINTS, FAILURES_MOST, ERRORS_MOST, STOPPED_POINTS = 3, 12, 8, 10.0
+
+
 def coverage_score(tier: Column, status: Column, docs: Column, chunks: Column, unchunked: Column, failures: Column, errors: Column, stopped: Column) -> Column:
     """R23, M: how much a source needs attention: weights by tier and state, logarithms of what is missing with caps."""
     c = lambda x: F.coalesce(x, F.lit(0))
-    weight = F.when(tier == 1, 34).when(tier == 2, 32).when(tier == 3, 28).when(tier == 4, 18).when(tier == 5, 10).otherwise(8)
-    missing = F.when(docs.isNull(), 16.0).when(docs == 0, 42.0).otherwise(
-        F.when(c(chunks) == 0, 38.0).otherwise(0.0)
-        + F.when(c(unchunked) > 0, F.least(F.lit(34.0), F.log1p(c(unchunked)) * 8.0) + c(unchunked) / F.greatest(docs, F.lit(1)) * 18.0).otherwise(0.0)
-    )
-    return F.round(weight + F.when(status.eqNullSafe("active"), 0.0).otherwise(-70.0) + missing + F.least(F.lit(12), c(failures) * 3) + F.least(F.lit(8), c(errors)) + F.when(stopped, 10.0).otherwise(0.0), 2)
+    weight = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in TIER_WEIGHTS.items() for x in p]), tier.cast("int")), F.lit(OTHER_TIER))
+    partly = F.least(F.lit(UNCHUNKED_MOST), F.log1p(c(unchunked)) * UNCHUNKED_LOG) + c(unchunked) / F.greatest(docs, F.lit(1)) * UNCHUNKED_SHARE
+    some = F.when(c(chunks) == 0, NO_CHUNKS).otherwise(0.0) + F.when(c(unchunked) > 0, partly).otherwise(0.0)
+    missing = F.when(docs.isNull(), UNKNOWN_DOCS).when(docs == 0, NO_DOCS).otherwise(some)
+    trouble = F.least(F.lit(FAILURES_MOST), c(failures) * FAILURE_POINTS) + F.least(F.lit(ERRORS_MOST), c(errors)) + F.when(stopped, STOPPED_POINTS).otherwise(0.0)
+    return F.round(weight + F.when(status.eqNullSafe("active"), 0.0).otherwise(INACTIVE) + missing + trouble, 2)
 
 
 def repair_gate(text: Column, links: Column) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -36,8 +38,12 @@ def bm25(docs: DataFrame, queries: DataFrame, query_key: str, query_text: str, k
     t = docs.where(F.col(text).isNotNull()).select(F.col(key), index_tokens(F.col(text)).alias("toks"))
     t = t.select(key, F.size("toks").alias("dl"), F.explode("toks").alias("term")).join(broadcast_if_small(wanted, 32 << 20), "term", "left_semi")
     post = t.groupBy("term", key, "dl").agg(F.count("*").alias("tf"))
+    return _bm25_scores(post, index_stats(docs, text), terms, query_key, key, k1, b)
+
+
+def _bm25_scores(post: DataFrame, stats: DataFrame, terms: DataFrame, query_key: str, key: str, k1: float, b: float) -> DataFrame:
     df = post.groupBy("term").agg(F.count("*").alias("df"))
-    stats = F.broadcast(index_stats(docs, text))  # one row
+    stats = F.broadcast(stats.select("n_docs", "avgdl"))  # one row
     idf = F.greatest(F.log((F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0), F.lit(0.0))
     part = idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.col("avgdl")))
     scored = post.join(broadcast_if_small(df), "term").crossJoin(stats).select("term", key, part.alias("part"))
@@ -71,20 +77,117 @@ def overlap_score(claims: DataFrame, queries: DataFrame, claim_key: str, claim_t
     q = tok(queries, query_key, query_text, "q")
     size = claims.select(F.col(claim_key), F.size(F.array_distinct(word_tokens(F.col(claim_text)))).alias("n"))
     shared = c.join(broadcast_if_small(q), "tok").groupBy(query_key, claim_key).agg(F.count("*").alias("overlap"))
-    return shared.join(size, claim_key).select(query_key, claim_key, "overlap", (F.col("overlap") * (1 + 0.3 * (1 - F.least(F.lit(1.0), F.col("n") / 50)))).alias("score"))
+    return shared.join(size, claim_key).select(query_key, claim_key, "overlap", short_claim_score(F.col("overlap"), F.col("n")).alias("score"))
+
+
+def short_claim_score(overlap: Column, tokens: Column) -> Column:
+    """The overlap, up to 30 % more for claims under 50 tokens."""
+    return overlap * (1 + 0.3 * (1 - F.least(F.lit(1.0), tokens / 50)))
+
+
+# What a claim's confidence adds.
+CONFIDENCE = {"high": 0.5, "medium": 0.0, "low": -0.5}
+
+
+def claim_scores(claims: DataFrame, queries: DataFrame, claim_key: str, query_key: str, places: list[str]) -> DataFrame:
+    """``query, claim, overlap, score`` of every pair that shares a token which is no place name (any token where a query has none but place names).
+
+    ``claims`` has ``tokens`` (array), ``domain``, ``confidence`` and ``markers`` (array of its topic's strong marks it holds);
+    ``queries`` has ``tokens`` and ``domains`` (array of wanted local domains). Overlap scaled for short claims, 0.75 for each shared
+    token that is no place, 2.5 for a wanted domain or one below it, 1.25 a mark up to 4, and the confidence. An equi-join on tokens.
+    """
+    c = claims.select(claim_key, F.explode(F.array_distinct("tokens")).alias("tok"))
+    q = queries.select(query_key, F.explode(F.array_distinct("tokens")).alias("tok"))
+    free = ~F.col("tok").isin(places) if places else F.lit(True)
+    shared = c.join(broadcast_if_small(q), "tok").groupBy(query_key, claim_key).agg(F.count("*").alias("overlap"), F.count_if(free).alias("free"))
+    named = F.lit(False) if not places else F.forall("tokens", lambda t: t.isin(places))
+    own = claims.select(claim_key, F.size(F.array_distinct("tokens")).alias("_n"), "domain", "confidence", F.size("markers").alias("_marks"))
+    asked = queries.select(query_key, "domains", named.alias("_places_only"))
+    j = shared.join(broadcast_if_small(asked), query_key).join(own, claim_key).where((F.col("free") > 0) | F.col("_places_only"))
+    near = F.exists("domains", lambda d: (F.col("domain") == d) | F.col("domain").endswith(F.concat(F.lit("."), d)))
+    sure = F.create_map(*[F.lit(x) for p in CONFIDENCE.items() for x in p])
+    score = (
+        short_claim_score(F.col("overlap"), F.col("_n"))
+        + 0.75 * F.col("free")
+        + F.when(F.coalesce(near, F.lit(False)), 2.5).otherwise(0.0)
+        + F.least(F.lit(4.0), 1.25 * F.greatest(F.coalesce("_marks", F.lit(0)), F.lit(0)))
+        + F.coalesce(F.try_element_at(sure, F.coalesce("confidence", F.lit("medium"))), F.lit(0.0))
+    )
+    return j.select(query_key, claim_key, "overlap", score.alias("score"))
 
 
-def rank_features(rank: Column, coverage: Column, domain_match: Column, local_match: Column, noisy: Column) -> Column:
-    """Order bonus, coverage, domain, locality and noise as one score."""
+def rank_features(rank: Column, coverage: Column, domain_match: Column, local_match: Column, noisy: Column, boost: Column | None = None, wants_place: Column | None = None) -> Column:
+    """Order bonus, coverage, domain, locality, noise and the topic's boost as one score. A local query whose place isn't met gets 1 for a matching domain."""
+    near = F.when(local_match, 7.5)
+    if wants_place is not None:
+        near = near.when(wants_place & domain_match, 1.0)
     return (
         F.greatest(F.lit(0.0), F.lit(4.0) - 0.05 * (rank - 1))
         + 5.0 * coverage
         + F.when(domain_match, 7.5).otherwise(-2.0)
-        + F.when(local_match, 7.5).otherwise(0.0)
+        + near.otherwise(0.0)
         + F.when(noisy, -1.5).otherwise(0.0)
+        + (F.lit(0.0) if boost is None else F.coalesce(boost, F.lit(0.0)))
     )
 
 
+def topic_boost(text: Column, rules: list[tuple[str, str, float, float]], topic: Column) -> Column:
+    """The boosts of a topic: rules (topic, mark, points, most); a topic's points for the marks that a text holds, ``most`` at most of each rule."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return sum((F.when(topic.eqNullSafe(F.lit(t)), F.least(F.lit(most), F.regexp_count(low, F.lit(re.escape(mark))) * points)).otherwise(0.0) for t, mark, points, most in rules), F.lit(0.0))
+
+
+def relevance_of(domain_match: Column, local_match: Column, coverage: Column, score: Column) -> Column:
+    """High for an expected or local domain, medium for half of the terms and 5 points, else low."""
+    return F.when(domain_match | local_match, "high").when((coverage >= 0.5) & (score >= 5.0), "medium").otherwise("low")
+
+
+def term_coverage(terms: Column, text: Column) -> Column:
+    """The share of a query's terms that a text holds."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    return F.coalesce(F.try_divide(F.size(F.filter(terms, lambda t: low.contains(t))).cast("double"), F.size(terms)), F.lit(0.0))
+
+
+def contains_fallback(found: DataFrame, docs: DataFrame, queries: DataFrame, query_key: str, terms: str, key: str, text: str) -> DataFrame:
+    """(query, document, score) of ``found``, and for queries without any hit the documents that hold a term anywhere in their text, by their number of such terms.
+
+    Each document's terms are looked for in blocks of unanswered queries, each broadcast.
+    """
+    lost = queries.join(found.select(query_key).distinct(), query_key, "left_anti").select(query_key, terms)
+    hits = docs.where(F.col(text).isNotNull()).select(key, F.lower(text).alias("_t")).join(
+        F.broadcast(lost) if size_in_bytes(lost) <= 64 << 20 else lost, F.exists(terms, lambda w: F.col("_t").contains(w))
+    )
+    more = hits.select(query_key, key, F.size(F.filter(terms, lambda w: F.col("_t").contains(w))).cast("double").alias("score"))
+    return found.select(query_key, key, "score").unionByName(more)
+
+
+def supplement(pulls: list[DataFrame], query_key: str, key: str) -> DataFrame:
+    """Candidate lists merged by id: a candidate keeps the score and the ``pull`` number of the first list that has it."""
+    union = None
+    for i, d in enumerate(pulls):
+        part = d.select(query_key, key, "score", F.lit(i).alias("pull"))
+        union = part if union is None else union.unionByName(part)
+    return union.groupBy(query_key, key).agg(F.min("pull").alias("pull"), F.min_by("score", "pull").alias("score"))
+
+
+def write_index(docs: DataFrame, folder: str, key: str = "doc_id", text: str = "text", buckets: int = 64) -> None:
+    """The inverted index as tables: postings partitioned by a hash of the term, and one row of statistics. Searches read the partitions of their terms only."""
+    post = build_postings(docs, key, text).withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(buckets)).cast("int"))
+    post.repartition("bucket", F.pmod(F.xxhash64(key), F.lit(8))).write.mode("overwrite").partitionBy("bucket").parquet(f"{folder}/postings")
+    index_stats(docs, text).withColumn("buckets", F.lit(buckets)).coalesce(1).write.mode("overwrite").parquet(f"{folder}/stats")
+
+
+def search_index(spark: SparkSession, folder: str, queries: DataFrame, query_key: str, query_text: str, key: str = "doc_id", k1: float = K1, b: float = B) -> DataFrame:
+    """R2: (query, document, score) from a stored index, without reading a text: of the postings only the buckets of the queries' terms."""
+    stats = spark.read.parquet(f"{folder}/stats")
+    terms = query_terms(queries, query_key, query_text)
+    n = stats.first().buckets
+    wanted = sorted(r[0] for r in terms.select(F.pmod(F.xxhash64("term"), F.lit(n)).cast("int")).distinct().collect())  # no more than there are buckets
+    post = spark.read.parquet(f"{folder}/postings").where(F.col("bucket").isin(wanted))
+    post = post.join(broadcast_if_small(terms.select("term").distinct(), 32 << 20), "term", "left_semi")
+    return _bm25_scores(post, stats, terms, query_key, key, k1, b)
+
+
 def relevance_label(score: Column, high: float = 12.0, medium: float = 6.0) -> Column:
     """R9."""
     return F.when(score >= high, "high").when(score >= medium, "medium").otherwise("low")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sifterra.operators.timestamps import normalise_timestamps
-from sifterra.plans import corpus, extras, operations  # noqa: F401  (registers its queries)
+from sifterra.plans import corpus, extras, operations, tables  # noqa: F401  (registers their queries)
 from sifterra.plans.registry import ORACLES, QUERIES
 from sifterra.session import load
 

@@ -84,15 +84,6 @@ def chunk_fixed_target(spark, d):
     return c.select("doc_id", "chunk_index", "char_start", "char_end", F.length("text").alias("chars"))
 
 
-@query(
-    "SELECT doc_id, left(sha256(encode(CAST(doc_id AS VARCHAR)) || '\\x00'::BLOB || '\\x00\\x00\\x00\\x00'::BLOB || '\\x00'::BLOB || encode(text)), 24) AS chunk_id FROM documents WHERE length(text) BETWEEN 1 AND 199"
-)
-def chunk_ids(spark, d):
-    """Ids of documents under 200 characters, which are a single chunk; chunk_ids_all has those of all chunks"""
-    docs = load(spark, d, "documents").where(F.length("text").between(1, 199))
-    return docs.select("doc_id", ids.chunk_id(F.col("doc_id").cast("string"), F.lit(0), F.col("text")).alias("chunk_id"))
-
-
 # The index as four bytes, the lowest first.
 _U32 = "unhex(printf('%02x%02x%02x%02x', i & 255, (i >> 8) & 255, (i >> 16) & 255, (i >> 24) & 255))"
 
@@ -194,31 +185,6 @@ def duplicate_canonical_urls(spark, d):
     return t.groupBy("canonical").agg(F.count("*").alias("docs")).where("docs > 1")
 
 
-_URL_CASES = [
-    "https://Example.GOV.example/Notices//2024/index.html?utm_source=x&b=2&a=1#top", "https://e.example/a/a/a/b", "https://e.example/wp-admin/x", "https://e.example/list?page=21", "https://e.example/cal?year=2024&month=2",
-    "https://e.example/img/logo.PNG", "ftp://e.example/x.pdf", "https://e.example/files/act.pdf", "https://e.example/category/acts", "https://e.example/acts/12", "https://e.example/x?page=3", "https://e.example/gallery/1", "https://e.example/", "https://e.example/a/.htaccess", "https://e.example/index.php",
-    "https://e.example/1/2/3/4/5/6/7/8/9/10/11/12/13/14/15/16",
-]
-_URL_WANT = [
-    ("https://example.gov.example/Notices/2024?a=1&b=2", None, "content_page", 120), ("https://e.example/a/a/a/b", "repeated_segment", "navigation", 100), ("https://e.example/wp-admin/x", "trap_pattern", "navigation", 100), ("https://e.example/list?page=21", "pagination_too_deep", "navigation", 100),
-    ("https://e.example/cal?month=2&year=2024", "calendar_combinatorics", "navigation", 100), ("https://e.example/img/logo.PNG", "blocked_extension", "navigation", 100), ("ftp://e.example/x.pdf", "non_http", "document", 130), ("https://e.example/files/act.pdf", None, "document", 130),
-    ("https://e.example/category/acts", None, "listing", 110), ("https://e.example/acts/12", None, "content_page", 120), ("https://e.example/x?page=3", None, "listing", 110), ("https://e.example/gallery/1", None, "low_value", 95), ("https://e.example/", None, "navigation", 100), ("https://e.example/a/.htaccess", None, "navigation", 100),
-    ("https://e.example/", None, "navigation", 100), ("https://e.example/1/2/3/4/5/6/7/8/9/10/11/12/13/14/15/16", "too_many_segments", "navigation", 100),
-]
-
-
-def _lit(v):
-    return "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
-
-
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(map(_lit, (u, *w))) + ")" for u, w in zip(_URL_CASES, _URL_WANT)) + ") t(url, canonical, rejection, class, score)")
-def url_rules(spark, d):
-    """U1-U6, U12, U13 on literal cases with their expected values"""
-    t = spark.createDataFrame([(u,) for u in _URL_CASES], "url string")
-    u = F.col("url")
-    return t.select("url", url.canonical_url(u).alias("canonical"), url.url_rejection(u).alias("rejection"), url.url_class(u).alias("class"), url.url_score(url.url_class(u), F.lit(0)).alias("score"))
-
-
 @query(
     r"""SELECT class, CAST(count(*) AS BIGINT) AS pages FROM (SELECT CASE
       WHEN regexp_extract(lower(regexp_extract(path, '[^/]*$')), '^.+(\.[a-z0-9]{1,6})$', 1) IN ('.pdf','.doc','.docx','.xls','.xlsx','.ppt','.pptx','.txt','.csv') THEN 'document'
@@ -274,17 +240,6 @@ def html_shell_verdict(spark, d):
     return t.select("page_id", H.is_shell(F.col("extracted_text"), F.col("raw_link_count"), F.col("script_count")).alias("is_shell")).distinct()
 
 
-_PAGE = "<html lang=\"ne\"><head><title> A  page </title><script src=x></script></head><body><nav><a href='/home'>Home</a></nav><main><h1>Notice</h1><p>" + "Bring the form to the office before noon. " * 4 + "</p><a href=\"/b.pdf\">b</a><a href='/a'>a</a></main><footer>foot</footer></body></html>"
-
-
-@query("SELECT 'A page' AS title, 'ne' AS lang, CAST(1 AS INTEGER) AS scripts, CAST(3 AS INTEGER) AS links, '/a,/b.pdf,/home' AS hrefs, '/b.pdf' AS pdfs, 'Notice " + ("Bring the form to the office before noon. " * 4) + "b a' AS body")
-def html_extract(spark, d):
-    """H1-H3, U14 on a literal page"""
-    t = spark.createDataFrame([(_PAGE,)], "html string")
-    h = F.col("html")
-    return t.select(H.html_title(h).alias("title"), H.html_lang(h).alias("lang"), H.script_count(h).alias("scripts"), H.raw_link_count(h).alias("links"), F.array_join(H.html_links(h), ",").alias("hrefs"), F.array_join(url.document_links(h), ",").alias("pdfs"), H.readable_text(h).alias("body"))
-
-
 @query(
     """
     WITH h AS (SELECT DISTINCT page_id, lower(regexp_extract(link, '://([^/?#]+)', 1)) AS host FROM (SELECT page_id, unnest(links) AS link FROM parsed_pages)),

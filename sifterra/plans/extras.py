@@ -90,10 +90,16 @@ def text_predicates(spark, d):
     return t.where(F.lower("extracted_text").rlike("fee|दस्तुर") & F.length("extracted_text").between(200, 4000) & (F.coalesce("lang", F.lit("unknown")) != "de")).select("page_id").distinct()
 
 
-@query(r"SELECT DISTINCT conv_id, turn_no, trim(regexp_replace(regexp_replace(content, 'https?://\S+', '', 'g'), '[\t ]+', ' ', 'g'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS cleaned FROM chat_turns WHERE content IS NOT NULL AND length(content) BETWEEN 20 AND 2000 AND role = 'user' AND NOT regexp_matches(content, '(?m)^\s*>|/?u/\w+|/?r/\w+|^(?i)edit|\]\(http')")
+@query(
+    r"""
+    WITH t AS (SELECT DISTINCT conv_id, turn_no, content FROM chat_turns WHERE role = 'user' AND length(content) BETWEEN 20 AND 2000),
+    a AS (SELECT conv_id, turn_no, regexp_replace(content, '!?\[([^\]\n]*)\]\([^()\s]*\)', '\1', 'g') AS x FROM t),
+    b AS (SELECT conv_id, turn_no, regexp_replace(regexp_replace(x, '(?im)^[ \t]*(?:>|&gt;).*$|^[ \t]*\**edit(?:ed)?\b[^\n:]{0,20}:.*$|\bhttps?://[^\s<>]+|\bwww\.[^\s<>]+', '', 'g'), '(?m)(^|[^\w/])/?[ur]/[A-Za-z0-9_-]+', '\1', 'g') AS x FROM a)
+    SELECT DISTINCT conv_id, turn_no, trim(regexp_replace(array_to_string(list_transform(regexp_split_to_array(x, '\r?\n'), lambda l: trim(regexp_replace(l, '[ \t]+', ' ', 'g'))), chr(10)), '\n{3,}', chr(10) || chr(10), 'g'), chr(10) || ' ') AS cleaned FROM b"""
+)
 def forum_clean(spark, d):
-    """T-8, F7"""
-    t = load(spark, d, "chat_turns").where("content is not null and role = 'user'").where(F.length("content").between(20, 2000) & ~F.col("content").rlike(r"(?m)^\s*>|/?u/\w+|/?r/\w+|^(?i)edit|\]\(http"))
+    """T-8, F7: user turns of 20 to 2,000 characters"""
+    t = load(spark, d, "chat_turns").where("content is not null and role = 'user'").where(F.length("content").between(20, 2000))
     return t.select("conv_id", "turn_no", text.clean_forum(F.col("content")).alias("cleaned")).distinct()
 
 
@@ -200,38 +206,6 @@ def template_expansion(spark, d):
     return joins.expand_templates(t, "t", e, "s").select("filled")
 
 
-@query("SELECT 1 AS id, 'fee,office,charge,cost,bureau' AS expanded UNION ALL SELECT 2, 'desk'")
-def expand_terms(spark, d):
-    """T-7 on literals"""
-    q = spark.createDataFrame([(1, ["fee", "office", "fee"]), (2, ["desk"])], "id int, terms array<string>")
-    s = spark.createDataFrame([("fee", "charge"), ("fee", "cost"), ("office", "bureau")], "term string, extra string")
-    return joins.expand_terms(q, "id", "terms", s).select("id", F.array_join(F.col("expanded"), ",").alias("expanded"))
-
-
-@query("SELECT * FROM (VALUES (1, 'ok', 2), (2, 'fenced', 3), (3, NULL, NULL)) t(id, name, n)")
-def tolerant_json(spark, d):
-    """N on literals"""
-    t = spark.createDataFrame([(1, 'x {"name": "ok", "n": 2,} y'), (2, '```json\n{"name": "fenced", "n": 3}\n```'), (3, "none")], "id int, raw string")
-    j = records.tolerant_json(F.col("raw"), "name string, n int")
-    return t.select("id", j["name"].alias("name"), j["n"].alias("n"))
-
-
-@query("SELECT * FROM (VALUES (1, '3,4,9,9', '-100,-100,9,9'), (2, '1,9', '-100,9'), (3, '9,9,9,9', '9,9,9,9')) t(id, ids, labels)")
-def sequence_budget(spark, d):
-    """DS16, DS17 on literals"""
-    t = spark.createDataFrame([(1, [1, 2, 3, 4], [9, 9]), (2, [1], [9]), (3, [1, 2], [9, 9, 9, 9, 9])], "id int, p array<int>, a array<int>")
-    b = records.fit_budget(F.col("p"), F.col("a"), 4)
-    s = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
-    return t.select("id", s(b["input_ids"]).alias("ids"), s(b["labels"]).alias("labels"))
-
-
-@query("SELECT * FROM (VALUES ('C'), ('A'), ('BPreeti'), ('E'), ('Mixed'), ('BLegacyUnknown')) t(tier)")
-def pdf_tier_decision(spark, d):
-    """L8 on count vectors"""
-    t = spark.createDataFrame([(0, 0, 10, 3, 0, 0), (900, 20, 3000, 1, 0, 0), (0, 800, 1000, 1, 5, 0), (0, 800, 1000, 1, 0, 9), (300, 500, 2000, 1, 4, 0), (0, 800, 1000, 1, 0, 0)], "d int, l int, b int, p int, m int, e int")
-    return t.select(script.pdf_tier(*map(F.col, ["d", "l", "b", "p", "m", "e"])).alias("tier"))
-
-
 @query("SELECT page_id, CAST(count(DISTINCT link) AS BIGINT) AS same_site FROM (SELECT page_id, url, unnest(links) AS link FROM parsed_pages) WHERE array_to_string(string_split(lower(regexp_extract(url, '://([^/?#]+)', 1)), '.')[-3:], '.') = array_to_string(string_split(lower(regexp_extract(link, '://([^/?#]+)', 1)), '.')[-3:], '.') GROUP BY page_id")
 def same_site_links(spark, d):
     """F22, U7, U15"""
@@ -284,15 +258,6 @@ def claim_overlap_score(spark, d):
     return o.select("q_id", "claim_id", "overlap")
 
 
-@query("SELECT vec_id, CAST(sum(1.0 / (60 + r)) * 1000000 AS BIGINT) AS fused FROM (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings WHERE vec_id < 20 UNION ALL SELECT vec_id, row_number() OVER (ORDER BY vec_id DESC) FROM embeddings WHERE vec_id < 20) GROUP BY vec_id")
-def rrf_fusion(spark, d):
-    """The arithmetic on two orders of 20 ids; rrf_rankings fuses the rankings of searches"""
-    e = load(spark, d, "embeddings").where("vec_id < 20").select("vec_id", F.lit(0).alias("q"))
-    a = search.top_k(e, ["q"], [F.asc("vec_id")], 1000)
-    b = search.top_k(e, ["q"], [F.desc("vec_id")], 1000)
-    return search.reciprocal_rank_fusion([a, b], "q", "vec_id").select("vec_id", F.round(F.col("score") * 1000000).cast("bigint").alias("fused"))
-
-
 _FLAT = _BM25.replace("tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))", "tf * 2.5 / (tf + 1.5)")
 
 
@@ -316,15 +281,6 @@ def near_dup_sentences(spark, d):
     return _smoke(spark, d, "model_output").where("model_output is not null").select("result_id", text.drop_near_sentences(F.col("model_output")).alias("kept"))
 
 
-@query("SELECT * FROM (VALUES (1, 'no_results'), (2, 'no_authority'), (3, 'weak_scores'), (4, 'thin_text'), (5, 'passed')) t(id, outcome)")
-def quality_gate(spark, d):
-    """R14 on literal result lists"""
-    long = "x" * 50
-    rows = [(1, []), (2, [(9.0, False, long)]), (3, [(0.5, True, long)]), (4, [(9.0, True, "short")]), (5, [(0.1, False, "a"), (9.0, True, long)])]
-    t = spark.createDataFrame(rows, "id int, results array<struct<score:double,domain_ok:boolean,text:string>>")
-    return t.select("id", records.quality_gate(F.col("results")).alias("outcome"))
-
-
 @query("SELECT source_id, CASE WHEN tier = 1 THEN 9 WHEN tier = 2 THEN 7 ELSE tier END AS tier FROM source_registry")
 def override_replay(spark, d):
     """Patches in order, the last one of each source wins"""
@@ -336,27 +292,6 @@ def override_replay(spark, d):
     return lifecycle.replay_patches(base, patches, "source_id", "tier", "at")[0]
 
 
-_TEXT_CASES = [
-    ("ward_number", "वडा नम्बर १२ मा", "12"), ("ward_number", "Ward no. 7", "7"), ("last_number", "so 3 and 1,204.5", "1204.5"), ("last_number", "x #### 42 then 7", "42"), ("choice_letter", "The answer is (b).", "B"), ("arithmetic", "what is 6 * 7?", "42.0"),
-    ("stem", "कार्यालयमा", "कार्यालय"), ("stem", "मा", "मा"), ("digits", "२०२१", "2021"), ("gibberish", "aaaaaa", "true"), ("gibberish", "hello there", "false"), ("foreign", "文字", "true"), ("snippet", "abc fee xyz", "abc fee xyz"), ("scrub", "Ask Ram or RAMA", "Ask [name] or RAMA"), ("marks", "x [1]", "x [S1]"), ("tail", "a~b~a~c", "a~b"),
-]
-
-
-@query("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join("'" + x.replace("'", "''") + "'" for x in c) + ")" for c in _TEXT_CASES) + ") t(function, input, output)")
-def text_rules(spark, d):
-    """T-11, T-18, T-20, T-22, T-28 to T-32, L16 to L18 on literal cases with their expected values"""
-    t = spark.createDataFrame([c[:2] for c in _TEXT_CASES], "function string, input string")
-    i, f = F.col("input"), F.col("function")
-    each = {
-        "ward_number": text.ward_number(i).cast("string"), "last_number": text.last_number(i), "choice_letter": text.choice_letter(i), "arithmetic": text.arithmetic_answer(i).cast("string"), "stem": script.stem_postposition(i), "digits": script.fold_digits(i), "gibberish": text.is_gibberish(i).cast("string"),
-        "foreign": script.foreign_artifact(i).cast("string"), "snippet": text.snippet(i, F.lit("fee")), "scrub": records.scrub(i, ["ram"], "[name]"), "marks": text.mark_citations(i), "tail": F.replace(text.trim_repeated_tail(F.replace(i, F.lit("~"), F.lit("\n"))), F.lit("\n"), F.lit("~")),
-    }
-    out = F.lit(None).cast("string")
-    for name, c in each.items():
-        out = F.when(f == name, c).otherwise(out)
-    return t.select("function", "input", out.alias("output"))
-
-
 @query(r"SELECT label, CAST(count(*) AS BIGINT) AS n FROM (SELECT DISTINCT conv_id, turn_no, CASE WHEN d + l < 10 THEN 'other' WHEN d / (d + l)::DOUBLE > 0.5 THEN 'devanagari' WHEN d > 0 AND d / (d + l)::DOUBLE > 0.05 THEN 'code_mixed' WHEN r >= 3 AND r > e THEN 'roman_nepali' ELSE 'english' END AS label FROM (SELECT conv_id, turn_no, len(regexp_extract_all(content, '[ऀ-ॿ]')) AS d, len(regexp_extract_all(content, '[A-Za-z]')) AS l, len(regexp_extract_all(lower(content), '\b(?:ko|ma|ra|le|garn|chha|ke)\b')) AS r, contains(lower(content), 'the ')::INT + contains(lower(content), 'what')::INT AS e FROM chat_turns WHERE content IS NOT NULL)) GROUP BY label")
 def forum_languages(spark, d):
     """Rule-based labels with the caller's marker lists"""

@@ -192,15 +192,6 @@ def resent_turns(spark, d):
     return x.where("role = 'user' and prev.role = 'user' and prev.h = h").select("conv_id", F.col("prev.turn_no").alias("turn_no"))
 
 
-@query("SELECT conv_id, CAST(count(*) AS BIGINT) AS turns, list_aggregate(list_transform(list_sort(list({'n': turn_no, 's': role || ': ' || left(content, 40)})), lambda x: x.s), 'string_agg', chr(10)) AS messages FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn_no DESC) AS k FROM (SELECT DISTINCT conv_id, turn_no, role, content FROM chat_turns WHERE content IS NOT NULL)) WHERE k <= 8 GROUP BY conv_id")
-def messages_assembly(spark, d):
-    """N, ST5: a preview of the last eight turns of a dialogue, 40 characters of each; whole turns are in messages_whole"""
-    t = load(spark, d, "chat_turns").where("content is not null").select("conv_id", "turn_no", "role", F.left("content", F.lit(40)).alias("content")).distinct()
-    last = search.top_k(t, ["conv_id"], [F.desc("turn_no")], 8, "k")
-    g = last.groupBy("conv_id").agg(F.count("*").alias("turns"), F.sort_array(F.collect_list(F.struct("turn_no", F.concat("role", F.lit(": "), "content").alias("s")))).alias("m"))
-    return g.select("conv_id", "turns", F.array_join(F.transform("m", lambda x: x["s"]), "\n").alias("messages"))
-
-
 @query("SELECT conv_id, CAST(count(*) AS BIGINT) AS turns, list_aggregate(list_transform(list_sort(list({'n': turn_no, 's': role || ': ' || content})), lambda x: x.s), 'string_agg', chr(10)) AS messages FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn_no DESC, role DESC, content DESC) AS k FROM (SELECT DISTINCT conv_id, turn_no, role, content FROM chat_turns WHERE content IS NOT NULL)) WHERE k <= 8 GROUP BY conv_id")
 def messages_whole(spark, d):
     """N, ST5: the last eight turns of a dialogue with their whole contents as one message list"""
@@ -216,7 +207,7 @@ def question_filter(spark, d):
     return load(spark, d, "chat_turns").where("content is not null and role = 'user'").select("conv_id", "turn_no", text.is_question(F.col("content")).alias("question")).distinct()
 
 
-@query(r"SELECT DISTINCT result_id, coalesce(regexp_matches(model_output, '(?i)\bno_source_available\b|\b(?:cannot|can''?t|do(?:es)? not|don''?t|unable to)\s+(?:find|locate|access|provide|determine|confirm|verify|cite|answer)\b|\b(?:no|not|insufficient|lack of|don''?t have)\b[^.\n]{0,80}\b(?:source|sources|info|information|data|details?|reference|coverage)\b|स्रोत[^.\n]{0,40}छैन|जानकारी\s*उपलब्ध\s*छैन|उल्लेख\s+(?:गरिएको\s+)?(?:छैन|पाइँदैन)|उत्तर\s+दिन\s+(?:सक्दिनँ|मिल्दैन)'), false) AS refusal FROM smoke_results")
+@query("SELECT DISTINCT result_id, coalesce(regexp_matches(model_output, '" + text.REFUSAL_PATTERN.replace("'", "''") + "'), false) AS refusal FROM smoke_results")
 def refusal_detect(spark, d):
     """T-14"""
     return load(spark, d, "smoke_results").select("result_id", text.is_refusal(F.col("model_output")).alias("refusal")).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, map_rows
-from sifterra.session import broadcast_if_small, materialize
+from sifterra.session import broadcast_if_small, materialize, release, spread
 
 _OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
@@ -58,7 +58,7 @@ def line_table(chunks: DataFrame, doc_sources: DataFrame) -> DataFrame:
 
         return one
 
-    lines = map_rows(chunks.select("chunk_id", "doc_id", "text"), make, "chunk_id string, doc_id string, nos array<int>, h1s array<bigint>, h2s array<bigint>")
+    lines = map_rows(spread(chunks.select("chunk_id", "doc_id", "text")), make, "chunk_id string, doc_id string, nos array<int>, h1s array<bigint>, h2s array<bigint>")
     sources = doc_sources.select("doc_id", "source_id").where("doc_id is not null and source_id is not null").distinct()
     joined = lines.join(sources, "doc_id")
     return joined.select("source_id", "doc_id", "chunk_id", F.explode(F.arrays_zip("nos", "h1s", "h2s")).alias("x")).select(
@@ -106,18 +106,21 @@ def line_blocks(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     ident = lambda a, b: F.format_string("%016x%016x", a, b)
     pair = edges.select("source_id", ident("a1", "a2").alias("id"), ident("b1", "b2").alias("other"))
     both = materialize(pair.unionByName(pair.select("source_id", F.col("other").alias("id"), F.col("id").alias("other"))).distinct(), "edges")
-    labels = materialize(nodes.withColumn("id", ident("h1", "h2")).select("*", F.col("id").alias("block")), "blocks")
-    while True:
+    labels = materialize(nodes.withColumn("id", ident("h1", "h2")).select("*", F.col("id").alias("block"), F.lit(True).alias("moved")), "blocks")
+    while labels.where("moved").limit(1).count():
         named = labels.select("source_id", F.col("id").alias("block"), F.col("block").alias("next"))
-        now = materialize(labels.join(named, ["source_id", "block"]), "blocks")
+        now = materialize(labels.drop("moved").join(named, ["source_id", "block"]), "blocks")
         sent = both.join(now.select("source_id", F.col("id").alias("other"), "next"), ["source_id", "other"]).groupBy("source_id", "id").agg(F.min("next").alias("sent"))
         up = now.join(sent, ["source_id", "id"]).select("source_id", "block", "sent")
         least = sent.unionByName(up.select("source_id", F.col("block").alias("id"), "sent")).groupBy("source_id", "id").agg(F.min("sent").alias("sent"))
         new = now.join(least, ["source_id", "id"], "left").withColumn("new", F.least("block", "next", "sent"))
-        labels = materialize(new.select("source_id", "h1", "h2", "support", "id", F.col("new").alias("block"), (F.col("new") < F.col("block")).alias("moved")), "blocks")
-        if not labels.where("moved").limit(1).count():
-            return labels.drop("moved", "id")
-        labels = labels.drop("moved")
+        after = materialize(new.select("source_id", "h1", "h2", "support", "id", F.col("new").alias("block"), (F.col("new") < F.col("block")).alias("moved")), "blocks")
+        # What no later round reads goes at once.
+        release(now)
+        release(labels)
+        labels = after
+    release(both)
+    return labels.drop("moved", "id")
 
 
 def repeated_lines(chunks: DataFrame, doc_sources: DataFrame, least_docs: int = 8) -> DataFrame:
@@ -130,6 +133,7 @@ def repeated_lines(chunks: DataFrame, doc_sources: DataFrame, least_docs: int =
     lines = materialize(line_table(chunks, doc_sources), "lines")
     nodes = materialize(frequent_lines(lines, least_docs), "nodes")
     found = materialize(occurrences(lines, nodes).drop("support"), "found")
+    release(lines)
     blocks = line_blocks(nodes, line_edges(found, least_docs))
     return occurrences(found, blocks).select("chunk_id", "doc_id", "source_id", "line_no", "support", "block").distinct()
 

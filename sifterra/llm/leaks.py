@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, map_rows
+from sifterra.session import spread
 
 _RUN = regex.compile(r"[\p{L}\p{M}\p{Nd}]+")
 
@@ -223,6 +224,6 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
 
             return one
 
-        part = map_rows(docs.select(F.col(key), F.col(text)), make, f"{item_key} {kinds[1]}, {key} {kinds[0]}, score double")
+        part = map_rows(spread(docs).select(F.col(key), F.col(text)), make, f"{item_key} {kinds[1]}, {key} {kinds[0]}, score double")
         out = part if out is None else out.unionByName(part)
     return out

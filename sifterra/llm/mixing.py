@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, map_rows
-from sifterra.session import broadcast_if_small, materialize
+from sifterra.session import broadcast_if_small, materialize, spread
 
 TOKENIZER_DIR = os.environ.get("SIFTERRA_TOKENIZERS", "/opt/tokenizers")
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -51,7 +51,7 @@ def token_counts(docs: DataFrame, key: str = "doc_id", source: str = "source", t
 
         return one
 
-    return map_rows(docs.select(key, F.col(source).alias("source"), text), make, f"{key} {dict(docs.dtypes)[key]}, source string, tokens bigint")
+    return map_rows(spread(docs).select(key, F.col(source).alias("source"), text), make, f"{key} {dict(docs.dtypes)[key]}, source string, tokens bigint")
 
 
 def source_rates(counts: DataFrame, targets: DataFrame, total_tokens: float | None = None) -> DataFrame:

@@ -171,8 +171,9 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_clean_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks without the repeated lines."""
-    chunks = load(spark, sf_dir, "chunks").select("chunk_id", "doc_id", "chunk_index", "text").distinct()
-    return boilerplate.strip_lines(chunks, _repeated(spark, sf_dir)).select("chunk_id", "doc_id", "chunk_index", "clean_text")
+    chunks = load(spark, sf_dir, "chunks").select("chunk_id", "doc_id", "chunk_index", "text")
+    # Repeated rows go after the join, whose partitioning by chunk serves for that: texts are shuffled once.
+    return boilerplate.strip_lines(chunks, _repeated(spark, sf_dir)).select("chunk_id", "doc_id", "chunk_index", "clean_text").distinct()
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sifterra.llm.common import Memo, count_words, map_rows
 from sifterra.llm.language import LanguageModel, main_language, text_segments
+from sifterra.session import bounded_sample, spread
 
 QUANTILES = (0.05, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
 #: Languages of the graded texts as the language model names them.
@@ -145,8 +146,8 @@ def _ordinal(x: np.ndarray, y: np.ndarray, k: int, steps: int, ridge: float, rat
 
 
 def fit_from_table(samples: DataFrame, bound: int = 5000) -> ReadingModel:
-    """Fit on at most ``bound`` graded samples."""
-    rows = samples.where("text is not null and reading_level is not null and lang is not null").select("lang", "reading_level", "text").limit(bound).collect()
+    """Fit on at most ``bound`` graded samples, chosen by hash."""
+    rows = bounded_sample(samples.where("text is not null and reading_level is not null and lang is not null").select("lang", "reading_level", "text"), ["lang", "reading_level", "text"], bound)
     return fit_reading_model(sorted((r[0], r[1], r[2]) for r in rows))
 
 
@@ -174,4 +175,4 @@ def reading_levels(docs: DataFrame, language: LanguageModel, reading: ReadingMod
 
         return one
 
-    return map_rows(docs.select(F.col(key), F.col(text)), make, f"{key} {dict(docs.dtypes)[key]}, reading_level int, confidence double, lang string, n_words int")
+    return map_rows(spread(docs).select(F.col(key), F.col(text)), make, f"{key} {dict(docs.dtypes)[key]}, reading_level int, confidence double, lang string, n_words int")

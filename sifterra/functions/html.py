@@ -8,7 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 # Subtrees without content, and places that hold the content, most specific first.
 NOISE_TAGS = frozenset("script style noscript nav header footer aside iframe form svg template".split())
@@ -98,6 +98,64 @@ def read_html(html: str | None) -> str | None:
     return ""
 
 
+# Elements that a block of text doesn't go beyond.
+BLOCK_TAGS = frozenset("address article aside blockquote body br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section table tbody td tfoot th thead title tr ul".split())
+
+
+class _Blocks(HTMLParser):
+    """Leaf blocks in document order, each with the tags above it. Scripts and styles hold none."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack: list[str] = []
+        self.out: list[tuple[str, str]] = []
+        self.words: list[str] = []
+        self.path = ""
+
+    def flush(self):
+        text = re.sub(r"\s+", " ", " ".join(self.words)).strip()
+        if text:
+            self.out.append((self.path, text))
+        self.words = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in BLOCK_TAGS:
+            self.flush()
+        if tag not in VOID_TAGS:
+            self.stack.append(tag)
+
+    def handle_endtag(self, tag):
+        if tag in BLOCK_TAGS:
+            self.flush()
+        if tag in self.stack:
+            while self.stack.pop() != tag:
+                pass
+
+    def handle_data(self, data):
+        if not data.strip() or any(t in ("script", "style", "noscript", "template") for t in self.stack):
+            return
+        if not self.words:
+            self.path = "/".join(self.stack)
+        self.words.append(data)
+
+
+def read_blocks(html: str | None) -> list[tuple[str, str]] | None:
+    """Leaf blocks of a page as (path of ancestor tags, text), in order; null for a null page, none for a blank one."""
+    if html is None:
+        return None
+    reader = _Blocks()
+    reader.feed(html)
+    reader.close()
+    reader.flush()
+    return reader.out
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("path", StringType()), StructField("text", StringType())])))
+def html_blocks(html: pd.Series) -> pd.Series:
+    """Leaf blocks with their ancestor tags: the input of block classifiers."""
+    return html.map(lambda x: None if x is None else [{"path": p, "text": t} for p, t in read_blocks(x)])
+
+
 @F.pandas_udf(StringType())
 def readable_text(html: pd.Series) -> pd.Series:
     return html.map(read_html)

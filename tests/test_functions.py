@@ -177,3 +177,11 @@ def test_claims_and_supplements(spark):
     a = spark.createDataFrame([(1, 1, 5.0), (1, 2, 4.0)], "q int, d int, score double")
     b = spark.createDataFrame([(1, 2, 9.0), (1, 3, 1.0), (2, 1, 1.0)], "q int, d int, score double")
     assert sorted((r.q, r.d, r.pull, r.score) for r in search.supplement([a, b], "q", "d").collect()) == [(1, 1, 0, 5.0), (1, 2, 0, 4.0), (1, 3, 1, 1.0), (2, 1, 1, 1.0)]
+
+
+def test_leaf_blocks_with_their_tags(spark):
+    page = "<html><head><title>T</title><script>x()</script></head><body><nav><ul><li><a href=/>Home</a><li>About <b>us</b></ul></nav><main><p>One<br>two &amp; three</p></main>tail</body>"
+    want = [("html/head/title", "T"), ("html/body/nav/ul/li/a", "Home"), ("html/body/nav/ul/li/li", "About us"), ("html/body/main/p", "One"), ("html/body/main/p", "two & three"), ("html/body", "tail")]
+    t = spark.createDataFrame([(page,), ("",), (None,)], "h string")
+    got = [r[0] if r[0] is None else [tuple(x) for x in r[0]] for r in t.select(H.html_blocks(F.col("h"))).collect()]
+    assert got == [want, [], None]

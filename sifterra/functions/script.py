@@ -151,19 +151,84 @@ def stem_postposition(word: Column) -> Column:
     return out
 
 
-def pdf_tier(deva: Column, latin: Column, text_bytes: Column, pages: Column, marker_hits: Column, english_hits: Column) -> Column:
-    """Extraction tier of a PDF from its counts, first rule that holds."""
-    letters = deva + latin
-    share = deva / F.nullif(letters, F.lit(0))
-    return (
-        F.when(text_bytes < 50 * F.greatest(pages, F.lit(1)), "C")
-        .when((share > 0.1) & (share < 0.9) & (marker_hits >= 3), "Mixed")
-        .when(share >= 0.5, "A")
-        .when(marker_hits >= 3, "BPreeti")
-        .when(english_hits >= 3, "E")
-        .when(letters > 0, "BLegacyUnknown")
-        .otherwise("Unknown")
+# Thresholds of the tier decision.
+SCANNED_CHARS, SOME_DEVANAGARI, NO_DEVANAGARI, LATIN_TEXT, LEGACY_LATIN, LONG_TEXT = 100, 50, 20, 50, 100, 500
+SURE_HITS, DOUBTFUL_HITS, MANY_HITS, DOUBTFUL_MARKS, DENSE_MARKS, MUCH_DEVANAGARI, SURE_SHARE, LOW_SHARE = 3, 2, 5, 0.02, 0.05, 200, 0.15, 0.10
+
+
+def pdf_tier(deva: Column, latin: Column, chars: Column, pages: Column, marker_hits: Column, mark_share: Column, deva_share: Column, reads_english: Column, producer: Column | None = None) -> Column:
+    """Struct of ``tier``, ``confidence``, ``family`` (of a legacy font) and ``warnings`` from a PDF's counts.
+
+    ``marker_hits``: words of the legacy font; ``mark_share``: share of its signature characters; ``reads_english``: the text does;
+    ``producer``: a hint from the producing program (``C``, ``C-or-B``, ``B-legacy``). Null counts are 0. C: pages without text; Mixed: Unicode and
+    legacy text; A: Unicode; BPreeti: legacy text that the marks confirm; E: English; BLegacyUnknown: neither; else Unknown.
+    """
+    n = lambda c: F.coalesce(c, F.lit(0))
+    english = F.coalesce(reads_english, F.lit(False))
+    hint = F.lit(None).cast("string") if producer is None else producer
+    unicode_, none = n(deva) >= SOME_DEVANAGARI, n(deva) < NO_DEVANAGARI
+    unsure = (n(marker_hits) >= DOUBTFUL_HITS) & ((n(mark_share) >= DOUBTFUL_MARKS) | ~english)
+    dense = none & (n(latin) > LEGACY_LATIN) & (n(mark_share) >= DENSE_MARKS) & ~english
+    legacy = (n(marker_hits) >= SURE_HITS) | unsure | dense
+    written = none & ((n(latin) > LATIN_TEXT) | (n(chars) > LONG_TEXT))
+    tier = (
+        F.when((n(pages) > 0) & (n(chars) < SCANNED_CHARS), "C").when(unicode_ & legacy, "Mixed").when(unicode_, "A").when(legacy, "BPreeti")
+        .when(written & english, "E").when(written, "BLegacyUnknown").otherwise("Unknown")
+    )
+    sure = (
+        F.when(tier == "C", hint.isin("C", "C-or-B"))
+        .when(tier == "A", (n(deva) >= MUCH_DEVANAGARI) & (n(deva_share) >= SURE_SHARE))
+        .when(tier == "BPreeti", n(marker_hits) >= MANY_HITS)
     )
+    low = (tier == "Unknown") | ((tier == "BLegacyUnknown") & ~F.coalesce(hint == "B-legacy", F.lit(False)))
+    confidence = F.when(F.coalesce(sure, F.lit(False)), "high").when(low, "low").otherwise("medium")
+    family = F.when(tier.isin("Mixed", "BPreeti"), "preeti").when(tier == "BLegacyUnknown", "unknown-legacy")
+    warnings = F.array_compact(
+        F.array(
+            F.when(tier == "Mixed", "mixed_encoding"), F.when((tier == "A") & (n(deva_share) < LOW_SHARE), "low_devanagari_share"),
+            F.when(tier == "BLegacyUnknown", "no_known_font_and_not_english"), F.when((tier == "Unknown") & (n(chars) < LONG_TEXT), "very_short_text"),
+        )
+    )
+    return F.struct(tier.alias("tier"), confidence.alias("confidence"), family.alias("family"), warnings.alias("warnings"))
+
+
+# Fixed values of the token rules: characters inside legacy words, those that stand for digits, parts and beginnings of legacy words, ends of English ones.
+LEGACY_MARKS = frozenset("{}[]|:;/\\=+")
+LEGACY_DIGITS = frozenset("!@#$%^&*()")
+LEGACY_PARTS = "g]kfn ;/sf/ sf7df8f gful/s sDkgL xf] df}nL dlxgf cfly{s ljefu kof{j/0f lg0f{o sfof{no jif{ gLlt a}+s".split()
+LEGACY_STARTS = tuple(
+    "lj lq lg lk lz lh ld lw lv lx lb lc lm ln gf df sf kf hf cf bf jf tf rf af ef zf xf Nf Kf Sf Df Bf Mf Rf Tf Pf gL kL sL bL jL tL nL dL /s { }+".split()
+)
+ENGLISH_ENDS = tuple("tion sion ing ed ly ment ness able ible ship ful less est age ance ence ity ism ist ous al ive".split())
+
+
+def converts(token: str, english: frozenset[str] = frozenset()) -> bool:
+    """Whether a token of a mixed document is legacy-font text, by the first rule that decides; ``english`` holds known words in lower case.
+
+    In order: Unicode Devanagari stays; legacy marks beside a Latin letter, digits typed as symbols, parts and beginnings of
+    legacy words convert; marks alone, numbers, acronyms, English words and ends, proper names and words with a plain share of
+    vowels stay; what is left converts.
+    """
+    letters = [c for c in token if c.isascii() and c.isalpha()]
+    if not token or re.search(DEVANAGARI, token):
+        return False
+    if letters and LEGACY_MARKS & set(token):
+        return True
+    if LEGACY_DIGITS & set(token) and set(token) <= LEGACY_DIGITS | set("_-."):
+        return True
+    if any(p in token for p in LEGACY_PARTS) or token.startswith(LEGACY_STARTS):
+        return True
+    core = re.sub(r"^[\W_]+|[\W_]+$", "", token)
+    alpha = "".join(c for c in core if c.isascii() and c.isalpha())
+    if not alpha:
+        return False
+    low = core.lower()
+    vowels = sum(c in "aeiouy" for c in alpha.lower())
+    stays = (
+        (alpha.isupper() and len(alpha) > 1) or low in english or (low.endswith(ENGLISH_ENDS) and len(alpha) > 3)
+        or (alpha[0].isupper() and alpha[1:] == alpha[1:].lower() and vowels > 0 and len(alpha) > 2) or (alpha.islower() and len(alpha) > 3 and vowels >= 0.3 * len(alpha))
+    )
+    return not stays
 
 
 class LegacyFont:
@@ -198,7 +263,8 @@ class LegacyFont:
         return text
 
     def keeps(self, token: str) -> bool:
-        return bool(re.search(DEVANAGARI, token)) or token.lower().strip(".,;:()") in self.keep or bool(re.fullmatch(r"[\d.,:/%-]+", token)) or "://" in token or bool(re.fullmatch(r"\S+@\S+\.\S+", token))
+        """Web and mail addresses and words of ``keep`` stay, and what the token rules leave."""
+        return "://" in token or bool(re.fullmatch(r"\S+@\S+\.\S+", token)) or token.lower().strip(".,;:()") in self.keep or not converts(token, self.keep)
 
     def convert_mixed(self, text: str) -> str:
         return "".join(t if not t or t.isspace() or self.keeps(t) else self.convert(t) for t in re.split(r"(\s+)", text))

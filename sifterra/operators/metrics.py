@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, LongType
 from pyspark.sql.window import Window
 
 
@@ -122,3 +125,59 @@ def win_rate(df: DataFrame, by: list[str], result: str) -> DataFrame:
 def issue_list(checks: list[tuple[str, Column]]) -> Column:
     """R16, E8, N: names of the checks that fail, in order."""
     return F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in checks]))
+
+
+_MARKS = re.compile(r"([^\w\s])")
+
+
+def score_tokens(text: str | None) -> list[str]:
+    """Blank-separated tokens, marks apart."""
+    return _MARKS.sub(r" \1 ", text or "").split()
+
+
+def _grams(items, n: int) -> Counter:
+    return Counter(tuple(items[i : i + n]) for i in range(len(items) - n + 1))
+
+
+def _overlaps(hyp, ref, longest: int) -> list[int]:
+    """For each n: n-grams in both (clipped), in the hypothesis, in the reference."""
+    out = []
+    for n in range(1, longest + 1):
+        h, r = _grams(hyp, n), _grams(ref, n)
+        out += [sum((h & r).values()), sum(h.values()), sum(r.values())]
+    return out
+
+
+@F.pandas_udf(ArrayType(LongType()))
+def score_counts(hyp: pd.Series, ref: pd.Series) -> pd.Series:
+    """One row's counts for the corpus scores: word n-grams of 1 to 4 (three counts each), lengths in words, character n-grams of 1 to 6 without blanks."""
+
+    def one(h, r):
+        a, b = score_tokens(h), score_tokens(r)
+        return [*_overlaps(a, b, 4), len(a), len(b), *_overlaps("".join((h or "").split()), "".join((r or "").split()), 6)]
+
+    return pd.Series([one(h, r) for h, r in zip(hyp, ref)])
+
+
+def corpus_scores(df: DataFrame, by: list[str], hyp: Column, ref: Column, beta: float = 2.0) -> DataFrame:
+    """``bleu`` (1 to 4 words, brevity penalty, no smoothing) and ``chrf_pp`` (characters of 1 to 6 and words of 1 and 2, averaged F) of whole groups.
+
+    Each row's counts are one Arrow pass; groups only add them up, before and after the shuffle.
+    """
+    width = 32
+    d = df.select(*by, score_counts(hyp, ref).alias("c"))
+    g = d.groupBy(*by).agg(F.count("*").alias("n"), *[F.sum(F.col("c")[i]).alias(f"_{i}") for i in range(width)])
+    c = lambda i: F.col(f"_{i}").cast("double")
+    precision = [F.try_divide(c(3 * n), c(3 * n + 1)) for n in range(4)]
+    penalty = F.when(c(12) >= c(13), 1.0).otherwise(F.exp(1 - F.try_divide(c(13), c(12))))
+    hit = c(0) * c(3) * c(6) * c(9) > 0
+    bleu = F.when(hit, 100 * penalty * F.exp(sum((F.log(F.when(hit, p)) for p in precision), F.lit(0.0)) / 4)).otherwise(0.0)
+
+    def f(at):
+        p, r = F.try_divide(c(at), c(at + 1)), F.try_divide(c(at), c(at + 2))
+        return F.coalesce(F.try_divide((1 + beta**2) * p * r, beta**2 * p + r), F.lit(0.0)), (c(at + 1) > 0) & (c(at + 2) > 0)
+
+    parts = [f(14 + 3 * n) for n in range(6)] + [f(0), f(3)]
+    orders = sum((F.when(ok, 1.0).otherwise(0.0) for _, ok in parts), F.lit(0.0))
+    chrf_pp = F.coalesce(F.try_divide(100 * sum((F.when(ok, x).otherwise(0.0) for x, ok in parts), F.lit(0.0)), orders), F.lit(0.0))
+    return g.select(*by, "n", bleu.alias("bleu"), chrf_pp.alias("chrf_pp"))

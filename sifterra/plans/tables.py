@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sifterra.functions import html as H
 from sifterra.functions import script, text, url
-from sifterra.operators import evaluation, filters, joins, lifecycle, records, sampling, search
+from sifterra.operators import cases, evaluation, filters, joins, lifecycle, metrics, records, sampling, search
 from sifterra.plans.operations import _BM25
 from sifterra.plans.registry import query
 from sifterra.session import load, materialize, shared_folder
@@ -552,14 +552,20 @@ def sequence_budgets(spark, d):
 
 
 @query(
-    "SELECT cv_id, CASE WHEN chars < 50 * greatest(pages, 1) THEN 'C' WHEN share > 0.1 AND share < 0.9 AND hits >= 3 THEN 'Mixed' WHEN share >= 0.5 THEN 'A' WHEN hits >= 3 THEN 'BPreeti' WHEN english >= 3 THEN 'E' WHEN d + l > 0 THEN 'BLegacyUnknown' ELSE 'Unknown' END AS tier FROM (SELECT DISTINCT cv_id, before_deva AS d, before_latin AS l, before_deva / nullif(before_deva + before_latin, 0)::DOUBLE AS share, (before_deva + before_latin) * 2 AS chars, pages, nepali_word_hits_after AS hits, len(regexp_extract_all(lower(coalesce(preview_before, '')), '\\b(?:the|of|and)\\b')) AS english FROM converter_validation WHERE pages IS NOT NULL AND before_deva IS NOT NULL AND before_latin IS NOT NULL AND nepali_word_hits_after IS NOT NULL)"
+    """WITH t AS (SELECT DISTINCT cv_id, coalesce(before_deva, 0) AS d, coalesce(before_latin, 0) AS l, coalesce(pages, 0) AS p, length(coalesce(preview_before, '')) AS n, coalesce(nepali_word_hits_after, 0) // 40 AS hits, coalesce(before_ratio, 0) AS share,
+      coalesce(len(regexp_extract_all(coalesce(preview_before, ''), '[{}\\[\\]|;/]')) / nullif(length(preview_before), 0)::DOUBLE, 0) AS marks, len(regexp_extract_all(lower(coalesce(preview_before, '')), '\\b(?:the|of|and)\\b')) >= 3 AS e FROM converter_validation),
+    k AS (SELECT *, hits >= 3 OR (hits >= 2 AND (marks >= 0.02 OR NOT e)) OR (d < 20 AND l > 100 AND marks >= 0.05 AND NOT e) AS legacy FROM t),
+    r AS (SELECT *, CASE WHEN p > 0 AND n < 100 THEN 'C' WHEN d >= 50 AND legacy THEN 'Mixed' WHEN d >= 50 THEN 'A' WHEN legacy THEN 'BPreeti' WHEN d < 20 AND (l > 50 OR n > 500) THEN CASE WHEN e THEN 'E' ELSE 'BLegacyUnknown' END ELSE 'Unknown' END AS tier FROM k)
+    SELECT DISTINCT cv_id, tier, CASE WHEN tier = 'A' AND d >= 200 AND share >= 0.15 OR tier = 'BPreeti' AND hits >= 5 THEN 'high' WHEN tier IN ('Unknown', 'BLegacyUnknown') THEN 'low' ELSE 'medium' END AS confidence FROM r""".replace("\\\\", "\\")
 )
 def pdf_tiers(spark, d):
-    """Tiers from the counts of every conversion"""
-    t = load(spark, d, "converter_validation").where("pages is not null and before_deva is not null and before_latin is not null and nepali_word_hits_after is not null")
-    english = F.regexp_count(F.lower(F.coalesce("preview_before", F.lit(""))), F.lit(r"\b(?:the|of|and)\b"))
-    c = F.col
-    return t.select("cv_id", script.pdf_tier(c("before_deva"), c("before_latin"), (c("before_deva") + c("before_latin")) * 2, c("pages"), c("nepali_word_hits_after"), english).alias("tier")).distinct()
+    """Tier and confidence from the counts of every conversion"""
+    t = load(spark, d, "converter_validation")
+    c, text_ = F.col, F.coalesce("preview_before", F.lit(""))
+    marks = F.try_divide(F.regexp_count(text_, F.lit(r"[{}\[\]|;/]")).cast("double"), F.length("preview_before"))
+    english = F.regexp_count(F.lower(text_), F.lit(r"\b(?:the|of|and)\b")) >= 3
+    x = script.pdf_tier(c("before_deva"), c("before_latin"), F.length(text_), c("pages"), F.floor(F.coalesce("nepali_word_hits_after", F.lit(0)) / 40), marks, c("before_ratio"), english)
+    return t.select("cv_id", x.alias("x")).select("cv_id", "x.tier", "x.confidence").distinct()
 
 
 _LANG = """deva AS (SELECT result_id, question, model_output, len(regexp_extract_all(question, '[ऀ-ॿ]')) AS qd, len(regexp_extract_all(question, '[A-Za-z]')) AS ql, len(regexp_extract_all(coalesce(model_output, ''), '[ऀ-ॿ]')) AS ad, len(regexp_extract_all(coalesce(model_output, ''), '[A-Za-z]')) AS al FROM """ + _S + " WHERE question IS NOT NULL)"
@@ -630,3 +636,46 @@ def insert_or_ignore(spark, d):
     """Half of the events are there, all are inserted: the new ones come in once"""
     e = load(spark, d, "events").select("event_id", "user_id")
     return lifecycle.insert_new(e.where("event_id % 2 = 0"), e.unionByName(e), "event_id")
+
+
+@query()
+def corpus_score_by_kind(spark, d):
+    """BLEU and chrF++ of answers against their questions by kind (tested against brute force)"""
+    return metrics.corpus_scores(_smoke(spark, d, "kind", "question", "model_output"), ["kind"], F.col("model_output"), F.col("question"))
+
+
+_CASE_RULES = [("service", "passport", "passport"), ("service", "passport", "राहदानी"), ("service", "citizenship", "citizenship"), ("service", "citizenship", "नागरिकता"), ("service", "licence", "driving licence"), ("action", "fee", "fee"), ("action", "fee", "दस्तुर"), ("action", "complaint", "complaint")]
+
+
+def _case_sql(slot: str) -> str:
+    """Best value of a slot, stated for each value in turn."""
+    from sifterra.operators.cases import alias_points
+
+    values = list(dict.fromkeys(v for s, v, _ in _CASE_RULES if s == slot))
+    points = {v: " + ".join(f"CASE WHEN contains(q, '{a if ' ' in a or not a.isascii() else ' ' + a + ' '}') THEN {alias_points(a)} ELSE 0 END" for s, w, a in _CASE_RULES if (s, w) == (slot, v)) for v in values}
+    best = ", ".join(f"({p})" for p in points.values())
+    return f"CASE WHEN greatest({best}) = 0 THEN NULL " + " ".join(f"WHEN ({p}) = greatest({best}) THEN '{v}'" for v, p in points.items()) + " END"
+
+
+@query(
+    r"WITH t AS (SELECT result_id, ' ' || regexp_replace(lower(coalesce(question, '')), '[^\p{L}\p{M}\p{N}]+', ' ', 'g') || ' ' AS q FROM ".replace("\\\\", "\\") + _S + f"), s AS (SELECT result_id, {_case_sql('service')} AS service, {_case_sql('action')} AS action FROM t)"
+    " SELECT result_id, service, action, CASE WHEN service IS NULL THEN 'partial_answer_plus_followup' WHEN action = 'complaint' THEN 'complaint_handoff_or_retrieve' ELSE 'retrieve_then_answer' END AS decision FROM s"
+)
+def question_cases(spark, d):
+    """Service and action of every question by alias rules, and the next step"""
+    t = _smoke(spark, d, "question")
+    s = cases.resolve_slots(t, "result_id", F.col("question"), _CASE_RULES)
+    no = F.lit(False)
+    c = cases.contract(F.col("slots"), F.lit("english"), no, no, [(None, None, ["service"])], {"service": {"english": "Which service?"}})
+    return s.select("result_id", c.alias("c")).select("result_id", "c.service", "c.action", "c.decision")
+
+
+@query(f"WITH {_BM25}, h AS (SELECT item_id, doc_id, round(score, 6) AS score, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 6) DESC, doc_id) AS r FROM s) SELECT h.item_id, h.doc_id, d.source, r.name_en AS name FROM h JOIN documents d USING (doc_id) LEFT JOIN source_registry r ON r.source_id = d.source WHERE h.r <= 10 AND d.text IS NOT NULL")
+def matched_documents_with_sources(spark, d):
+    """The ten best matches of each query joined to their documents and sources"""
+    q = load(spark, d, "gold_items").where("item_id % 50 = 0").select("item_id", "question")
+    docs = load(spark, d, "documents")
+    s = search.bm25(docs, q, "item_id", "question").withColumn("score", F.round("score", 6))
+    top = search.top_k(s, ["item_id"], [F.desc("score"), F.asc("doc_id")], 10)
+    names = load(spark, d, "source_registry").select(F.col("source_id").alias("source"), F.col("name_en").alias("name"))
+    return top.join(docs.where("text is not null").select("doc_id", "source"), "doc_id").join(names, "source", "left").select("item_id", "doc_id", "source", "name")

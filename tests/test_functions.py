@@ -112,8 +112,23 @@ def test_json_in_other_text(spark):
 
 
 def test_pdf_tiers(spark):
-    t = spark.createDataFrame([(0, 0, 10, 3, 0, 0), (900, 20, 3000, 1, 0, 0), (0, 800, 1000, 1, 5, 0), (0, 800, 1000, 1, 0, 9), (300, 500, 2000, 1, 4, 0), (0, 800, 1000, 1, 0, 0)], "d int, l int, b int, p int, m int, e int")
-    assert [r[0] for r in t.select(script.pdf_tier(*map(F.col, "dlbpme"))).collect()] == ["C", "A", "BPreeti", "E", "Mixed", "BLegacyUnknown"]
+    rows = [
+        (0, 0, 10, 3, 0, 0.0, 0.0, False, "C", "C", "high", []), (0, 0, 10, 3, 0, 0.0, 0.0, False, None, "C", "medium", []), (900, 20, 3000, 1, 0, 0.0, 0.3, False, None, "A", "high", []), (60, 2000, 3000, 1, 0, 0.0, 0.02, True, None, "A", "medium", ["low_devanagari_share"]),
+        (300, 500, 2000, 1, 4, 0.0, 0.2, False, None, "Mixed", "medium", ["mixed_encoding"]), (0, 800, 1000, 1, 5, 0.0, 0.0, False, None, "BPreeti", "high", []), (0, 800, 1000, 1, 2, 0.0, 0.0, False, None, "BPreeti", "medium", []), (0, 800, 1000, 1, 2, 0.001, 0.0, True, None, "E", "medium", []),
+        (0, 800, 1000, 1, 0, 0.06, 0.0, False, None, "BPreeti", "medium", []), (0, 800, 1000, 1, 0, 0.0, 0.0, False, None, "BLegacyUnknown", "low", ["no_known_font_and_not_english"]), (0, 800, 1000, 1, 0, 0.0, 0.0, False, "B-legacy", "BLegacyUnknown", "medium", ["no_known_font_and_not_english"]),
+        (30, 10, 200, 1, 0, 0.0, 0.1, False, None, "Unknown", "low", ["very_short_text"]), (None, None, None, None, None, None, None, None, None, "Unknown", "low", ["very_short_text"]),
+    ]
+    t = spark.createDataFrame([r[:9] for r in rows], "d int, l int, n int, p int, m int, s double, r double, e boolean, h string")
+    got = t.select(script.pdf_tier(*map(F.col, "dlnpmsreh")).alias("x")).collect()
+    assert [(r.x.tier, r.x.confidence, r.x.warnings) for r in got] == [r[9:] for r in rows]
+
+
+@pytest.mark.parametrize(
+    "token,want",
+    [("", False), ("नेपाल", False), ("s]", True), (":", False), ("@)&*", True), ("!", True), ("cfly{s", True), ("ljifo", True), ("...", False), ("2078/01", False), ("PAN", False), ("the", False), ("payment", False), ("Kathmandu", False), ("banana", False), ("xqzt", True), ("Hello!", False), ("12th", True)],
+)
+def test_legacy_tokens(token, want):
+    assert script.converts(token, frozenset({"the"})) == want
 
 
 def test_quality_gate(spark):
@@ -185,3 +200,59 @@ def test_leaf_blocks_with_their_tags(spark):
     t = spark.createDataFrame([(page,), ("",), (None,)], "h string")
     got = [r[0] if r[0] is None else [tuple(x) for x in r[0]] for r in t.select(H.html_blocks(F.col("h"))).collect()]
     assert got == [want, [], None]
+
+
+def test_corpus_scores_against_brute_force(spark):
+    import math
+    import random
+    from collections import Counter
+
+    from sifterra.operators import metrics
+
+    rng = random.Random(2)
+    words = "the office asks a fee form copy न्याय दर्ता , . today".split()
+    rows = [(rng.choice("ab"), " ".join(rng.choices(words, k=rng.randint(0, 14))), " ".join(rng.choices(words, k=rng.randint(0, 14)))) for _ in range(60)] + [("c", None, "x"), ("c", "", None)]
+    got = {r.g: (r.n, round(r.bleu, 6), round(r.chrf_pp, 6)) for r in metrics.corpus_scores(spark.createDataFrame(rows, "g string, h string, r string"), ["g"], F.col("h"), F.col("r")).collect()}
+    for g in "abc":
+        pairs = [((h or ""), (r or "")) for k, h, r in rows if k == g]
+        grams = lambda x, n: Counter(tuple(x[i : i + n]) for i in range(len(x) - n + 1))
+
+        def totals(split, n):
+            out = [0, 0, 0]
+            for h, r in pairs:
+                a, b = grams(split(h), n), grams(split(r), n)
+                out = [out[0] + sum(min(a[k], b[k]) for k in a), out[1] + sum(a.values()), out[2] + sum(b.values())]
+            return out
+
+        w = [totals(metrics.score_tokens, n) for n in range(1, 5)]
+        size = [sum(len(metrics.score_tokens(p[i])) for p in pairs) for i in (0, 1)]
+        bleu = 0.0
+        if all(x[0] for x in w):
+            bleu = 100 * (1.0 if size[0] >= size[1] else math.exp(1 - size[1] / size[0])) * math.exp(sum(math.log(x[0] / x[1]) for x in w) / 4)
+        fs = []
+        for m, h, r in [totals(lambda t: "".join(t.split()), n) for n in range(1, 7)] + w[:2]:
+            if h and r:
+                p, q = m / h, m / r
+                fs.append(5 * p * q / (4 * p + q) if p + q else 0.0)
+        assert got[g] == (len(pairs), round(bleu, 6), round(100 * sum(fs) / len(fs) if fs else 0.0, 6))
+
+
+def test_cases_and_contacts(spark):
+    from sifterra.operators import cases
+
+    rules = [("service", "passport", "passport"), ("service", "passport", "राहदानी"), ("service", "municipality", "municipality"), ("service", "licence", "driving licence"), ("action", "fee", "fee"), ("action", "complaint", "complaint"), ("district", "Kaski", "kaski")]
+    rows = [(1, "Passport fee in Kaski?"), (2, "मेरो राहदानीको गुनासो"), (3, "hello"), (4, None), (5, "complaint on driving licence at the municipality"), (6, "feeling")]
+    t = spark.createDataFrame(rows, "id int, q string")
+    got = {r.id: r.slots for r in cases.resolve_slots(t, "id", F.col("q"), rules).collect()}
+    assert got == {1: {"service": "passport", "action": "fee", "district": "Kaski"}, 2: {"service": "passport"}, 3: {}, 4: {}, 5: {"service": "licence", "action": "complaint"}, 6: {}}
+    required = [(None, None, ["service"]), ("passport", None, ["district"])]
+    ask = {"service": {"english": "Which service?", "devanagari": "कुन सेवा?"}, "district": {"english": "Which district?"}}
+    d = cases.resolve_slots(t, "id", F.col("q"), rules).withColumn("c", cases.contract(F.col("slots"), F.when(F.col("id") == 3, "devanagari").otherwise("english"), F.lit(False), F.col("id") == 4, required, ask))
+    out = {r.id: (r.c.decision, r.c.missing_slots, r.c.followup_questions) for r in d.collect()}
+    assert out[1] == ("retrieve_then_answer", [], []) and out[2] == ("partial_answer_plus_followup", ["district"], ["Which district?"])
+    assert out[3] == ("partial_answer_plus_followup", ["service"], ["कुन सेवा?"]) and out[4][0] == "ack_memory" and out[5][0] == "complaint_handoff_or_retrieve"
+    c = spark.createDataFrame([("x " * 100 + "Information Officer Ram Bahadur Thapa, phone ०१२३४५६ end", "0123456"), ("Contact No 5", "99"), ("सूचना अधिकारी सीता देवी", "1"), (None, None)], "t string, n string")
+    w = cases.context_window(F.col("t"), F.col("n"), 100)
+    roles = [("Information Officer", ["information officer", "सूचना अधिकारी"]), ("Office contact", ["contact", "phone"])]
+    got = [tuple(r) for r in c.select(cases.role_from_context(w, roles), cases.name_from_context(F.regexp_replace(w, "Information Officer ", ""), ["Contact No"])).collect()]
+    assert got == [("Information Officer", "Ram Bahadur Thapa"), ("Office contact", None), ("Information Officer", "सूचना अधिकारी सीता देवी"), (None, None)]

@@ -97,7 +97,22 @@ def chunk_ids_all(spark, d):
     return chunking.chunk_documents(load(spark, d, "documents")).select("doc_id", "chunk_index", "chunk_id")
 
 
-@query()
+# Where a window that begins at st ends: after the last mark in its last quarter, else at its hard end.
+_BACKWARD_END = r"CASE WHEN hard < length(text) AND regexp_matches(substr(text, low + 1, hard - low), '[.।!?\n]') THEN low + length(regexp_extract(substr(text, low + 1, hard - low), '(?s)^(.*[.।!?\n])', 1)) ELSE hard END"
+_WHITE = r"[\s\x{001C}-\x{001F}\x{00A0}\x{0085}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1680}]+"
+
+
+@query(
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, text, 0 AS st FROM documents WHERE length(text) > 0 UNION ALL SELECT doc_id, text, greatest(e - 80, st + 1) FROM (SELECT *, """
+    + _BACKWARD_END
+    + r""" AS e FROM (SELECT *, greatest(hard - 150, st + 100) AS low FROM (SELECT *, least(st + 600, length(text)) AS hard FROM w))) WHERE e < length(text)),
+    c AS (SELECT doc_id, st, """
+    + _BACKWARD_END
+    + " AS e, text FROM (SELECT *, greatest(hard - 150, st + 100) AS low FROM (SELECT *, least(st + 600, length(text)) AS hard FROM w))),"
+    + f" p AS (SELECT doc_id, st, e, regexp_replace(regexp_replace(substr(text, st + 1, e - st), '^{_WHITE}', ''), '{_WHITE}$', '') AS piece FROM c)"
+    " SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY st) - 1 AS INTEGER) AS chunk_index, st AS char_start, e AS char_end, piece AS text FROM p WHERE octet_length(encode(piece)) >= 100"
+)
 def chunk_backward(spark, d):
     """T-3"""
     return chunking.chunk_backward(load(spark, d, "documents"))

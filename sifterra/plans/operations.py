@@ -252,7 +252,16 @@ def chrf_score(spark, d):
     return load(spark, d, "smoke_results").select("result_id", "question", "model_output").distinct().select("result_id", F.round(metrics.chrf("model_output", "question"), 6).alias("chrf"))
 
 
-@query()
+@query(
+    r"""
+    WITH RECURSIVE t AS (SELECT DISTINCT result_id, list_filter(regexp_split_to_array(coalesce(question, ''), '[\s\x{001C}-\x{001F}\x{00A0}\x{0085}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1680}]+'), lambda w: w <> '') AS q,
+      list_filter(regexp_split_to_array(coalesce(model_output, ''), '[\s\x{001C}-\x{001F}\x{00A0}\x{0085}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{1680}]+'), lambda w: w <> '') AS o FROM smoke_results),
+    r AS (SELECT result_id, q, o, 0 AS i, list_transform(q, lambda x: 0) AS line FROM t WHERE len(q) > 0 AND len(o) > 0
+      UNION ALL SELECT result_id, q, o, i + 1, list_transform(range(1, len(q) + 1), lambda j: list_max(c[1:j])) FROM (
+        SELECT *, list_transform(range(1, len(q) + 1), lambda j: greatest(line[j], CASE WHEN q[j] = o[i + 1] THEN CASE WHEN j > 1 THEN line[j - 1] ELSE 0 END + 1 ELSE 0 END)) AS c FROM r WHERE i < len(o))),
+    l AS (SELECT result_id, len(q) AS nq, len(o) AS no, line[len(q)] AS n FROM r WHERE i = len(o))
+    SELECT t.result_id, coalesce(CASE WHEN n > 0 THEN 2.0::DOUBLE * (n / no::DOUBLE) * (n / nq::DOUBLE) / (n / no::DOUBLE + n / nq::DOUBLE) END, 0.0::DOUBLE) AS rouge_l FROM t LEFT JOIN l USING (result_id)"""
+)
 def rouge_l_score(spark, d):
     """E2"""
     return load(spark, d, "smoke_results").select("result_id", "question", "model_output").distinct().select("result_id", metrics.rouge_l("model_output", "question").alias("rouge_l"))

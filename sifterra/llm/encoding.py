@@ -315,6 +315,11 @@ class Repairer:
 
     def _start(self):
         self.lattices = [ByteLattice(c) for c in CODECS]
+        lead, tail = byte_classes()
+        some = lambda chars: "".join(map(re.escape, sorted(chars)))
+        #: A lead byte and one that may follow, each under any codec; and the codecs that can read a token.
+        self.anywhere = re.compile(f"[{some(lead)}][{some(tail)}{LOST} ]")
+        self.readers = Memo(lambda token: [k for k, lat in enumerate(self.lattices) if lat.possible.search(token + " ")], 100_000)
         self.read = [Memo(lambda atom, lat=lat: lat.decode(atom, self.words.unigram), 50_000) for lat in self.lattices]
 
     def __getstate__(self):
@@ -331,22 +336,25 @@ class Repairer:
         """
         out = []
         text, starts = "".join(parts), None
-        for lat, read in zip(self.lattices, self.read):
-            done = 0
-            for m in lat.possible.finditer(text):
-                if m.start() < done:
+        done, last = [0] * len(self.lattices), -1
+        for m in self.anywhere.finditer(text):
+            if starts is None:
+                starts = [0, *accumulate(map(len, parts))]
+            i = bisect_right(starts, m.start()) - 1
+            if i == last:
+                continue
+            last = i
+            for k in self.readers[parts[i]]:
+                if i < done[k]:
                     continue
-                if starts is None:
-                    starts = [0, *accumulate(map(len, parts))]
-                i = bisect_right(starts, m.start()) - 1
-                end = i + 1
+                lat, end = self.lattices[k], i + 1
                 while end + 1 < len(parts) and parts[end] == " " and lat.open.search(parts[end - 1]):
                     end += 2
                 atom = "".join(parts[i:end]) if end > i + 1 else parts[i]
-                now = read[atom]
+                now = self.read[k][atom]
                 if now != atom:
                     out.append((i // 2, (end + 1) // 2, lat.codec, now))
-                done = starts[end]
+                done[k] = end
         return out
 
     def undo(self, text: str) -> tuple[str, str | None]:
@@ -447,16 +455,22 @@ def looks_legacy(text: str | None) -> bool:
     return odd > 0.3 * len(tokens)
 
 
+def byte_classes() -> tuple[set[str], set[str]]:
+    """Characters that stand for a lead byte, and for a following one, under any codec."""
+    lead, tail = set(), set()
+    for lattice in map(ByteLattice, CODECS):
+        lead |= {c for c, b in lattice.byte.items() if 0xC2 <= b <= 0xF4}
+        tail |= {c for c, b in lattice.byte.items() if 0x80 <= b <= 0xBF}
+    return lead, tail
+
+
 def suspect(text: Column) -> Column:
     """Whether a text can hold any damage, by built-in expressions: a lead byte with one that may follow, a mark for lost letters, or a question mark inside or between words. Sound texts never reach Python.
 
     Characters become one of four classes first (a lead byte, a following byte, either, a mark), each under any
     codec: a regex over classes of hundreds of characters would take a hundred times as long.
     """
-    lead, tail = set(), set()
-    for lattice in map(ByteLattice, CODECS):
-        lead |= {c for c, b in lattice.byte.items() if 0xC2 <= b <= 0xF4}
-        tail |= {c for c, b in lattice.byte.items() if 0x80 <= b <= 0xBF}
+    lead, tail = byte_classes()
     kind = {c: "\ue000" if c in lead & tail else "\ue001" if c in lead else "\ue002" for c in lead | tail} | {c: "\ue003" for c in LOST}
     classes = F.translate(text, "".join(kind), "".join(kind.values()))
     return F.coalesce(classes.rlike("[\ue000\ue001][\ue000\ue002\ue003 ]|\ue003|\\?[^\\s]|" + _LOST_END.pattern), F.lit(False))

@@ -6,6 +6,7 @@ import base64
 import os
 import re
 
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,12 @@ _BLANK = "\t\n\x0b\x0c\r \x85\xa0  -     　"
 _PIECE = re.compile(f"[{_BLANK}]*[^{_BLANK}]+|[{_BLANK}]+")
 
 
+def _vocabulary(folder: str, name: str) -> str:
+    """The vocabulary file: in its folder, or where Spark has put the copy that the driver sent."""
+    path = os.path.join(folder, name)
+    return path if os.path.exists(path) else SparkFiles.get(name)
+
+
 class TokenCounter:
     """Counts of a byte-level BPE vocabulary.
 
@@ -31,7 +38,7 @@ class TokenCounter:
     def __init__(self, folder: str = TOKENIZER_DIR, name: str = TOKENIZER):
         import tiktoken
 
-        with open(os.path.join(folder, name), "rb") as f:
+        with open(_vocabulary(folder, name), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding(name, pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.pieces = Memo(lambda p: len(self.encoding.encode_ordinary(p)), 400_000)
@@ -43,6 +50,10 @@ class TokenCounter:
 def token_counts(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", folder: str = TOKENIZER_DIR, name: str = TOKENIZER) -> DataFrame:
     """``doc_id, source, tokens``: null and empty texts have 0 tokens. Repeated rows are counted again, other columns are ignored, an empty table gives an empty result."""
 
+    path = os.path.join(folder, name)
+    if not docs.sparkSession.sparkContext.master.startswith("local") and os.path.exists(path):
+        docs.sparkSession.sparkContext.addFile(path)  # executors needn't have the folder
+
     def make():
         counter = TokenCounter(folder, name)
 

@@ -180,7 +180,9 @@ def ship_package(spark: SparkSession) -> None:
         paths = [p for p in (sc.environment.get("PYTHONPATH"), os.path.dirname(package)) if p]
         sc.environment["PYTHONPATH"] = os.pathsep.join(paths)
         return
-    target = os.path.join(tempfile.mkdtemp(prefix="sifterra_"), "sifterra.zip")
+    place = tempfile.mkdtemp(prefix="sifterra_")
+    atexit.register(shutil.rmtree, place, ignore_errors=True)
+    target = os.path.join(place, "sifterra.zip")
     with zipfile.ZipFile(target, "w") as z:
         for folder, _, names in os.walk(package):
             for name in names:

@@ -154,11 +154,12 @@ def contains_fallback(found: DataFrame, docs: DataFrame, queries: DataFrame, que
     Each document's terms are looked for in blocks of unanswered queries, each broadcast.
     """
     lost = queries.join(found.select(query_key).distinct(), query_key, "left_anti").select(query_key, terms)
-    hits = docs.where(F.col(text).isNotNull()).select(key, F.lower(text).alias("_t")).join(
-        F.broadcast(lost) if size_in_bytes(lost) <= 64 << 20 else lost, F.exists(terms, lambda w: F.col("_t").contains(w))
-    )
-    more = hits.select(query_key, key, F.size(F.filter(terms, lambda w: F.col("_t").contains(w))).cast("double").alias("score"))
-    return found.select(query_key, key, "score").unionByName(more)
+    texts = docs.where(F.col(text).isNotNull()).select(key, F.lower(text).alias("_t"))
+    out = found.select(query_key, key, "score")
+    for part in query_blocks(lost, query_key):
+        met = F.filter(terms, lambda w: F.col("_t").contains(w))
+        out = out.unionByName(texts.join(F.broadcast(part), F.exists(terms, lambda w: F.col("_t").contains(w))).select(query_key, key, F.size(met).cast("double").alias("score")))
+    return out
 
 
 def supplement(pulls: list[DataFrame], query_key: str, key: str) -> DataFrame:
@@ -219,20 +220,24 @@ def vector_search(vectors: DataFrame, queries: DataFrame, key: str, vec: str, qu
 
 def cosine_scores(vectors: DataFrame, queries: DataFrame, key: str, vec: str, query_key: str, query_vec: str, block_bytes: int = 64 << 20) -> DataFrame:
     """``query, key, score`` of a stated query set against all rows. Queries beyond ``block_bytes`` are split by hash into blocks of that size, each a pass over the rows, so a broadcast is always bounded."""
-    q = queries.select(F.col(query_key), F.col(query_vec))
-    blocks = -(-size_in_bytes(q) // block_bytes)
-    if blocks > 1:
-        # The estimate is the table's before filters; what is left is measured.
-        mean = q.select(F.size(query_vec).alias("n")).agg((F.sum("n") * 8 + F.count("*") * 16).alias("b")).first().b or 1
-        blocks = -(-int(mean) // block_bytes)
     out = None
-    for i in range(max(1, blocks)):
-        part = q if blocks <= 1 else q.where(F.pmod(F.xxhash64(query_key), F.lit(blocks)) == i)
+    for part in query_blocks(queries.select(F.col(query_key), F.col(query_vec)), query_key, block_bytes):
         scored = vectors.select(F.col(key), F.col(vec)).crossJoin(F.broadcast(part)).select(query_key, key, cosine(F.col(vec), F.col(query_vec)).alias("score"))
         out = scored if out is None else out.unionByName(scored)
     return out
 
 
+def query_blocks(queries: DataFrame, key: str, block_bytes: int = 64 << 20) -> list[DataFrame]:
+    """A query set in parts of about ``block_bytes``, by the hash of its key; what the estimate takes for more than one part is measured."""
+    blocks = -(-size_in_bytes(queries) // block_bytes)
+    if blocks > 1:
+        measured = queries.agg(F.sum(F.length(F.to_json(F.struct(*queries.columns)))).alias("b")).first().b or 1
+        blocks = -(-int(measured) // block_bytes)
+    if blocks <= 1:
+        return [queries]
+    return [queries.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == i) for i in range(blocks)]
+
+
 def reciprocal_rank_fusion(lists: list[DataFrame], query_key: str, key: str, k: int = 60) -> DataFrame:
     """Sum of 1 / (k + rank) over ranked lists."""
     union = None

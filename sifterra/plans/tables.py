@@ -679,3 +679,33 @@ def matched_documents_with_sources(spark, d):
     top = search.top_k(s, ["item_id"], [F.desc("score"), F.asc("doc_id")], 10)
     names = load(spark, d, "source_registry").select(F.col("source_id").alias("source"), F.col("name_en").alias("name"))
     return top.join(docs.where("text is not null").select("doc_id", "source"), "doc_id").join(names, "source", "left").select("item_id", "doc_id", "source", "name")
+
+
+@query("SELECT source, doc_type, CAST(count(*) AS BIGINT) AS docs, CAST(coalesce(sum(len(regexp_extract_all(text, 'https?://'))), 0) AS BIGINT) AS links, CAST(coalesce(sum(len(regexp_extract_all(text, '[0-9०-९]+'))), 0) AS BIGINT) AS numbers, CAST(coalesce(sum(len(regexp_extract_all(text, '\\?'))), 0) AS BIGINT) AS questions FROM documents GROUP BY ALL".replace("\\\\", "\\"))
+def quality_by_source(spark, d):
+    """Documents by source and kind with the hits of three patterns"""
+    n = lambda p: F.coalesce(F.sum(F.regexp_count("text", F.lit(p))), F.lit(0)).cast("bigint")
+    return load(spark, d, "documents").groupBy("source", "doc_type").agg(F.count("*").alias("docs"), n("https?://").alias("links"), n("[0-9०-९]+").alias("numbers"), n(r"\?").alias("questions"))
+
+
+@query(
+    r"""WITH r AS (SELECT result_id, suite, model_output AS o, list_filter(regexp_extract_all(lower(model_output), '[\p{L}\p{N}_ऀ-ॿ]+'), lambda w: length(w) >= 3) AS w FROM """ + _S + r"""),
+    g AS (SELECT result_id, max(c) >= 4 AS looping FROM (SELECT result_id, g, count(*) AS c FROM (SELECT result_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT *, unnest(generate_series(1, len(w) - 2)) AS i FROM r WHERE len(w) >= 20)) GROUP BY ALL) GROUP BY 1)
+    SELECT suite, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (o IS NULL OR NOT regexp_matches(o, '[^\s\x{00A0}]')) AS BIGINT) AS degenerate, CAST(count(*) FILTER (coalesce(looping, false)) AS BIGINT) AS looping,
+      CAST(count(*) FILTER (len(list_filter(regexp_split_to_array(o, '""" + _BLANK + r"""'), lambda w: regexp_matches(w, '[ऀ-ॿ]') AND regexp_matches(regexp_replace(regexp_replace(w, '^[^\p{L}\p{M}\p{N}]+', ''), '[^\p{L}\p{M}\p{N}]+$', ''), '[A-Za-z0-9{}|\[\]*+=<>^~@#$%&]'))) > 0) AS BIGINT) AS garbled,
+      CAST(count(*) FILTER (coalesce(regexp_matches(o, '""" + text.REFUSAL_PATTERN.replace("'", "''") + r"""'), false)) AS BIGINT) AS refusing, round(avg(length(o)), 1) AS mean_chars FROM r LEFT JOIN g USING (result_id) GROUP BY suite"""
+)
+def sweep_counts(spark, d):
+    """Degenerate, looping, garbled and refusing answers of each suite, and their mean length"""
+    t, o = _smoke(spark, d, "suite", "model_output"), F.col("model_output")
+    return t.groupBy("suite").agg(
+        F.count("*").alias("n"), F.count_if(text.is_blank(o)).alias("degenerate"), F.count_if(F.coalesce(text.phrase_loop(o), F.lit(False))).alias("looping"), F.count_if(F.size(records.garbled_tokens(o)) > 0).alias("garbled"),
+        F.count_if(text.is_refusal(o)).alias("refusing"), F.round(F.avg(F.length(o)), 1).alias("mean_chars"),
+    )
+
+
+@query("SELECT result_id, 'Q: ' || question AS row FROM " + _S + " WHERE question IS NOT NULL UNION ALL SELECT result_id, 'A: ' || model_output FROM " + _S + " WHERE model_output IS NOT NULL AND kind = 'grounded'")
+def training_rows(spark, d):
+    """DS5: one training row or two of each record"""
+    t = _smoke(spark, d, "question", "model_output", "kind")
+    return evaluation.one_or_two(t, F.concat(F.lit("Q: "), "question"), F.when(F.col("kind") == "grounded", F.concat(F.lit("A: "), "model_output"))).select("result_id", "row")

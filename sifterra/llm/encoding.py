@@ -480,7 +480,8 @@ def clean_words(texts: DataFrame, least: int = 2) -> DataFrame:
     """``w, n``: counts of clean words over all rows of ``text``."""
     clean = F.col("w").rlike(r"^[ऀ-ॿA-Za-zÀ-ÿ’'“”0-9.,;:–§©€£/()-]+$") & ~F.col("w").rlike(r"[Â-Ãà][¡-¿]|[àÃâ]$")
     t = texts.where(F.col("text").isNotNull()).select(F.explode(F.split(F.trim("text"), r"\s+")).alias("w"))
-    return t.where(clean).groupBy("w").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    # The patterns run over different words, not over every occurrence.
+    return t.groupBy("w").agg(F.count("*").alias("n")).where((F.col("n") >= least) & clean)
 
 
 def needed_words(words: DataFrame, needs: DataFrame) -> DataFrame:

@@ -193,7 +193,7 @@ class ItemIndex:
 def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", fields: tuple[str, ...] = ("question", "gold_answer"), least: int = 10, shard: int = 200_000, most_bytes: int = 512 << 20) -> DataFrame:
     """One row per (item, document) where the document holds ``least`` or more words in a row of one of the item's fields.
 
-    All items are indexed. The index grows with their words (some 0.7 kB an item) and is broadcast only within
+    All items are indexed. The index grows with their words (some 1.2 kB an item) and is broadcast only within
     ``most_bytes``: sets of more than ``shard`` items, or beyond those bytes, are indexed in shards by the hash of their id,
     each a further pass over the documents.
     Null and empty texts and items match nothing; parts shorter than ``least`` words can't match; duplicate

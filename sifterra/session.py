@@ -46,7 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+    if not spark.sparkContext.master.startswith("local"):  # local masters run all processes on one machine
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = "file://" + tempfile.mkdtemp(prefix="sifterra_")
     spark.sparkContext.setCheckpointDir(local)

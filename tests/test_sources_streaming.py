@@ -144,7 +144,7 @@ def test_a_cluster_needs_a_shared_folder():
         sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda x: None)
         return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: None), sparkContext=sc)
 
-    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+    for master in ("spark://host:7077", "yarn", "k8s://https://host:443"):
         with pytest.raises(RuntimeError):
             session.shared_folder(fake(master))
     assert session.shared_folder(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: "file:///shared/"))) == "file:///shared"

@@ -98,11 +98,11 @@ _hash = _HASHES.__getitem__
 
 
 def _text_features(line: str) -> tuple[int, ...]:
-    """Features that depend on the block's own text only."""
+    """Features that depend on the block's own text only: every distinct word counts, wherever it stands and however long the block is."""
     low = line.strip().lower()
     words = low.split()
     n = len(words)
-    own = [_WORD_AT["w"][w] for w in words[:14]]  # a long block's inner words name no feature
+    own = [_WORD_AT["w"][w] for w in words]
     f = [f"n={min(n, 6) if n < 7 else 7 + (n > 12) + (n > 25)}", f"c={min(len(line) // 20, 8)}"]
     if words:
         own += [_WORD_AT["first"][words[0]], _WORD_AT["last"][words[-1]], _WORD_AT["two"][" ".join(words[:2])], _WORD_AT["end2"][" ".join(words[-2:])]]
@@ -115,7 +115,7 @@ def _text_features(line: str) -> tuple[int, ...]:
         f.append("line=" + _DIGITS.sub("0", low))
     f.append("item" if short and _ITEM.search(line) else "noitem")
     parted = any(c in low for c in "|»›>·•") or " / " in low or "  " in low
-    f.append(f"parts={min(sum(map(bool, _SEPARATOR.split(low, maxsplit=6))), 4) if parted else 1}")
+    f.append(f"parts={min(sum(map(bool, _SEPARATOR.split(low))), 4) if parted else 1}")
     f.append(f"menu={_MENU[line.strip()]}")
     return tuple(dict.fromkeys([*own, *map(_hash, f)]))
 

@@ -91,6 +91,29 @@ def test_ancestor_tags_decide_where_texts_are_alike():
     assert good / n > 0.98
 
 
+def test_words_anywhere_in_a_long_block_count():
+    filler = [f"word{chr(97 + i)}" for i in range(25)]
+
+    def block(rng, word, before):
+        return " ".join([*("same" for _ in range(14)), *rng.choices(filler, k=before), word, *rng.choices(filler, k=30), "all", "alike."])
+
+    def long_page(rng, before):
+        y = [rng.choice([0, 4]) for _ in range(4)]
+        return [block(rng, "consent" if x else "ministry", before) for x in y], None, y
+
+    rng = random.Random(8)
+    t = P.train_tagger([long_page(rng, rng.randint(0, 60)) for _ in range(150)], epochs=8)
+    for before in (0, 20, 400):
+        held_out = [long_page(rng, before) for _ in range(30)]
+        good = sum(a == b for lines, title, y in held_out for a, b in zip(t.tag(lines, title), y))
+        assert good / (4 * len(held_out)) > 0.95, before
+
+
+def test_parts_are_counted_to_the_end_of_a_line():
+    line = "| | | | | | | | Home | News | Staff | FAQ"
+    assert P._hash("parts=4") in P._text_features(line) and P._hash("parts=1") not in P._text_features(line)
+
+
 def test_fit_from_labelled_pages(spark):
     rng = random.Random(6)
     rows = []
